@@ -7,12 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gaugeworks.schema import (
-    CUTOVER_UTC,
-    LATE_CUTOVER_NAMES,
-    LATE_CUTOVER_UTC,
-    SENTINEL,
-)
+from gaugeworks.schema import CUTOVER, SENTINEL, Cutover
 
 
 def to_double(c: Column) -> Column:
@@ -79,11 +74,13 @@ def rounded_max(c: Column) -> Column:
     return F.coalesce(F.max(cents(c)), F.lit(0)) / F.lit(100.0)
 
 
-def rain_by_cutover(ts_utc: Column, name: Column, m05: Column, m15: Column) -> Column:
+def rain_by_cutover(
+    ts_utc: Column, name: Column, m05: Column, m15: Column, cutover: Cutover = CUTOVER
+) -> Column:
     """15-minute value before the instrument cut-over, 5-minute value after."""
-    late = reduce(lambda a, b: a | b, [name.ilike(f"{n}%") for n in LATE_CUTOVER_NAMES])
-    before = ts_utc < F.to_timestamp_ntz(F.lit(CUTOVER_UTC))
-    before_late = ts_utc < F.to_timestamp_ntz(F.lit(LATE_CUTOVER_UTC))
+    late = any_of([name.ilike(f"{n}%") for n in cutover.late_names])
+    before = ts_utc < F.to_timestamp_ntz(F.lit(cutover.start))
+    before_late = ts_utc < F.to_timestamp_ntz(F.lit(cutover.late_start))
     return F.when(before | (late & before_late), m15).otherwise(m05)
 
 

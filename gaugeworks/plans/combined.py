@@ -23,7 +23,7 @@ def status(rain_table: DataFrame, weather_table: DataFrame) -> DataFrame:
 def run(
     spark: SparkSession, readings: DataFrame, values: DataFrame, sensors: DataFrame, rain: DataFrame,
     stations: DataFrame, rain_path: str, weather_path: str, as_of,
-    station_ids: list | None = WEATHER_STATIONS,
+    station_ids: list | None = WEATHER_STATIONS, sensor_map: dict[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Returns the weather lag before its sync, and the status of both tables after."""
     rain_plan.sync_warehouse(spark, readings, rain, stations, rain_path, as_of)
@@ -35,6 +35,6 @@ def run(
     # Kept as a row: the table changes below.
     lag = spark.createDataFrame(lag.collect(), lag.schema)
     weather_plan.sync_warehouse(
-        spark, readings, values, sensors, rain, stations, weather_path, station_ids, as_of
+        spark, readings, values, sensors, rain, stations, weather_path, station_ids, sensor_map, as_of
     )
     return lag, status(read_table(spark, rain_path, True), read_table(spark, weather_path, True))

@@ -24,7 +24,9 @@ def join_coverage(readings: DataFrame, rain: DataFrame, stations: DataFrame) ->
             F.max("horaLeitura").alias("data_max_leitura"),
         )
         .withColumn("total_chuva", rain.agg(F.count(F.lit(1))).scalar())
-        .withColumns({c: joined.select(c).scalar() for c in joined.columns})
+        .withColumn("_j", joined.select(F.struct(*joined.columns)).scalar())
+        .select("*", "_j.*")
+        .drop("_j")
     )
 
 

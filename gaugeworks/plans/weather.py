@@ -45,32 +45,37 @@ def new_for_warehouse(
 
 def export_warehouse(
     readings: DataFrame, values: DataFrame, sensors: DataFrame, rain: DataFrame, stations: DataFrame,
-    path: str, station_ids: list | None = WEATHER_STATIONS,
+    path: str, station_ids: list | None = WEATHER_STATIONS, sensor_map: dict[str, str] | None = None,
 ) -> None:
     """All years in one job."""
     sink.reload_table(
-        warehouse_rows(readings, values, sensors, rain, stations, station_ids=station_ids), path
+        warehouse_rows(
+            readings, values, sensors, rain, stations, station_ids=station_ids, sensor_map=sensor_map
+        ),
+        path,
     )
 
 
 def export_slice(
     readings: DataFrame, values: DataFrame, sensors: DataFrame, rain: DataFrame, stations: DataFrame,
     path: str, start, end, station_ids: list | None = WEATHER_STATIONS,
+    sensor_map: dict[str, str] | None = None,
 ) -> None:
     """Replace the months of ``[start, end)``, which must start and end with a month."""
     sink.reload_months(
-        warehouse_rows(readings, values, sensors, rain, stations, start, end, station_ids), path
+        warehouse_rows(readings, values, sensors, rain, stations, start, end, station_ids, sensor_map), path
     )
 
 
 def sync_warehouse(
     spark: SparkSession, readings: DataFrame, values: DataFrame, sensors: DataFrame, rain: DataFrame,
-    stations: DataFrame, path: str, station_ids: list | None = WEATHER_STATIONS, as_of=None,
+    stations: DataFrame, path: str, station_ids: list | None = WEATHER_STATIONS,
+    sensor_map: dict[str, str] | None = None, as_of=None,
 ) -> None:
     warehouse = read_table(spark, path, merge_schema=True)
     if not layout_check(warehouse, sink.MONTH).first()["accepted"]:
         raise ValueError("the table must be partitioned by month")
     fresh = new_for_warehouse(
-        warehouse, readings, values, sensors, rain, stations, station_ids, as_of=as_of
+        warehouse, readings, values, sensors, rain, stations, station_ids, sensor_map, as_of
     )
     sink.append_absent(spark, path, fresh, KEY)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import types as T
 
 # --- fixed values: column names, sensor names, dates and ids of the network ---
@@ -26,9 +28,15 @@ SENSORS = {
 WEATHER_STATIONS = [1, 11, 16, 19, 20, 22, 28, 32]
 
 # Gauges report every 15 minutes before the cut-over and every 5 minutes after.
-CUTOVER_UTC = "2020-02-01 00:00:00"
-LATE_CUTOVER_UTC = "2020-03-01 00:00:00"
-LATE_CUTOVER_NAMES = ["Guaratiba", "Sao Cristovao", "São Cristóvão"]
+class Cutover(NamedTuple):
+    """When 5-minute reporting starts, and the stations (by name prefix) that start later."""
+
+    start: str
+    late_start: str
+    late_names: list[str]
+
+
+CUTOVER = Cutover("2020-02-01 00:00:00", "2020-03-01 00:00:00", ["Guaratiba", "Sao Cristovao", "São Cristóvão"])
 
 # Missing rain value stored as a number.
 SENTINEL = -99.99

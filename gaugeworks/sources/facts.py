@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from gaugeworks.functions.values import dew_point, rain_by_cutover
 from gaugeworks.operators.dedupe import latest_by_id
 from gaugeworks.operators.filters import half_open, since
-from gaugeworks.schema import RAIN_METRICS, SENSORS, WEATHER_STATIONS
+from gaugeworks.schema import CUTOVER, RAIN_METRICS, SENSORS, WEATHER_STATIONS, Cutover
 
 
-def _named(rows: DataFrame, stations: DataFrame) -> DataFrame:
+def with_station_names(rows: DataFrame, stations: DataFrame) -> DataFrame:
+    """Rows of known stations with the name as ``estacao``."""
     names = stations.select(F.col("id").alias("_sid"), F.col("nome").alias("estacao"))
     return rows.join(names, F.col("estacao_id") == F.col("_sid"), "inner").drop("_sid")
 
@@ -39,7 +40,7 @@ def rain_source_raw(
 ) -> DataFrame:
     """Rain rows with station names, duplicates included."""
     metrics = RAIN_METRICS if metrics is None else metrics
-    rows = _named(rain_versions(readings, rain, metrics, start), stations)
+    rows = with_station_names(rain_versions(readings, rain, metrics, start), stations)
     return rows.select("dia", *metrics, "estacao", "estacao_id")
 
 
@@ -56,7 +57,7 @@ def rain_source(
         rain_versions(readings, rain, metrics, start), ["dia", "estacao_id"], "leitura_id", ties=metrics
     )
     extra = ["leitura_id"] if keep_id else []
-    return _named(rows, stations).select(*extra, "dia", *metrics, "estacao", "estacao_id")
+    return with_station_names(rows, stations).select(*extra, "dia", *metrics, "estacao", "estacao_id")
 
 
 def sensor_pivot(values: DataFrame, sensors: DataFrame, sensor_map: dict[str, str] | None = None) -> DataFrame:
@@ -86,6 +87,7 @@ def weather_source(
     end=None,
     station_ids: list | None = WEATHER_STATIONS,
     sensor_map: dict[str, str] | None = None,
+    cutover: Cutover = CUTOVER,
 ) -> DataFrame:
     """Weather rows, one per (time, station): maxima over all readings of that instant.
 
@@ -105,8 +107,8 @@ def weather_source(
         r.join(sensor_pivot(values, sensors, sensor_map), "leitura_id", "inner")
         .join(rain_max, "leitura_id", "left")
     )
-    named = _named(per_reading, stations).withColumn(
-        "_chuva", rain_by_cutover(F.col("dia_utc"), F.col("estacao"), F.col("_m05"), F.col("_m15"))
+    named = with_station_names(per_reading, stations).withColumn(
+        "_chuva", rain_by_cutover(F.col("dia_utc"), F.col("estacao"), F.col("_m05"), F.col("_m15"), cutover)
     )
     merged = named.groupBy("dia_utc", "estacao_id", "estacao").agg(
         F.max("_chuva").alias("chuva"), *[F.max(c).alias(c) for c in sensor_map]
