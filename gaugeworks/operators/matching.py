@@ -73,6 +73,12 @@ def _neighbours(line: DataFrame, direction: str) -> DataFrame:
     return found.select("_pos", "_row", best.alias("_best"))
 
 
+def _offer(edge: str, step: int) -> Column:
+    return F.struct(
+        (F.col("_bucket") + step).alias("_bucket"), F.col(f"{edge}._pos").alias("_pos"), F.col(f"{edge}._hit").alias("_hit")
+    )
+
+
 def asof(
     probe: DataFrame,
     target: DataFrame,
@@ -108,17 +114,16 @@ def asof(
         edges = t.groupBy("_key", "_bucket").agg(
             F.max(F.struct("_pos", "_hit")).alias("_last"), F.min(F.struct("_pos", "_hit")).alias("_first")
         )
-
-        def carried(edge: str, sign: int) -> DataFrame:
-            step = F.explode(F.sequence(F.lit(1), F.lit(reach)))
-            return edges.select("_key", f"{edge}._pos", f"{edge}._hit", "_bucket", step.alias("_step")).select(
-                "_key", "_pos", F.lit(0).alias("_side"), "_hit", (F.col("_bucket") + F.col("_step") * sign).alias("_bucket")
-            )
-
-        if direction != "forward":
-            line = line.unionByName(carried("_last", 1))
-        if direction != "backward":
-            line = line.unionByName(carried("_first", -1))
+        # The bucket's last target is offered to the next buckets, its first to the previous ones.
+        offers = []
+        for step in range(1, reach + 1):
+            if direction != "forward":
+                offers.append(_offer("_last", step))
+            if direction != "backward":
+                offers.append(_offer("_first", -step))
+        line = line.unionByName(
+            edges.select("_key", F.lit(0).alias("_side"), F.inline(F.array(*offers)))
+        )
 
     near = F.abs(F.col("_pos") - F.col("_best.p")) <= F.lit(tolerance)
     found = _neighbours(line.unionByName(p, allowMissingColumns=True), direction)

@@ -9,7 +9,8 @@ from gaugeworks.operators.rollup import table_status
 from gaugeworks.operators.watermarks import lag_report
 from gaugeworks.plans import rain as rain_plan
 from gaugeworks.plans import weather as weather_plan
-from gaugeworks.schema import WEATHER_STATIONS
+from gaugeworks.schema import WAREHOUSE_RAIN, WAREHOUSE_WEATHER, WEATHER_STATIONS
+from gaugeworks.sinks.tables import with_month
 from gaugeworks.sources.tables import read_table
 
 
@@ -30,11 +31,14 @@ def run(
     sensed = readings.join(values.select(F.col("leitura_id").alias("id")), "id", "left_semi")
     listed = sensed if station_ids is None else sensed.filter(F.col("estacao_id").isin(list(station_ids)))
     lag = lag_report(
-        read_table(spark, weather_path), listed, "dia_utc", as_of, station="estacao_id", source_ts="horaLeitura"
+        read_table(spark, weather_path, schema=with_month(WAREHOUSE_WEATHER)), listed, "dia_utc", as_of, station="estacao_id", source_ts="horaLeitura"
     )
     # Kept as a row: the table changes below.
     lag = spark.createDataFrame(lag.collect(), lag.schema)
     weather_plan.sync_warehouse(
         spark, readings, values, sensors, rain, stations, weather_path, station_ids, sensor_map, as_of
     )
-    return lag, status(read_table(spark, rain_path, True), read_table(spark, weather_path, True))
+    return lag, status(
+        read_table(spark, rain_path, schema=with_month(WAREHOUSE_RAIN)),
+        read_table(spark, weather_path, schema=with_month(WAREHOUSE_WEATHER)),
+    )

@@ -85,7 +85,7 @@ def load_replica(readings: DataFrame, rain: DataFrame, stations: DataFrame, path
 def sync_replica(
     spark: SparkSession, readings: DataFrame, rain: DataFrame, stations: DataFrame, path: str, as_of=None
 ) -> None:
-    replica = read_table(spark, path)
+    replica = read_table(spark, path, schema=sink.with_month(REPLICA_RAIN))
     watermarks.require_watermark(watermarks.global_watermark(
         replica.select(F.col("dia").cast("timestamp_ntz").alias("dia")), "dia", as_of))
     sink.upsert_table(spark, path, new_for_replica(replica, readings, rain, stations, as_of), REPLICA_KEY, "dia")
@@ -98,8 +98,8 @@ def export_warehouse(readings: DataFrame, rain: DataFrame, stations: DataFrame,
 def sync_warehouse(
     spark: SparkSession, readings: DataFrame, rain: DataFrame, stations: DataFrame, path: str, as_of=None
 ) -> None:
-    warehouse = read_table(spark, path, merge_schema=True)
+    warehouse = read_table(spark, path, schema=sink.with_month(WAREHOUSE_RAIN))
     if not layout_check(warehouse, sink.MONTH).first()["accepted"]:
         raise ValueError("the table must be partitioned by month")
     fresh = new_for_warehouse(warehouse, readings, rain, stations, as_of)
-    sink.append_absent(spark, path, fresh, WAREHOUSE_KEY)
+    sink.append_absent(spark, path, fresh, WAREHOUSE_KEY, schema=WAREHOUSE_RAIN)

@@ -72,10 +72,10 @@ def sync_warehouse(
     stations: DataFrame, path: str, station_ids: list | None = WEATHER_STATIONS,
     sensor_map: dict[str, str] | None = None, as_of=None,
 ) -> None:
-    warehouse = read_table(spark, path, merge_schema=True)
+    warehouse = read_table(spark, path, schema=sink.with_month(WAREHOUSE_WEATHER))
     if not layout_check(warehouse, sink.MONTH).first()["accepted"]:
         raise ValueError("the table must be partitioned by month")
     fresh = new_for_warehouse(
         warehouse, readings, values, sensors, rain, stations, station_ids, sensor_map, as_of
     )
-    sink.append_absent(spark, path, fresh, KEY)
+    sink.append_absent(spark, path, fresh, KEY, schema=WAREHOUSE_WEATHER)

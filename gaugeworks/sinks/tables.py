@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gaugeworks.functions.timecols import month_key
 from gaugeworks.operators import merge
 from gaugeworks.operators.contracts import MAX_PARTITIONS
+from gaugeworks.operators.dedupe import latest_by_id
 from gaugeworks.session import work_dir
 from gaugeworks.sources.tables import read_table
 
@@ -84,19 +86,49 @@ def upsert_table(
 
 def append_absent(
     spark: SparkSession, path: str, batch: DataFrame, key: list[str],
-    ts: str = "dia_utc", station: str = "estacao_id",
+    ts: str = "dia_utc", station: str = "estacao_id", schema: StructType | None = None,
 ) -> None:
     """Append rows whose key the table does not hold; existing rows win.
 
-    New nullable columns are added to the table (readers merge file schemas).
-    Running it twice adds nothing the second time.
+    New nullable columns are added to the table. ``schema`` declares its columns;
+    without it they are merged from its files. Running it twice adds nothing the
+    second time.
     """
     staged = read_table(spark, _staged(spark, batch, ts, "batch"))
     months = _months(staged)
     if not months:
         return
-    table = read_table(spark, path, merge_schema=True)
+    table = read_table(spark, path, True, with_month(schema) if schema else None)
     held = table.filter(F.col(MONTH).isin(months))
     fresh = merge.absent_from(held, staged.drop(MONTH), key)
     plain = table.drop(MONTH)
     _write(by_month(merge.aligned(fresh, plain.schema), ts), path, "append", False, ts, station)
+
+
+def with_month(schema: StructType) -> StructType:
+    """A contract with the partition column of its stored table."""
+    return StructType([*schema.fields, StructField(MONTH, StringType(), True)])
+
+
+# --- tables of versions: cheap frequent writes, resolved on read ---
+
+
+def append_versions(df: DataFrame, path: str, ts: str = "dia_utc", station: str = "estacao_id") -> None:
+    """Add rows without looking at the table; a key may then have several versions."""
+    _write(by_month(df, ts), path, "append", False, ts, station)
+
+
+def current(table: DataFrame, key: list[str], version: str) -> DataFrame:
+    """The table as an upsert would have left it: the highest version of each key."""
+    return latest_by_id(table, key, version)
+
+
+def compact(
+    spark: SparkSession, path: str, months: list[str], key: list[str], version: str,
+    ts: str = "dia_utc", station: str = "estacao_id",
+) -> None:
+    """Replace the given months by their current rows."""
+    table = read_table(spark, path)
+    rows = current(table.filter(F.col(MONTH).isin(months)).drop(MONTH), key, version)
+    ready = read_table(spark, _staged(spark, rows, ts, "compacted"))
+    _write(ready.select(*table.columns), path, "overwrite", True, ts, station)

@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gaugeworks.functions.timecols import month_key
 from gaugeworks.operators.filters import closed, half_open, moment
 
 
-def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+def read_table(
+    spark: SparkSession, path: str, merge_schema: bool = False, schema: StructType | None = None
+) -> DataFrame:
+    """A parquet table.
+
+    With a declared ``schema`` no file is opened to find the columns, and columns
+    added later are NULL in older files. ``merge_schema`` collects them from every
+    file instead.
+    """
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.option("mergeSchema", str(merge_schema and schema is None).lower()).parquet(path)
 
 
 def scan_range(

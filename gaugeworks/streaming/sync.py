@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from gaugeworks.operators.contracts import table_exists
 from gaugeworks.operators.dedupe import latest_by_id
 from gaugeworks.operators.filters import last_hours
-from gaugeworks.sinks.tables import reload_table, upsert_table
+from gaugeworks.sinks.tables import append_versions, reload_table, upsert_table
 from gaugeworks.sources.tables import read_table
 
 
@@ -36,18 +36,25 @@ def sync_stream(
     station: str = "estacao_id",
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
     every: str | None = None,
+    merge_on_read: bool = False,
 ) -> StreamingQuery:
     """Upsert each micro-batch by key; the highest version of a key stays.
 
     Replaying a batch after a failure changes nothing, and rows may be late or out
     of order by any amount, since keys decide. ``every`` (for example
     ``"5 minutes"``) runs continuously; without it the backlog is processed once.
+
+    By default a batch rewrites the months it touches and the table has one row
+    per key. Where months are large and batches frequent, ``merge_on_read`` only
+    appends; read with ``sinks.tables.current`` and run ``compact`` now and then.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = latest_by_id(prepare(batch), key, version)
-        if table_exists(spark, path):
+        if merge_on_read:
+            append_versions(rows, path, ts, station)
+        elif table_exists(spark, path):
             upsert_table(spark, path, rows, key, ts, station, version)
         elif not rows.isEmpty():
             reload_table(rows, path, ts, station)

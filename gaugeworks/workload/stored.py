@@ -79,6 +79,24 @@ def stream_sync_once(spark, sf):
     return read_table(spark, path).drop("ano_mes")
 
 
+@query("stream_merge_on_read", HOURLY_LATEST)
+def stream_merge_on_read(spark, sf):
+    """As ``stream_sync_once``, appending versions and resolving them on read."""
+    feed_path, path = work_dir(spark, "feed"), work_dir(spark, "versions")
+    events = a.table(spark, sf, "events")
+    events.repartition(4, "event_id").write.parquet(feed_path)
+    feed = read_feed(spark, feed_path, events.schema, files_per_batch=2)
+    hourly = feed.select(
+        F.col("event_id").alias("id"), ntz(F.date_trunc("hour", "ts")).alias("dia"), F.col("user_id").alias("estacao_id"),
+        "value", "event_type",
+    )
+    key = ["dia", "estacao_id"]
+    sync_stream(
+        hourly, path, work_dir(spark, "progress"), key, "id", ts="dia", merge_on_read=True
+    ).awaitTermination()
+    return sink.current(read_table(spark, path).drop("ano_mes"), key, "id")
+
+
 @query("live_view", f"SELECT * FROM ({HOURLY_LATEST}) WHERE dia >= TIMESTAMP '2024-01-29 12:00:00' - INTERVAL 48 HOUR")
 def live_view_query(spark, sf):
     path = work_dir(spark, "live")
