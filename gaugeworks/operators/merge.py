@@ -18,7 +18,8 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str], version: str | N
     rows = batch.select(*target.columns)
     if version is not None:
         return latest_by_id(target.unionByName(rows), key, version)
-    return target.join(rows.select(*key), key, "left_anti").unionByName(rows)
+    kept = target.join(rows.select(*key), key, "left_anti").select(*target.columns)
+    return kept.unionByName(rows)
 
 
 def absent_from(target: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
@@ -26,7 +27,7 @@ def absent_from(target: DataFrame, batch: DataFrame, key: list[str]) -> DataFram
 
     The batch must be unique on ``key``.
     """
-    return batch.join(target.select(*key), key, "left_anti")
+    return batch.join(target.select(*key), key, "left_anti").select(*batch.columns)
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
