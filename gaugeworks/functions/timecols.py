@@ -1,8 +1,9 @@
 """Time columns.
 
-UTC wall-clock values are ``timestamp_ntz`` throughout, so no expression depends
-on the session zone except the casts from and to ``timestamp``, which the pinned
-UTC session makes exact.
+Wall-clock values, UTC or local, are ``timestamp_ntz``. Casts from and to
+``timestamp`` use the session zone, which ``tune`` pins to UTC, so they keep the
+wall clock. Zone shifts use the functions that resolve a literal zone once per
+task; ``convert_timezone`` looks it up for every row, about ten times slower.
 """
 
 from __future__ import annotations
@@ -34,42 +35,32 @@ def shift(c: Column, **parts: int) -> Column:
 
 def to_utc(c: Column, naive_zone: str = "UTC") -> Column:
     """Zone-less wall clock in ``naive_zone`` to UTC wall clock."""
-    w = ntz(c)
     if naive_zone == "UTC":
-        return w
-    return F.convert_timezone(F.lit(naive_zone), F.lit("UTC"), w)
+        return ntz(c)
+    return ntz(F.to_utc_timestamp(c.cast("timestamp"), naive_zone))
 
 
 def to_local(utc: Column, zone: str = LOCAL_ZONE) -> Column:
     """UTC wall clock to local wall clock."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), ntz(utc))
+    return ntz(F.from_utc_timestamp(utc.cast("timestamp"), zone))
 
 
 def offset_minutes(utc: Column, zone: str = LOCAL_ZONE) -> Column:
     return F.timestamp_diff("MINUTE", ntz(utc), to_local(utc, zone)).cast("int")
 
 
-def _offset_text(minutes: Column, separator: str) -> Column:
-    size = F.abs(minutes)
-    return F.when(
-        minutes.isNotNull(),
-        F.concat(
-            F.when(minutes < 0, "-").otherwise("+"),
-            F.lpad(F.floor(size / 60).cast("string"), 2, "0"),
-            F.lit(separator),
-            F.lpad((size % 60).cast("string"), 2, "0"),
-        ),
-    )
-
-
 def offset_text(utc: Column, zone: str = LOCAL_ZONE) -> Column:
-    """Local offset as ``-0300``."""
-    return _offset_text(offset_minutes(utc, zone), "")
+    """Local offset as ``-0300``; NULL time, NULL text."""
+    minutes = offset_minutes(utc, zone)
+    # Both parts truncate toward zero, so -210 minutes give -330.
+    digits = F.call_function("div", minutes, F.lit(60)) * 100 + minutes % 60
+    return F.concat(F.when(digits < 0, "-").otherwise("+"), F.lpad(F.abs(digits).cast("string"), 4, "0"))
 
 
 def offset_text_colon(utc: Column, zone: str = LOCAL_ZONE) -> Column:
     """Local offset as ``-03:00``."""
-    return _offset_text(offset_minutes(utc, zone), ":")
+    text = offset_text(utc, zone)
+    return F.concat(F.left(text, F.lit(3)), F.lit(":"), F.right(text, F.lit(2)))
 
 
 def original_text(utc: Column, zone: str = LOCAL_ZONE) -> Column:
@@ -112,7 +103,7 @@ def local_to_utc(wall: Column, zone: str = LOCAL_ZONE) -> Column:
     first valid instant after the gap (gaps start on the hour in this zone).
     """
     w = ntz(wall)
-    utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), w)
+    utc = to_utc(w, zone)
     occurs_twice = (to_local(shift(utc, hours=1), zone) == w) | (
         to_local(shift(utc, hours=-1), zone) == w
     )
@@ -123,7 +114,7 @@ def local_to_utc(wall: Column, zone: str = LOCAL_ZONE) -> Column:
 
 def parse_day_first(text: Column) -> Column:
     """``dd/MM/yyyy HH:mm:ss`` to wall clock, NULL when malformed."""
-    return ntz(F.try_to_timestamp(F.regexp_replace(F.trim(text), r"\s+", " "), F.lit("dd/MM/yyyy HH:mm:ss")))
+    return ntz(F.try_to_timestamp(F.trim(text), F.lit("dd/MM/yyyy HH:mm:ss")))
 
 
 def trunc(grain: str, ts: Column, zone: str | None = None) -> Column:

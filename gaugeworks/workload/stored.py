@@ -289,7 +289,7 @@ FROM events""",
 def report_delimited(spark, sf):
     """Events written as a semicolon report with accented headers."""
     path = work_dir(spark, "delimited")
-    number = F.format_string("%.2f", F.col("value"))
+    number = F.col("value").cast("string")
     a.table(spark, sf, "events").select(
         F.date_format("ts", "dd/MM/yyyy").alias("Data"), F.date_format("ts", "HH:mm:ss").alias("Hora"),
         F.when(F.col("event_type") == "error", "ND").otherwise(number).alias("Precipitação (mm)"),

@@ -110,7 +110,7 @@ def report_lines(spark, sf):
     """Events written as report lines of every kind the layout knows."""
     kind, v = F.col("event_type"), F.col("value")
     day = F.date_format("ts", "dd/MM/yyyy  HH:mm:ss")
-    number = F.format_string("%.2f", v)
+    number = v.cast("string")
     six = F.concat_ws("   ", F.when(kind == "error", "ND").otherwise(number), F.lit("180,5"), number, F.lit("ND"), F.lit("1013.2"), F.lit("80"))
     line = (
         F.when(kind == "signup", F.concat(day, F.lit(" HBV "), six))
