@@ -1,16 +1,24 @@
 """Matching readings of the same station by time.
 
 No pairs are formed. Probe and target rows are laid on one time line per
-(station, time bucket) and the neighbouring target is read off with a window.
-A bucket is no longer than the tolerance, so the neighbour lies either in the
-probe's own bucket or is the last (first) target of one of the few buckets
-before (after) it; those are pre-aggregated to one row per bucket and carried
-over. Work and shuffle grow linearly with both inputs, and a busy station is
-spread over its buckets. ``splits`` makes buckets shorter for dense data.
+(station, time bucket) and the neighbouring targets are read off with a window.
+A bucket is at least as long as the tolerance, so a neighbour lies in the probe's
+own bucket or is the last (first) target of the bucket before (after); those are
+pre-aggregated to one row per bucket and offered to the next one. Work and shuffle
+grow linearly with both inputs, and a busy station is spread over its buckets.
+
+A bucket holding more than ``hot_rows`` rows is cut again into about as many slots
+as a slot has microseconds. Slots are summarized, the summaries of one bucket are
+read in order to carry the last target across empty slots, and rows are then
+compared within their slot only. With unique (station, time) rows on both sides no
+task sees more than a few times the square root of the bucket length in
+microseconds (60,000 for an hour), whatever share of the data sits there.
 """
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,65 +26,123 @@ from gaugeworks.functions import timecols
 from gaugeworks.operators.dedupe import latest
 
 MICROS = 1_000_000
+MIN_BUCKET_SECONDS = 3600
+HOT_ROWS = 1_000_000
+
+_PLACE = ["_key", "_bucket"]
 
 
 def _micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def _bucket(width: int) -> Column:
-    """Floor division of ``_pos``, in integers."""
+def _floor_div(pos: Column, width: int) -> Column:
     w = F.lit(width)
-    return F.call_function("div", F.col("_pos") - F.pmod(F.col("_pos"), w), w)
+    return F.call_function("div", pos - F.pmod(pos, w), w)
 
 
-def _targets(target: DataFrame, key: str, ts: str, hit: Column, *extra: Column) -> DataFrame:
+def _targets(target: DataFrame, key: str, ts: str, hit: Column) -> DataFrame:
     return target.filter(F.col(ts).isNotNull()).select(
-        F.col(key).alias("_key"), _micros(F.col(ts)).alias("_pos"), F.lit(0).alias("_side"), hit.alias("_hit"), *extra
+        F.col(key).alias("_key"), _micros(F.col(ts)).alias("_pos"), F.lit(0).alias("_side"), hit.alias("_hit")
     )
 
 
-def _probes(probe: DataFrame, key: str, at: Column, *extra: Column) -> DataFrame:
+def _probes(probe: DataFrame, key: str, at: Column) -> DataFrame:
     return probe.select(
         F.col(key).alias("_key"), _micros(at).alias("_pos"), F.lit(1).alias("_side"),
-        F.struct(*[F.col(c) for c in probe.columns]).alias("_row"), *extra,
+        F.struct(*[F.col(c) for c in probe.columns]).alias("_row"),
     )
 
 
-def _neighbours(line: DataFrame, direction: str) -> DataFrame:
-    """Probe rows with ``_best`` = (p, h): the neighbouring target in the chosen direction."""
-    by = Window.partitionBy("_key", "_bucket")
+def _edge(function, only: Column | None = None) -> Column:
+    entry = F.struct("_pos", "_hit")
+    return function(entry if only is None else F.when(only, entry))
+
+
+def _as_targets(summary: DataFrame, place: list[str], offers: list[Column]) -> DataFrame:
+    """Summary rows turned into target rows at the place they are offered to."""
+    rows = summary.select("_key", F.inline(F.array(*offers)))
+    return rows.filter(F.col("_pos").isNotNull()).select(*place, "_pos", F.lit(0).alias("_side"), "_hit")
+
+
+def _slot(width: int, slot: int) -> Column:
+    """Slot of a row; targets offered from outside the bucket go just before or after it."""
+    first = F.col("_bucket") * width
+    return _floor_div(F.greatest(first - 1, F.least(F.col("_pos"), first + width)), slot)
+
+
+def _carried(rows: DataFrame) -> DataFrame:
+    """For every slot with probes, the last target of earlier slots and the first of later ones."""
+    is_target = F.col("_side") == 0
+    summary = rows.groupBy(*_PLACE, "_slot").agg(
+        _edge(F.max, is_target).alias("_last"), _edge(F.min, is_target).alias("_first"), F.max("_side").alias("_probed")
+    )
+    slots = Window.partitionBy(*_PLACE)
+    others = (Window.unboundedPreceding, -1)
+    carried = summary.withColumns({
+        "_before": F.last("_last", ignorenulls=True).over(slots.orderBy(F.asc("_slot")).rowsBetween(*others)),
+        "_after": F.last("_first", ignorenulls=True).over(slots.orderBy(F.desc("_slot")).rowsBetween(*others)),
+    }).filter(F.col("_probed") == 1)
+    offers = [
+        F.struct("_bucket", "_slot", F.col(f"{c}._pos").alias("_pos"), F.col(f"{c}._hit").alias("_hit"))
+        for c in ("_before", "_after")
+    ]
+    return _as_targets(carried, [*_PLACE, "_slot"], offers)
+
+
+def _time_line(probes: DataFrame, targets: DataFrame, tolerance: int, hot_rows: int) -> DataFrame:
+    """All rows by (_key, _bucket, _slot), with every target a probe may need in its slot."""
+    least = max(tolerance, MIN_BUCKET_SECONDS * MICROS)
+    slots = isqrt(least)
+    slot = -(-least // slots)
+    width = slot * slots
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_bucket", _floor_div(F.col("_pos"), width))
+
+    t, p = placed(targets), placed(probes)
+    edges = t.groupBy(*_PLACE).agg(_edge(F.max).alias("_last"), _edge(F.min).alias("_first"))
+    offers = [
+        F.struct((F.col("_bucket") + step).alias("_bucket"), F.col(f"{c}._pos").alias("_pos"), F.col(f"{c}._hit").alias("_hit"))
+        for c, step in (("_last", 1), ("_first", -1))
+    ]
+    line = t.select(*_PLACE, "_pos", "_side", "_hit").unionByName(_as_targets(edges, _PLACE, offers))
+    line = line.unionByName(p, allowMissingColumns=True)
+
+    # Counted on key and time only. A hot bucket takes more than hot_rows input rows,
+    # so the broadcast holds at most one (key, bucket) per hot_rows rows. While it is
+    # empty, the run time drops the branch that carries targets between slots.
+    sizes = t.select(*_PLACE).unionByName(p.select(*_PLACE)).groupBy(*_PLACE).agg(F.count(F.lit(1)).alias("_n"))
+    hot = F.broadcast(sizes.filter(F.col("_n") > hot_rows).select(*_PLACE, F.lit(True).alias("_hot")))
+    cold_or_hot = line.join(hot, _PLACE, "left").withColumn(
+        "_slot", F.when(F.col("_hot"), _slot(width, slot)).otherwise(F.lit(0).cast("bigint"))
+    )
+    only_hot = line.join(hot, _PLACE, "inner").withColumn("_slot", _slot(width, slot))
+    return cold_or_hot.unionByName(_carried(only_hot), allowMissingColumns=True)
+
+
+def _neighbours(line: DataFrame, before: bool = True, after: bool = True) -> DataFrame:
+    """Probe rows with ``_before`` and ``_after`` = (p, h): the targets at or next to them."""
+    by = Window.partitionBy(*_PLACE, "_slot")
     seen = (Window.unboundedPreceding, Window.currentRow)
     mark = F.when(F.col("_side") == 0, F.struct(F.col("_pos").alias("p"), F.col("_hit").alias("h")))
     looks = {}
-    if direction != "forward":
+    if before:
         looks["_before"] = F.last(mark, ignorenulls=True).over(
             by.orderBy(F.col("_pos").asc(), F.col("_side").asc()).rowsBetween(*seen)
         )
-    if direction != "backward":
+    if after:
         # Read from the end, so that this frame also only grows.
         looks["_after"] = F.last(mark, ignorenulls=True).over(
             by.orderBy(F.col("_pos").desc(), F.col("_side").asc()).rowsBetween(*seen)
         )
-    found = line.withColumns(looks).filter(F.col("_side") == 1)
-    if direction == "backward":
-        best = F.col("_before")
-    elif direction == "forward":
-        best = F.col("_after")
-    else:
-        to_before = F.col("_pos") - F.col("_before.p")
-        to_after = F.col("_after.p") - F.col("_pos")
-        best = F.when(
-            F.col("_before").isNotNull() & (F.col("_after").isNull() | (to_before <= to_after)),
-            F.col("_before"),
-        ).otherwise(F.col("_after"))
-    return found.select("_pos", "_row", best.alias("_best"))
-
-
-def _offer(edge: str, step: int) -> Column:
-    return F.struct(
-        (F.col("_bucket") + step).alias("_bucket"), F.col(f"{edge}._pos").alias("_pos"), F.col(f"{edge}._hit").alias("_hit")
-    )
+    return line.withColumns(looks).filter(F.col("_side") == 1).select("_key", "_pos", "_row", *looks)
+
+
+def _nearer(before: Column, after: Column) -> Column:
+    """The closer of two neighbours; ties go to the earlier."""
+    closer = (F.col("_pos") - before["p"]) <= (after["p"] - F.col("_pos"))
+    return F.when(before.isNotNull() & (after.isNull() | closer), before).otherwise(after)
 
 
 def asof(
@@ -88,46 +154,34 @@ def asof(
     payload: list[str],
     tolerance_seconds: float,
     direction: str = "nearest",
-    splits: int = 1,
     match_ts: str = "match_ts",
     start: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left as-of join: every probe row once, with at most one target row.
 
     ``direction`` is ``backward`` (last target at or before), ``forward`` (first at
     or after) or ``nearest`` (ties go to the earlier target). ``start`` replaces
-    the probe time as the point to search from. ``target`` must be unique on
-    (key, target_ts). Adds ``match_ts`` and ``payload``, NULL without a match.
+    the probe time as the point to search from. Both sides are unique on (key,
+    time). Adds ``match_ts`` and ``payload``, NULL without a match.
     """
     if direction not in ("backward", "forward", "nearest"):
         raise ValueError("direction must be backward, forward or nearest")
     tolerance = int(round(tolerance_seconds * MICROS))
-    width = max(1, -(-tolerance // splits))
-    reach = -(-tolerance // width)
-
     hit = F.struct(F.col(target_ts).alias(match_ts), *[F.col(c) for c in payload])
-    t = _targets(target, key, target_ts, hit).withColumn("_bucket", _bucket(width))
-    p = _probes(probe, key, start if start is not None else F.col(probe_ts)).withColumn("_bucket", _bucket(width))
-
-    line = t
-    if reach:
-        edges = t.groupBy("_key", "_bucket").agg(
-            F.max(F.struct("_pos", "_hit")).alias("_last"), F.min(F.struct("_pos", "_hit")).alias("_first")
-        )
-        # The bucket's last target is offered to the next buckets, its first to the previous ones.
-        offers = []
-        for step in range(1, reach + 1):
-            if direction != "forward":
-                offers.append(_offer("_last", step))
-            if direction != "backward":
-                offers.append(_offer("_first", -step))
-        line = line.unionByName(
-            edges.select("_key", F.lit(0).alias("_side"), F.inline(F.array(*offers)))
-        )
-
+    line = _time_line(
+        _probes(probe, key, start if start is not None else F.col(probe_ts)),
+        _targets(target, key, target_ts, hit),
+        tolerance,
+        hot_rows,
+    )
+    found = _neighbours(line, direction != "forward", direction != "backward")
+    if direction == "nearest":
+        best = _nearer(F.col("_before"), F.col("_after"))
+    else:
+        best = F.col("_before" if direction == "backward" else "_after")
     near = F.abs(F.col("_pos") - F.col("_best.p")) <= F.lit(tolerance)
-    found = _neighbours(line.unionByName(p, allowMissingColumns=True), direction)
-    return found.withColumn("_m", F.when(near, F.col("_best.h"))).select(
+    return found.withColumn("_best", best).withColumn("_m", F.when(near, F.col("_best.h"))).select(
         *[F.col(f"_row.{c}").alias(c) for c in probe.columns],
         *[F.col(f"_m.{c}").alias(c) for c in [match_ts, *payload]],
     )
@@ -135,15 +189,15 @@ def asof(
 
 def within_seconds(
     probe: DataFrame, target: DataFrame, key: str, probe_ts: str, target_ts: str,
-    payload: list[str], seconds: float = 1.0, splits: int = 1,
+    payload: list[str], seconds: float = 1.0, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One target row within ``±seconds`` (the nearest), or none."""
-    return asof(probe, target, key, probe_ts, target_ts, payload, seconds, "nearest", splits)
+    return asof(probe, target, key, probe_ts, target_ts, payload, seconds, hot_rows=hot_rows)
 
 
 def first_in_window(
     probe: DataFrame, target: DataFrame, key: str, probe_ts: str, target_ts: str,
-    payload: list[str], seconds: float = 3600.0, splits: int = 1,
+    payload: list[str], seconds: float = 3600.0, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The earliest target row within ``±seconds``.
 
@@ -151,12 +205,14 @@ def first_in_window(
     the tolerance.
     """
     start = timecols.ntz(F.col(probe_ts)) - F.make_dt_interval(secs=F.lit(seconds).cast("decimal(18,6)"))
-    return asof(probe, target, key, probe_ts, target_ts, payload, 2 * seconds, "forward", splits, start=start)
+    return asof(
+        probe, target, key, probe_ts, target_ts, payload, 2 * seconds, "forward", start=start, hot_rows=hot_rows
+    )
 
 
 def nearest_by_minute(
     probe: DataFrame, target: DataFrame, key: str, probe_ts: str, target_ts: str,
-    payload: list[str], seconds: float = 3600.0, splits: int = 1,
+    payload: list[str], seconds: float = 3600.0, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Nearest target in the probe's own minute, else the first row of the nearest minute.
 
@@ -165,27 +221,32 @@ def nearest_by_minute(
     (ties to the earlier) and its first row. Adds ``match_ts`` and ``match_tier``.
     """
     hit = F.struct(F.col(target_ts).alias("match_ts"), *[F.col(c) for c in payload])
-    target_minute = timecols.trunc("minute", F.col(target_ts))
-    probe_minute = timecols.trunc("minute", F.col(probe_ts))
 
-    # Tier 1: the minute itself is the bucket, nothing is carried over.
-    line = _targets(target, key, target_ts, hit, target_minute.alias("_bucket")).unionByName(
-        _probes(probe, key, F.col(probe_ts), probe_minute.alias("_bucket")), allowMissingColumns=True
-    )
-    tier1 = _neighbours(line, "nearest").select("_row.*", F.col("_best.h").alias("_exact"))
+    def minute(c: str) -> Column:
+        return timecols.trunc("minute", F.col(c))
+
+    # Tier 1: the neighbours on both sides, where they share the minute.
+    line = _time_line(_probes(probe, key, F.col(probe_ts)), _targets(target, key, target_ts, hit), 60 * MICROS, hot_rows)
+
+    def same_minute(look: str) -> Column:
+        a, b = (_floor_div(c, 60 * MICROS) for c in (F.col("_pos"), F.col(f"{look}.p")))
+        return F.when(a == b, F.col(look))
 
-    # Tier 2: minutes against minutes, one target row per minute.
+    exact = _nearer(same_minute("_before"), same_minute("_after"))["h"]
+    tier1 = _neighbours(line).select("_row", exact.alias("_exact"), minute(f"_row.{probe_ts}").alias("_minute"))
+
+    # Tier 2: distinct minutes against distinct minutes, then back to the rows.
     per_minute = latest(
-        target.select(key, target_minute.alias("_tminute"), hit.alias("_hit")),
+        target.select(key, minute(target_ts).alias("_tminute"), hit.alias("_hit")),
         [key, "_tminute"], F.col("_hit.match_ts").asc(),
     )
-    both = asof(
-        tier1.withColumn("_pminute", probe_minute), per_minute, key, "_pminute", "_tminute", ["_hit"],
-        seconds, "nearest", splits, match_ts="_near_minute",
-    )
-    best = both.withColumn("_m", F.coalesce("_exact", "_hit"))
-    return best.select(
-        *probe.columns,
+    asked = probe.select(key, minute(probe_ts).alias("_minute")).distinct()
+    near = asof(
+        asked, per_minute, key, "_minute", "_tminute", ["_hit"], seconds, match_ts="_near_minute", hot_rows=hot_rows
+    ).filter(F.col("_hit").isNotNull()).select(F.col(key).alias("_k"), F.col("_minute").alias("_m2"), "_hit")
+    both = tier1.join(near, (F.col(f"_row.{key}") == F.col("_k")) & (F.col("_minute") == F.col("_m2")), "left")
+    return both.withColumn("_m", F.coalesce("_exact", "_hit")).select(
+        *[F.col(f"_row.{c}").alias(c) for c in probe.columns],
         *[F.col(f"_m.{c}").alias(c) for c in ["match_ts", *payload]],
         F.when(F.col("_exact").isNotNull(), F.lit(1)).when(F.col("_m").isNotNull(), F.lit(2)).alias("match_tier"),
     )
