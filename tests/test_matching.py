@@ -97,10 +97,12 @@ def test_nearest_by_minute_equals_brute_force(spark, spread, step, hot_rows):
 
 
 def test_no_pairs_are_formed(spark):
+    """The only joins are with the list of hot buckets and, by minute, one row per minute."""
     p, t = frames(spark, scatter(1, 5, 10**9, 1000), scatter(2, 5, 10**9, 1000))
-    assert "Join" not in plan(m.within_seconds(p, t, "st", "ts", "tts", ["tid"]))
-    for df in [m.within_seconds(p, t, "st", "ts", "tts", ["tid"], hot_rows=1), m.nearest_by_minute(p, t, "st", "ts", "tts", ["tid"])]:
-        assert "Cartesian" not in plan(df) and "NestedLoop" not in plan(df)
+    one = plan(m.within_seconds(p, t, "st", "ts", "tts", ["tid"]))
+    assert "SortMergeJoin" not in one and one.count("BroadcastHashJoin") == 2
+    for text in [one, plan(m.nearest_by_minute(p, t, "st", "ts", "tts", ["tid"]))]:
+        assert "Cartesian" not in text and "NestedLoop" not in text
 
 
 def test_empty_sides(spark):
