@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import timecols
-from gaugeworks.operators.dedupe import latest
 
 MICROS = 1_000_000
 MIN_BUCKET_SECONDS = 3600
@@ -221,32 +220,33 @@ def nearest_by_minute(
     (ties to the earlier) and its first row. Adds ``match_ts`` and ``match_tier``.
     """
     hit = F.struct(F.col(target_ts).alias("match_ts"), *[F.col(c) for c in payload])
-
-    def minute(c: str) -> Column:
-        return timecols.trunc("minute", F.col(c))
-
-    # Tier 1: the neighbours on both sides, where they share the minute.
-    line = _time_line(_probes(probe, key, F.col(probe_ts)), _targets(target, key, target_ts, hit), 60 * MICROS, hot_rows)
-
-    def same_minute(look: str) -> Column:
-        a, b = (_floor_div(c, 60 * MICROS) for c in (F.col("_pos"), F.col(f"{look}.p")))
-        return F.when(a == b, F.col(look))
-
-    exact = _nearer(same_minute("_before"), same_minute("_after"))["h"]
-    tier1 = _neighbours(line).select("_row", exact.alias("_exact"), minute(f"_row.{probe_ts}").alias("_minute"))
-
-    # Tier 2: distinct minutes against distinct minutes, then back to the rows.
-    per_minute = latest(
-        target.select(key, minute(target_ts).alias("_tminute"), hit.alias("_hit")),
-        [key, "_tminute"], F.col("_hit.match_ts").asc(),
+    targets = _targets(target, key, target_ts, hit)
+    minute = 60 * MICROS
+    tolerance = int(round(seconds * MICROS))
+
+    # Minutes within the tolerance lie less than one minute further apart in time.
+    line = _time_line(_probes(probe, key, F.col(probe_ts)), targets, tolerance + minute, hot_rows)
+    found = _neighbours(line).withColumns({
+        "_minute": _floor_div(F.col("_pos"), minute),
+        "_mbefore": _floor_div(F.col("_before.p"), minute),
+        "_mafter": _floor_div(F.col("_after.p"), minute),
+    })
+    mine, earlier, later = F.col("_minute"), F.col("_mbefore"), F.col("_mafter")
+    exact = _nearer(F.when(earlier == mine, F.col("_before")), F.when(later == mine, F.col("_after")))
+    # The neighbours lie in the nearest earlier and later minute that have targets.
+    chosen = F.when(
+        earlier.isNotNull() & (later.isNull() | (mine - earlier <= later - mine)), earlier
+    ).otherwise(later)
+    decided = found.withColumns({"_exact": exact["h"], "_near": chosen})
+
+    # The first row of the chosen minute, from one row per (station, minute).
+    firsts = targets.groupBy(F.col("_key").alias("_k"), _floor_div(F.col("_pos"), minute).alias("_m")).agg(
+        _edge(F.min).alias("_first")
     )
-    asked = probe.select(key, minute(probe_ts).alias("_minute")).distinct()
-    near = asof(
-        asked, per_minute, key, "_minute", "_tminute", ["_hit"], seconds, match_ts="_near_minute", hot_rows=hot_rows
-    ).filter(F.col("_hit").isNotNull()).select(F.col(key).alias("_k"), F.col("_minute").alias("_m2"), "_hit")
-    both = tier1.join(near, (F.col(f"_row.{key}") == F.col("_k")) & (F.col("_minute") == F.col("_m2")), "left")
-    return both.withColumn("_m", F.coalesce("_exact", "_hit")).select(
+    both = decided.join(firsts, (F.col("_key") == F.col("_k")) & (F.col("_near") == F.col("_m")), "left")
+    in_reach = F.abs(F.col("_near") - F.col("_minute")) * minute <= tolerance
+    return both.withColumn("_match", F.coalesce("_exact", F.when(in_reach, F.col("_first._hit")))).select(
         *[F.col(f"_row.{c}").alias(c) for c in probe.columns],
-        *[F.col(f"_m.{c}").alias(c) for c in ["match_ts", *payload]],
-        F.when(F.col("_exact").isNotNull(), F.lit(1)).when(F.col("_m").isNotNull(), F.lit(2)).alias("match_tier"),
+        *[F.col(f"_match.{c}").alias(c) for c in ["match_ts", *payload]],
+        F.when(F.col("_exact").isNotNull(), F.lit(1)).when(F.col("_match").isNotNull(), F.lit(2)).alias("match_tier"),
     )
