@@ -46,11 +46,14 @@ def reload_months(df: DataFrame, path: str, ts: str = "dia_utc", station: str =
     _write(by_month(df, ts), path, "overwrite", True, ts, station)
 
 
-def _staged(spark: SparkSession, df: DataFrame, ts: str, label: str) -> str:
-    """Write ``df`` to the shared folder, cutting its lineage."""
+def _staged(spark: SparkSession, df: DataFrame, ts: str, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, cutting its lineage.
+
+    The schema is declared, since an empty batch leaves no file to read it from.
+    """
     path = work_dir(spark, label)
     by_month(df, ts).write.mode("errorifexists").partitionBy(MONTH).parquet(path)
-    return path
+    return read_table(spark, path, schema=with_month(df.schema))
 
 
 def _months(staged: DataFrame) -> list[str]:
@@ -73,14 +76,14 @@ def upsert_table(
     """
     if ts not in key:
         raise ValueError("the key must contain the time column")
-    staged = read_table(spark, _staged(spark, batch, ts, "batch"))
+    staged = _staged(spark, batch, ts, "batch")
     months = _months(staged)
     if not months:
         return
     table = read_table(spark, path)
     touched = table.filter(F.col(MONTH).isin(months)).drop(MONTH)
     merged = merge.upsert(touched, staged.drop(MONTH), key, version)
-    ready = read_table(spark, _staged(spark, merged, ts, "merged"))
+    ready = _staged(spark, merged, ts, "merged")
     _write(ready.select(*table.columns), path, "overwrite", True, ts, station)
 
 
@@ -94,7 +97,7 @@ def append_absent(
     without it they are merged from its files. Running it twice adds nothing the
     second time.
     """
-    staged = read_table(spark, _staged(spark, batch, ts, "batch"))
+    staged = _staged(spark, batch, ts, "batch")
     months = _months(staged)
     if not months:
         return
@@ -130,5 +133,5 @@ def compact(
     """Replace the given months by their current rows."""
     table = read_table(spark, path)
     rows = current(table.filter(F.col(MONTH).isin(months)).drop(MONTH), key, version)
-    ready = read_table(spark, _staged(spark, rows, ts, "compacted"))
+    ready = _staged(spark, rows, ts, "compacted")
     _write(ready.select(*table.columns), path, "overwrite", True, ts, station)

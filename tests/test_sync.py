@@ -142,6 +142,8 @@ def test_upsert_table_rewrites_touched_months_only(spark, old, new, path):
     assert stored(spark, path) == once
     sink.upsert_table(spark, path, new.limit(0), KEY, "dia")
     assert stored(spark, path) == once
+    sink.append_absent(spark, path, new.limit(0), KEY, "dia")
+    assert stored(spark, path) == once
     with pytest.raises(ValueError):
         sink.upsert_table(spark, path, new, ["estacao_id"], "dia")
 
