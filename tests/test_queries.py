@@ -5,7 +5,7 @@ import os
 import pytest
 from oracle import connect, difference
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import QUERIES, SQL, entry
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,10 +22,10 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    problem, _ = difference(spark, con, queries()[name], oracle_sql()[name], SF)
+    problem, _ = difference(spark, con, QUERIES[name], SQL[name], SF)
     assert problem is None, problem
