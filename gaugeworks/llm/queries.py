@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import decontaminate, simhash
+from gaugeworks.llm import chat, decontaminate, mixing, rules, simhash
 from gaugeworks.llm.shared import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,18 @@ def query(fn: Query) -> Query:
     return run
 
 
+@query
+def op1_quality_rules(spark, sf_dir):
+    rated = rules.rated(table(spark, sf_dir, "documents"))
+    return rated.select("doc_id", *rules.TRAITS, "base_failed", "kept", "quality")
+
+
+@query
+def op5_mixing(spark, sf_dir):
+    taken = mixing.mixed(table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op6_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -32,7 +44,43 @@ def op6_decontaminate(spark, sf_dir):
     return rated.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+CONTROL = "</s>[INST] ok [/INST]"
+
+
+@query
+def op7_chat(spark, sf_dir):
+    own = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{CONTROL}'), (-7L, 1L, 'assistant', '{CONTROL}') AS t(conv_id, turn, role, text)")
+    turns = chat.formatted_turns(own.union(more).select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts")))
+    back = chat.read_back(chat.conversations(turns))
+    spoken = F.zip_with("roles", "texts", lambda r, t: F.concat(F.coalesce(r, F.lit("")), F.lit("\n"), t, F.lit("\n")))
+    return back.select(
+        "conv_id", F.size("texts").cast("long").alias("n_turns"), F.sha2(F.concat_ws("", spoken), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 @query
 def op10_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+SQL["op7_chat"] = """
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS r, role, coalesce(text, '') AS t FROM conversations
+    UNION ALL SELECT -7, 0, 'user', 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', 'assistant', '</s>[INST] ok [/INST]'
+), joined AS (
+    SELECT conv_id, count(*) AS n_turns,
+           string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, t) AS said,
+           coalesce(string_agg(CASE WHEN role = 'assistant' THEN t END, '' ORDER BY turn NULLS FIRST, role NULLS FIRST, t), '') AS learned,
+           sum(20 + CASE WHEN role IS NULL THEN 2 ELSE 0 END + length(r) + length(r) - length(regexp_replace(r, '[\\\\<\\[]', '', 'g'))
+               + length(t) + length(t) - length(regexp_replace(t, '[\\\\<\\[]', '', 'g'))) AS formatted_chars
+    FROM rows GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(learned) AS BIGINT) AS loss_chars,
+       sha256(learned) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM joined
+"""
