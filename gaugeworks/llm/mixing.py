@@ -67,7 +67,7 @@ def slots(plan: DataFrame, block: int = BLOCK, size: int = SLOTS, seed: int = 0)
     upto = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     df = plan.withColumn("blocks", F.ceil(F.col("source_size") / block))
     df = df.withColumn("total", F.sum("target").over(everything))
-    df = df.withColumn("to", F.sum("target").over(upto) / F.col("total")).withColumn("to", F.when(F.col("rank") == F.max("rank").over(everything), 1.0).otherwise(F.col("to")))
+    df = df.withColumn("to", F.try_divide(F.sum("target").over(upto), F.col("total"))).withColumn("to", F.when(F.col("rank") == F.max("rank").over(everything), 1.0).otherwise(F.col("to")))
     df = df.withColumn("from", F.coalesce(F.lag("to").over(Window.orderBy("rank")), F.lit(0.0)))
     df = df.where("total > 0 and blocks > 0").withColumn("all", F.round(F.col("total") / block).cast("long"))
     shards = F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0), F.ceil(F.col("all") / size) - 1))

@@ -166,4 +166,7 @@ def accepted(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns."""
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_text"))
     model = fit(votes(traits(rows.select("_text"), "_text")))
-    return judged(votes(traits(rows, "_text")), model).where("kept").select("_row.*")
+    # A filter moves below whatever is computed from values alone and would have each trait computed
+    # again wherever a vote refers to it; it stays above a row number.
+    numbered = traits(rows, "_text").withColumn("_nth", F.monotonically_increasing_id())
+    return judged(votes(numbered), model).where("kept and _nth >= 0").select("_row.*")
