@@ -8,8 +8,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import chat, decontaminate, mixing, rules, simhash
-from gaugeworks.llm.shared import prepared, table
+from gaugeworks.llm import chat, decontaminate, language, mixing, ranking, rules, simhash, warc
+from gaugeworks.llm.shared import crc_mod, prepared, table
+from gaugeworks.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,6 +32,14 @@ def op1_quality_rules(spark, sf_dir):
     return rated.select("doc_id", *rules.TRAITS, "base_failed", "kept", "quality")
 
 
+@query
+def op4_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.learn(docs.where(crc_mod("doc_id", 3) != 1))
+    found = language.identified(docs, model)
+    return found.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op5_mixing(spark, sf_dir):
     taken = mixing.mixed(table(spark, sf_dir, "documents"))
@@ -61,6 +70,21 @@ def op7_chat(spark, sf_dir):
     )
 
 
+@query
+def op8_warc(spark, sf_dir):
+    folder = work_dir(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op9_quality_ranking(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ranking.learn(docs, table(spark, sf_dir, "labels").where(crc_mod("doc_id", 4) != 2))
+    found = ranking.scored(docs, model)
+    return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 @query
 def op10_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))

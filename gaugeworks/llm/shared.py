@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
 def prepared(spark: SparkSession) -> SparkSession:
     for key, value in BATCH.items():
         spark.conf.set(key, value)
+    # Workers on this machine import the package from where the driver has it; a cluster gets it shipped.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
     return spark
 
 
