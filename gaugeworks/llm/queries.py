@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import chat, decontaminate, language, mixing, ranking, rules, simhash, warc
+from gaugeworks.llm import chat, debruijn, decontaminate, language, mixing, ranking, rules, simhash, warc
 from gaugeworks.llm.shared import crc_mod, prepared, table
 from gaugeworks.session import work_dir
 
@@ -108,3 +108,9 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(learned) AS B
        sha256(learned) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
 FROM joined
 """
+
+
+@query
+def op2_debruijn(spark, sf_dir):
+    found = debruijn.removed(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
