@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import chat, debruijn, decontaminate, language, mixing, ranking, rules, simhash, warc
+from gaugeworks.llm import chat, debruijn, decontaminate, language, mixing, ranking, rules, simhash, suffix, warc
 from gaugeworks.llm.shared import crc_mod, prepared, table
 from gaugeworks.session import work_dir
 
@@ -114,3 +114,9 @@ FROM joined
 def op2_debruijn(spark, sf_dir):
     found = debruijn.removed(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op3_suffix_array(spark, sf_dir):
+    found = suffix.removed(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
