@@ -15,17 +15,24 @@ def norm(text):
     return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
 
 
+_windows = {}
+
+
 def plain(text, items):
+    known = _windows.get(id(items))
+    if known is None:
+        known = _windows[id(items)] = ({}, items)
+        for item, body in items:
+            iw = norm(body)
+            for k in range(max(1, len(iw) - 12) if iw else 0):
+                known[0].setdefault(tuple(iw[k : k + 13]), set()).add(item)
     w, hit, found = norm(text), set(), set()
-    for item, body in items:
-        iw = norm(body)
-        for k in range(max(1, len(iw) - 12) if iw else 0):
-            win = iw[k : k + 13]
-            for i in range(len(w) - len(win) + 1):
-                if w[i : i + len(win)] == win:
-                    hit.update(range(i, i + len(win)))
-                    if item is not None:
-                        found.add(str(item))
+    for n in {len(win) for win in known[0]}:
+        for i in range(len(w) - n + 1):
+            ids = known[0].get(tuple(w[i : i + n]))
+            if ids is not None:
+                hit.update(range(i, i + n))
+                found.update(str(x) for x in ids if x is not None)
     digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
     return len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w)
 
