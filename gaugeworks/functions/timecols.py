@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from gaugeworks.schema import LOCAL_ZONE
 
-# Accepted text layouts, most specific first; the zone is parsed separately.
-_TEXT_LAYOUTS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss"]
-_OFFSET_TAIL = r"\s*([+-])(\d{2}):?(\d{2})\s*$"
+# Accepted text layouts, the usual ones first; seconds and up to six fraction digits may be missing.
+_CLOCK = "yyyy-MM-dd HH:mm[:ss][.SSSSSS]"
+_ZONED_LAYOUTS = [f"{_CLOCK}[ ]XXX", f"{_CLOCK}[ ]X"]  # Z, -03:00; -0300, -03
+_PLAIN_LAYOUTS = [_CLOCK, "yyyy-MM-dd"]
 
 _GRAINS = {
     "dia": "day", "semana": "week", "mes": "month",
@@ -73,27 +74,15 @@ def original_text(utc: Column, zone: str = LOCAL_ZONE) -> Column:
 
 
 def parse_text_utc(text: Column, naive_zone: str = "UTC") -> Column:
-    """Text with an optional ``±HHmm``/``±HH:mm`` offset to UTC wall clock.
+    """ISO-like text, with or without an offset or ``Z``, to UTC wall clock.
 
-    Date and time may be joined by a space or a ``T`` and carry up to six
-    fraction digits. Anything else, including an unparsable tail, gives NULL.
+    Date and time are joined by a space or a ``T``; a date alone is midnight.
+    Anything else gives NULL.
     """
-    body = F.trim(F.regexp_replace(text, _OFFSET_TAIL, ""))
-    fraction = F.regexp_extract(body, r"\.(\d{1,6})$", 1)
-    seconds = F.regexp_replace(body, r"\.\d{1,6}$", "")
-    parsed = F.coalesce(
-        *[F.try_to_timestamp(seconds, F.lit(layout)) for layout in _TEXT_LAYOUTS]
-    )
-    micros = F.when(fraction == "", F.lit(0)).otherwise(F.rpad(fraction, 6, "0").cast("int"))
-    wall = ntz(parsed + F.make_dt_interval(secs=micros.cast("decimal(18,6)") / F.lit(1000000)))
-    sign = F.regexp_extract(text, _OFFSET_TAIL, 1)
-    hours = F.regexp_extract(text, _OFFSET_TAIL, 2)
-    mins = F.regexp_extract(text, _OFFSET_TAIL, 3)
-    size = hours.cast("int") * 60 + mins.cast("int")
-    offset = F.when(sign == "-", -size).otherwise(size)
-    return F.when(sign == "", to_utc(wall, naive_zone)).otherwise(
-        ntz(wall - F.make_dt_interval(mins=offset))
-    )
+    body = F.trim(F.replace(text, F.lit("T"), F.lit(" ")))
+    zoned = [ntz(F.try_to_timestamp(body, F.lit(f))) for f in _ZONED_LAYOUTS]
+    plain = F.coalesce(*[F.try_to_timestamp(body, F.lit(f)) for f in _PLAIN_LAYOUTS])
+    return F.coalesce(*zoned, to_utc(ntz(plain), naive_zone))
 
 
 def local_to_utc(wall: Column, zone: str = LOCAL_ZONE) -> Column:

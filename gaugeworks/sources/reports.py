@@ -7,20 +7,16 @@ flag). Lines are parsed where they are read, so files of any size split.
 
 from __future__ import annotations
 
-import unicodedata
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import timecols
-from gaugeworks.functions.values import token_to_double
+from gaugeworks.functions.values import any_of, token_to_double
 from gaugeworks.operators.dedupe import latest
 from gaugeworks.schema import LOCAL_ZONE
 
-# --- fixed values: report columns and header fragments ---
+# --- fixed values: report columns, header names and fragments, separators, date layouts ---
 REPORT_METRICS = ["chuva", "dirvento", "velvento", "temperatura", "pressao", "umidade"]
-_DATE = r"^\d{2}/\d{2}/\d{4}$"
-_TIME = r"^\d{2}:\d{2}:\d{2}$"
 HEADER_PARTS = {
     "chuva": ["chuva", "precip"],
     "dirvento": ["direc"],
@@ -29,9 +25,14 @@ HEADER_PARTS = {
     "pressao": ["press"],
     "umidade": ["umid"],
 }
-_TIME_NAMES = ["data_hora", "timestamp", "datahora"]
-_SEPARATORS = ["\t", ";", ","]
-_DAY_FIRST = ["dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm"]
+TIME_NAMES = ["data_hora", "timestamp", "datahora"]
+SEPARATORS = ["\t", ";", ","]
+DAY_FIRST = ["dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm"]
+# --- end of fixed values ---
+
+_DATE = r"^\d{2}/\d{2}/\d{4}$"
+_TIME = r"^\d{2}:\d{2}:\d{2}$"
+_ACCENTED, _PLAIN = "áàâãäéèêëíìîïóòôõöúùûüçñ", "aaaaaeeeeiiiiooooouuuucn"
 
 
 def decoded(value: Column) -> Column:
@@ -43,7 +44,9 @@ def decoded(value: Column) -> Column:
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Lines of the files as ``linha`` with their file name ``arquivo``."""
     return spark.read.text(paths).select(
-        decoded(F.col("value")).alias("linha"), F.col("_metadata.file_name").alias("arquivo")
+        decoded(F.col("value")).alias("linha"), F.col("_metadata.file_name").alias("arquivo"),
+        # Place in the file: lines of a block keep their order.
+        F.struct(F.col("_metadata.file_block_start").alias("bloco"), F.monotonically_increasing_id().alias("nth")).alias("posicao"),
     )
 
 
@@ -92,65 +95,94 @@ def parse_report(lines: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     )
 
 
-def last_report_wins(parsed: DataFrame) -> DataFrame:
-    """One row per instant over several files; the last file by name wins."""
-    return latest(parsed, ["ts_utc"], F.desc("arquivo"), F.desc("ts_site"), *[F.desc_nulls_last(m) for m in REPORT_METRICS])
+def last_report_wins(parsed: DataFrame, station: str = "estacao") -> DataFrame:
+    """One row per station and instant over several files; the last file by name wins.
+
+    A local time that occurs twice has no instant; such rows count by their local time.
+    """
+    rows = parsed.withColumn("_local", F.when(F.col("ts_utc").isNull(), F.col("ts_site")))
+    order = [F.desc("arquivo"), F.desc("ts_site"), *[F.desc_nulls_last(m) for m in REPORT_METRICS]]
+    return latest(rows, [station, "ts_utc", "_local"], *order).drop("_local")
+
+
+def _fields(line: Column) -> Column:
+    """The fields of a delimited line; a separator within double quotes does not count.
+
+    The separator is the first known one in the line, else white space.
+    """
+    def cut(sep: str) -> Column:
+        outside = F.split(line, sep + r'(?=(?:[^"]*"[^"]*")*[^"]*$)')
+        return F.when(line.contains('"'), outside).otherwise(F.split(line, sep))
+
+    out = F.split(F.trim(line), r"\s+")
+    for sep in reversed(SEPARATORS):
+        out = F.when(F.col("_sep") == sep, cut(sep)).otherwise(out)
+    return F.transform(out, lambda f: F.trim(F.btrim(F.trim(f), F.lit('"'))))
+
+
+def _separator(line: Column) -> Column:
+    return F.coalesce(*[F.when(line.contains(s), F.lit(s)) for s in SEPARATORS], F.lit(" "))
 
 
-def normalized_header(name: str) -> str:
-    plain = unicodedata.normalize("NFD", name)
-    return "".join(ch for ch in plain if unicodedata.category(ch) != "Mn").lower().strip()
+def _roles() -> dict[str, object]:
+    """Role -> condition on a folded header name."""
+    def moment(h):
+        return h.isin(TIME_NAMES)
 
+    def metric(parts):
+        return lambda h: any_of([h.contains(p) for p in parts])
 
-def header_layout(header: str) -> tuple[str, dict[str, str]]:
-    """Separator and role -> header name, from one header line.
+    return {
+        "ts": moment,
+        "dia": lambda h: ~moment(h) & ((h == "dia") | h.startswith("data")),
+        "hora": lambda h: ~moment(h) & h.contains("hora") & ~h.contains("direc"),
+        **{m: metric(parts) for m, parts in HEADER_PARTS.items()},
+    }
 
-    Roles are ``ts`` or ``dia`` and ``hora``, and the metrics found by fragment.
+
+def header_roles(lines: DataFrame) -> DataFrame:
+    """``lines`` with the separator ``_sep`` and ``_roles``, the 0-based field of each role a header line has.
+
+    ``_roles`` is NULL for a line that names no time, or not both of date and time.
     """
-    header = header.lstrip("﻿")
-    sep = next((s for s in _SEPARATORS if len(header.split(s)) >= 2), None)
-    if sep is None:
-        raise ValueError("no known separator in the header")
-    roles: dict[str, str] = {}
-    for raw in header.split(sep):
-        h = normalized_header(raw)
-        if h in _TIME_NAMES:
-            roles["ts"] = raw
-        elif h == "dia" or h.startswith("data"):
-            roles["dia"] = raw
-        elif "hora" in h and "direc" not in h:
-            roles["hora"] = raw
-        for metric, parts in HEADER_PARTS.items():
-            if metric not in roles and any(p in h for p in parts):
-                roles[metric] = raw
-    if "ts" not in roles and not {"dia", "hora"} <= set(roles):
-        raise ValueError(f"no date and time columns among {header.split(sep)}")
-    return sep, roles
-
-
-def read_delimited(
-    spark: SparkSession, path: str | list[str], encoding: str = "UTF-8", zone: str = LOCAL_ZONE
-) -> DataFrame:
-    """A delimited report whose separator and columns follow from its header.
-
-    Only the first line is inspected on the driver; files read together share it.
-    Unreadable values become NULL, rows without a time are dropped.
+    rows = lines.withColumn("_sep", _separator(F.col("linha")))
+    names = F.transform(_fields(F.col("linha")), lambda f: F.translate(F.lower(f), _ACCENTED, _PLAIN))
+    rows = rows.withColumn("_names", names)
+    place = {r: F.nullif(F.array_position(F.transform("_names", test), F.lit(True)), F.lit(0)).cast("int") - 1 for r, test in _roles().items()}
+    found = F.struct(*[p.alias(r) for r, p in place.items()])
+    rows = rows.withColumn("_found", found)
+    timed = F.col("_found.ts").isNotNull() | (F.col("_found.dia").isNotNull() & F.col("_found.hora").isNotNull())
+    return rows.withColumn("_roles", F.when(timed, F.col("_found"))).drop("_names", "_found")
+
+
+def parse_delimited(lines: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
+    """Delimited lines of any number of files, each read by its own header.
+
+    The first line of a file that names a time is its header; separator and columns
+    follow from it, so files of different layouts go together. Metrics a file does
+    not have and unreadable values are NULL; rows without a time are dropped, as are
+    files without a header (see ``files_without_layout``).
     """
-    first = spark.read.option("encoding", encoding).option("header", "false").option("sep", "\u0001").csv(path).first()
-    sep, roles = header_layout(first[0])
-    raw = spark.read.option("header", "true").option("sep", sep).option("encoding", encoding).csv(path)
-    # The reader trims nothing from names, but the first may carry a byte order mark.
-    names = {c.lstrip("﻿"): c for c in raw.columns}
-
-    def column(role: str) -> Column:
-        return F.col(f"`{names[roles[role]]}`")
-
-    text = column("ts") if "ts" in roles else F.concat_ws(" ", F.trim(column("dia")), F.trim(column("hora")))
-    wall = timecols.ntz(F.coalesce(*[F.try_to_timestamp(F.trim(text), F.lit(f)) for f in _DAY_FIRST]))
-    found = [m for m in REPORT_METRICS if m in roles]
-    rows = raw.select(
-        wall.alias("ts_site"),
-        *[F.trim(column(m)).try_cast("double").alias(m) for m in found],
-        F.col("_metadata.file_name").alias("arquivo"),
-    )
-    return with_site_times(rows, zone).select("ts_site", "ts_utc", *found, "arquivo")
+    head = header_roles(lines).filter(F.col("_roles").isNotNull())
+    head = head.groupBy("arquivo").agg(F.min_by(F.struct("_sep", "_roles"), "posicao").alias("_h"))
+    rows = lines.join(head, "arquivo").select("arquivo", "linha", F.col("_h._sep").alias("_sep"), F.col("_h._roles").alias("_roles"))
+    rows = rows.select("arquivo", "_roles", _fields(F.col("linha")).alias("_f"))
+
+    def field(role: str) -> Column:
+        return F.get("_f", F.col(f"_roles.{role}"))
+
+    text = F.coalesce(field("ts"), F.concat_ws(" ", field("dia"), field("hora")))
+    wall = timecols.ntz(F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in DAY_FIRST]))
+    rows = rows.select(wall.alias("ts_site"), *[field(m).try_cast("double").alias(m) for m in REPORT_METRICS], "arquivo")
+    return with_site_times(rows, zone).select("ts_site", "ts_utc", *REPORT_METRICS, "arquivo")
+
+
+def files_without_layout(lines: DataFrame) -> DataFrame:
+    """Files of which no line names a time, in delimited reports."""
+    known = F.max(F.col("_roles").isNotNull())
+    return header_roles(lines).groupBy("arquivo").agg(known.alias("_ok")).filter(~F.col("_ok")).select("arquivo")
+
+
+def read_delimited(spark: SparkSession, path: str | list[str], zone: str = LOCAL_ZONE) -> DataFrame:
+    """Delimited report files, see ``parse_delimited``; encodings are decided per line."""
+    return parse_delimited(read_lines(spark, path), zone)

@@ -287,12 +287,14 @@ def combined_run(spark, sf):
 FROM events""",
 )
 def report_delimited(spark, sf):
-    """Events written as a semicolon report with accented headers."""
+    """Events written as reports of two layouts with accented headers and read back together."""
     path = work_dir(spark, "delimited")
     number = F.col("value").cast("string")
-    a.table(spark, sf, "events").select(
-        F.date_format("ts", "dd/MM/yyyy").alias("Data"), F.date_format("ts", "HH:mm:ss").alias("Hora"),
-        F.when(F.col("event_type") == "error", "ND").otherwise(number).alias("Precipitação (mm)"),
-        F.col("event_id").cast("string").alias("Direção do Vento"), number.alias("Temperatura"),
-    ).write.option("header", "true").option("sep", ";").csv(path)
-    return reports.read_delimited(spark, path).drop("arquivo")
+    rain = F.when(F.col("event_type") == "error", "ND").otherwise(number).alias("Precipitação (mm)")
+    wind, heat = F.col("event_id").cast("string").alias("Direção do Vento"), number.alias("Temperatura")
+    day, hour = F.date_format("ts", "dd/MM/yyyy").alias("Data"), F.date_format("ts", "HH:mm:ss").alias("Hora")
+    events = a.table(spark, sf, "events")
+    even, odd = events.filter("event_id % 2 = 0"), events.filter("event_id % 2 = 1")
+    even.select(day, hour, rain, wind, heat).write.option("header", "true").option("sep", ";").csv(f"{path}/a")
+    odd.select(heat, hour, wind, day, rain).write.option("header", "true").option("sep", "\t").csv(f"{path}/b")
+    return reports.read_delimited(spark, [f"{path}/a", f"{path}/b"]).select("ts_site", "ts_utc", "chuva", "dirvento", "temperatura")

@@ -74,17 +74,21 @@ def truncated_times(spark, sf):
     "parse_offset_text",
     """SELECT event_id AS id, CASE event_type WHEN 'click' THEN date_trunc('millisecond', ts) + INTERVAL 3 HOUR
   WHEN 'view' THEN date_trunc('second', ts) + INTERVAL 2 HOUR WHEN 'purchase' THEN ts - INTERVAL 330 MINUTE
-  WHEN 'signup' THEN date_trunc('second', ts) END AS utc FROM events""",
+  WHEN 'signup' THEN CASE event_id % 4 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts)
+    WHEN 2 THEN date_trunc('minute', ts) + INTERVAL 3 HOUR ELSE date_trunc('day', ts) END END AS utc FROM events""",
 )
 def parse_offset_text(spark, sf):
-    """Four spellings of the event time and one that is not a time."""
+    """Seven spellings of the event time and one that is not a time."""
     ts, kind = F.col("ts"), F.col("event_type")
     text = (
         F.when(kind == "click", F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(" -0300")))
         .when(kind == "view", F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-02:00")))
         .when(kind == "purchase", F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(" +05:30")))
-        .when(kind == "signup", F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
-        .otherwise(F.col("props"))
+        .when(kind != "signup", F.col("props"))
+        .when(F.col("event_id") % 4 == 0, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+        .when(F.col("event_id") % 4 == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .when(F.col("event_id") % 4 == 2, F.date_format(ts, "yyyy-MM-dd HH:mm'-03'"))
+        .otherwise(F.date_format(ts, "yyyy-MM-dd"))
     )
     return a.table(spark, sf, "events").select(F.col("event_id").alias("id"), timecols.parse_text_utc(text).alias("utc"))
 
@@ -135,7 +139,9 @@ def report_parse(spark, sf):
 @query(
     "report_last_wins",
     f"""SELECT ts_utc, arquivo, chuva, velvento FROM ({REPORT})
-QUALIFY row_number() OVER (PARTITION BY ts_utc ORDER BY arquivo DESC, chuva DESC NULLS LAST, velvento DESC) = 1""",
+QUALIFY row_number() OVER (PARTITION BY regexp_replace(arquivo, '_Met.txt$', ''), ts_utc ORDER BY arquivo DESC, chuva DESC NULLS LAST, velvento DESC) = 1""",
 )
 def report_last_wins(spark, sf):
-    return reports.last_report_wins(reports.parse_report(report_lines(spark, sf))).select("ts_utc", "arquivo", "chuva", "velvento")
+    parsed = reports.parse_report(report_lines(spark, sf))
+    parsed = parsed.withColumn("estacao", F.regexp_replace("arquivo", r"_Met\.txt$", ""))
+    return reports.last_report_wins(parsed).select("ts_utc", "arquivo", "chuva", "velvento")

@@ -39,6 +39,9 @@ def test_offsets_of_part_hours_and_east(spark):
     ("2019-02-16T23:45:00-0200", "2019-02-17 01:45:00"),
     ("2019-02-16 23:45:00.5 -0200", "2019-02-17 01:45:00.500000"),
     ("2009-02-18 00:57:20", "2009-02-18 00:57:20"),
+    ("2009-02-18T00:57:20Z", "2009-02-18 00:57:20"), ("2009-02-18 00:57:20-03", "2009-02-18 03:57:20"),
+    ("2009-02-18 00:57:20.5 -03", "2009-02-18 03:57:20.500000"), ("2009-02-18", "2009-02-18 00:00:00"),
+    ("2009-02-18 00:57", "2009-02-18 00:57:00"), ("2009-02-18T00:57+0530", "2009-02-17 19:27:00"),
     ("junk", None), ("2009-13-01 00:00:00 -0300", None), ("2009-02-18 00:57:20 extra", None), ("", None), (None, None),
 ])
 def test_parse_text(spark, text, utc):
