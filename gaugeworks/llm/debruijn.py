@@ -20,10 +20,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.repeats import LAST, Layout, Pieces, candidates, covered, dealt, mix, pieces, rolling, runs_of, shared_marks, sorted_block, word_units
+from gaugeworks.llm.repeats import TOLD, Layout, Pieces, answered, candidates, covered, dealt, mix, pieces, repeated, rolling, shared_marks, sorted_block, told, word_units
 
 WIDTH, SEED = 20, 8
 _ONE, _TWO = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB
@@ -91,10 +92,8 @@ def _locate(doc: np.ndarray, twin: np.ndarray, spans: pa.Table) -> np.ndarray:
     return np.fromiter((place[d, t] for d, t in zip(spans.column("doc").to_numpy(), spans.column("twin").to_numpy())), np.int64, spans.num_rows)
 
 
-def _edge_rows(table: pa.Table, paths: pa.Table) -> pa.Table:
-    if not table.num_rows or not paths.num_rows:
-        return _NO_EDGES
-    block = table.column("block")[0].as_py()
+def _edges_of(table: pa.Table, paths: pa.Table):
+    """Both hashes, text and start of every edge of the given paths of a block."""
     _, _, units, doc, twin = _opened(table)
     one, two = _edges(units.values)
     text, start, n = _locate(doc, twin, paths), paths.column("start").to_numpy(), paths.column("n").to_numpy()
@@ -102,7 +101,24 @@ def _edge_rows(table: pa.Table, paths: pa.Table) -> pa.Table:
     at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
     text = text[row]
     here = units.first[text] + at
-    return _columns(e1=one[here], e2=two[here], doc=doc[text], twin=twin[text], start=at.astype(np.int32), block=np.full(len(at), block, np.int32))
+    return one[here], two[here], doc[text], twin[text], at.astype(np.int32)
+
+
+def _edges_told(table: pa.Table, paths: pa.Table, layout: Layout) -> pa.Table:
+    if not table.num_rows or not paths.num_rows:
+        return told(np.zeros(0, np.uint64), 0, layout.bits)
+    return told(np.unique(_edges_of(table, paths)[0]), table.column("block")[0].as_py(), layout.bits)
+
+
+def _edge_rows(table: pa.Table, given: pa.Table, layout: Layout) -> pa.Table:
+    """The edges of a block's paths that occur twice or more."""
+    paths = given.filter(pc.is_valid(given.column("n")))
+    if not table.num_rows or not paths.num_rows:
+        return _NO_EDGES
+    one, two, doc, twin, start = _edges_of(table, paths)
+    keep = repeated(one, given.filter(pc.is_valid(given.column("bucket"))), layout)
+    block = np.full(int(keep.sum()), table.column("block")[0].as_py(), np.int32)
+    return _columns(e1=one[keep], e2=two[keep], doc=doc[keep], twin=twin[keep], start=start[keep], block=block)
 
 
 def _spans(docs: DataFrame, rows: DataFrame, layout: Layout) -> DataFrame:
@@ -119,7 +135,13 @@ def _spans(docs: DataFrame, rows: DataFrame, layout: Layout) -> DataFrame:
     again = paths.join(first.drop("n"), ["p1", "p2"]).where(F.struct("doc", "twin", "start") != F.struct("first.doc", "first.twin", "first.start"))
     again = again.select("block", "doc", "twin", "start", "n")
     sources = first.select(F.col("first.block").alias("block"), F.col("first.doc").alias("doc"), F.col("first.twin").alias("twin"), F.col("first.start").alias("start"), "n")
-    edges = texts.cogroup(sources.groupBy("block")).applyInArrow(_edge_rows, "e1 long, e2 long, doc long, twin long, start int, block int")
+    # Edges that occur once are put aside as pieces were: most stand beside a changed word.
+    once = answered(texts.cogroup(sources.groupBy("block")).applyInArrow(lambda t, p: _edges_told(t, p, layout), TOLD))
+    none = lambda kind: F.lit(None).cast(kind)
+    given = sources.select("block", "doc", "twin", "start", "n", none("int").alias("bucket"), none("binary").alias("bits")).union(
+        once.select("block", none("long"), none("long"), none("int"), none("int"), "bucket", "bits")
+    )
+    edges = texts.cogroup(given.groupBy("block")).applyInArrow(lambda t, g: _edge_rows(t, g, layout), "e1 long, e2 long, doc long, twin long, start int, block int")
     seen = edges.groupBy("e1", "e2").agg(F.min(F.struct("doc", "twin", "start")).alias("first"))
     later = edges.join(seen, ["e1", "e2"]).where(F.struct("doc", "twin", "start") != F.col("first"))
     # Edges that follow each other here and where they were first seen form one path without a branch.

@@ -198,44 +198,68 @@ def _by_bucket(marks: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]
             yield bucket, np.unique((part >> U(24 - bits)) & U((1 << 40) - 1))
 
 
-def shared_marks(rows: DataFrame, layout: Layout, units, width: int, seed: int) -> DataFrame:
-    """(block, bucket, bits): for the sorted 40-bit marks a block has in a bucket, which others have."""
-    bits = layout.bits
+TOLD = "bucket int, block int, marks binary"
+ANSWER = "block int, bucket int, bits binary"
+
+
+def told(marks: np.ndarray, block: int, bits: int) -> pa.Table:
+    """What a block says of its distinct sorted marks: one row for each bucket."""
+    out = [(bucket, block, part.view(np.uint8).reshape(-1, 8)[:, :5].tobytes()) for bucket, part in _by_bucket(marks, bits)]
+    columns = list(zip(*out)) or [(), (), ()]
+    return pa.table({"bucket": pa.array(columns[0], pa.int32()), "block": pa.array(columns[1], pa.int32()), "marks": pa.array(columns[2], pa.binary())})
+
+
+def _answer(frame: pd.DataFrame) -> pd.DataFrame:
+    parts = []
+    for data in frame["marks"]:
+        wide = np.zeros((len(data) // 5, 8), np.uint8)
+        wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+        parts.append(wide.view(np.uint64)[:, 0])
+    every = np.sort(np.concatenate(parts))
+    again = np.unique(every[1:][every[1:] == every[:-1]])
+    found = [np.packbits(np.isin(p, again, assume_unique=True)).tobytes() for p in parts]
+    return pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"], "bits": found})
 
+
+def answered(rows: DataFrame) -> DataFrame:
+    """(block, bucket, bits): which of the marks ``told`` by a block other blocks told, too."""
+    return rows.groupBy("bucket").applyInPandas(_answer, ANSWER)
+
+
+def shared_marks(rows: DataFrame, layout: Layout, units, width: int, seed: int) -> DataFrame:
+    """The answers for the marks of all pieces."""
     def tell(table: pa.Table) -> pa.Table:
-        block = table.column("block")[0].as_py()
         _, texts = sorted_block(table)
         marks = np.unique(pieces(units(texts), width, seed).mark)
-        out = [(bucket, block, part.view(np.uint8).reshape(-1, 8)[:, :5].tobytes()) for bucket, part in _by_bucket(marks, bits)]
-        columns = list(zip(*out)) or [(), (), ()]
-        return pa.table({"bucket": pa.array(columns[0], pa.int32()), "block": pa.array(columns[1], pa.int32()), "marks": pa.array(columns[2], pa.binary())})
+        return told(marks, table.column("block")[0].as_py(), layout.bits)
 
-    def answer(frame: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        for data in frame["marks"]:
-            wide = np.zeros((len(data) // 5, 8), np.uint8)
-            wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-            parts.append(wide.view(np.uint64)[:, 0])
-        every = np.sort(np.concatenate(parts))
-        again = np.unique(every[1:][every[1:] == every[:-1]])
-        found = [np.packbits(np.isin(p, again, assume_unique=True)).tobytes() for p in parts]
-        return pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"], "bits": found})
+    return answered(rows.groupBy("block").applyInArrow(tell, TOLD))
 
-    told = rows.groupBy("block").applyInArrow(tell, "bucket int, block int, marks binary")
-    return told.groupBy("bucket").applyInPandas(answer, "block int, bucket int, bits binary")
 
+def elsewhere(marks: np.ndarray, replies: pa.Table, layout: Layout) -> np.ndarray:
+    """Which of a block's distinct sorted marks other blocks have, by the answers it got.
 
-def candidates(own: Pieces, replies: pa.Table, layout: Layout) -> np.ndarray:
-    """Which pieces of a block have a mark that another piece has too, here or elsewhere."""
-    marks, inverse, count = np.unique(own.mark, return_inverse=True, return_counts=True)
-    shared = count > 1
+    Marks are compared by part of their bits, so a few more may be among them.
+    """
+    out = np.zeros(len(marks), bool)
     bits = dict(zip(replies.column("bucket").to_pylist(), replies.column("bits").to_pylist()))
-    at = 0
     cut = np.searchsorted(marks, np.arange(1, 1 << layout.bits, dtype=np.uint64) << U(64 - layout.bits))
+    at = 0
     for bucket, part in enumerate(np.split(marks, cut)):
         if len(part) and bucket in bits:
             short, where = np.unique((part >> U(24 - layout.bits)) & U((1 << 40) - 1), return_inverse=True)
             known = np.unpackbits(np.frombuffer(bits[bucket], np.uint8), count=len(short)).astype(bool)
-            shared[at : at + len(part)] |= known[where]
+            out[at : at + len(part)] = known[where]
         at += len(part)
-    return shared[inverse]
+    return out
+
+
+def repeated(marks: np.ndarray, replies: pa.Table, layout: Layout) -> np.ndarray:
+    """Which marks of a block occur twice or more, here or elsewhere."""
+    distinct, inverse, count = np.unique(marks, return_inverse=True, return_counts=True)
+    return ((count > 1) | elsewhere(distinct, replies, layout))[inverse]
+
+
+def candidates(own: Pieces, replies: pa.Table, layout: Layout) -> np.ndarray:
+    """Which pieces of a block have a mark that another piece has too, here or elsewhere."""
+    return repeated(own.mark, replies, layout)
