@@ -170,10 +170,10 @@ class Layout:
     bits: int
 
     @classmethod
-    def of(cls, docs: DataFrame, text: str) -> Layout:
+    def of(cls, docs: DataFrame, text: str, block: int = BLOCK_BYTES) -> Layout:
         size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-        blocks = max(8, math.ceil(size / BLOCK_BYTES))
-        return cls(blocks, max(4, math.ceil(math.log2(blocks))))
+        blocks = max(8, math.ceil(size / block))
+        return cls(blocks, min(24, max(4, math.ceil(math.log2(blocks)))))
 
 
 def dealt(docs: DataFrame, layout: Layout, id: str, text: str, *more) -> DataFrame:
@@ -190,12 +190,17 @@ def sorted_block(table: pa.Table) -> tuple[pa.Table, pa.Array]:
     return table, body.chunk(0) if isinstance(body, pa.ChunkedArray) else body
 
 
+def _cuts(marks: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
+    """The buckets that sorted marks fall into, each with its range."""
+    bucket = (marks >> U(64 - bits)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(marks) else np.zeros(0, np.int64)
+    return list(zip(bucket[first].tolist(), first.tolist(), np.append(first[1:], len(marks)).tolist()))
+
+
 def _by_bucket(marks: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]:
     """Sorted distinct marks, bucket by bucket, as 40-bit numbers."""
-    cut = np.searchsorted(marks, np.arange(1, 1 << bits, dtype=np.uint64) << U(64 - bits))
-    for bucket, part in enumerate(np.split(marks, cut)):
-        if len(part):
-            yield bucket, np.unique((part >> U(24 - bits)) & U((1 << 40) - 1))
+    for bucket, a, b in _cuts(marks, bits):
+        yield bucket, np.unique((marks[a:b] >> U(24 - bits)) & U((1 << 40) - 1))
 
 
 TOLD = "bucket int, block int, marks binary"
@@ -243,14 +248,10 @@ def elsewhere(marks: np.ndarray, replies: pa.Table, layout: Layout) -> np.ndarra
     """
     out = np.zeros(len(marks), bool)
     bits = dict(zip(replies.column("bucket").to_pylist(), replies.column("bits").to_pylist()))
-    cut = np.searchsorted(marks, np.arange(1, 1 << layout.bits, dtype=np.uint64) << U(64 - layout.bits))
-    at = 0
-    for bucket, part in enumerate(np.split(marks, cut)):
-        if len(part) and bucket in bits:
-            short, where = np.unique((part >> U(24 - layout.bits)) & U((1 << 40) - 1), return_inverse=True)
-            known = np.unpackbits(np.frombuffer(bits[bucket], np.uint8), count=len(short)).astype(bool)
-            out[at : at + len(part)] = known[where]
-        at += len(part)
+    for bucket, a, b in _cuts(marks, layout.bits):
+        if bucket in bits:
+            short, where = np.unique((marks[a:b] >> U(24 - layout.bits)) & U((1 << 40) - 1), return_inverse=True)
+            out[a:b] = np.unpackbits(np.frombuffer(bits[bucket], np.uint8), count=len(short)).astype(bool)[where]
     return out
 
 

@@ -2,7 +2,8 @@
 
 Pieces of text that cannot hold a shared string of 50 bytes are put aside first (``repeats``). The
 others are dealt over shards by their mark, equal pieces of a block once; equal strings meet in one
-shard. Each shard
+shard. Each shard puts its equal pieces together; those that differ but have a mark in common are laid
+end to end, and it
 
 * sorts the suffixes of its pieces by induced sorting: suffixes are classified as smaller or larger
   than their right neighbour, substrings between leftmost-smaller positions are sorted and named, the
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.repeats import LAST, Layout, byte_units, candidates, covered, dealt, pieces, shared_marks, sorted_block
 
 WIDTH, SEED = 50, 18
+BLOCK_BYTES = 3 << 20
 SHORT = 2048  # sequences of names that are sorted directly
 U = np.uint64
 
@@ -172,6 +174,8 @@ def permuted_prefixes(s: np.ndarray, order: np.ndarray, most: int) -> np.ndarray
 
 def earliest(texts: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(piece, window, document) of every window of every piece: the smallest document that has it."""
+    if not texts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     joined = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int32) + 1
     start = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
@@ -245,11 +249,22 @@ def _shard(table: pa.Table) -> pa.Table:
     number = np.fromiter((numbers.setdefault(p.as_py(), len(numbers)) for p in table.column("piece")), np.int64, table.num_rows)
     docs = np.full(len(numbers), LAST, np.int64)
     np.minimum.at(docs, number, table.column("doc").to_numpy())
-    piece, nth, least = earliest(list(numbers), docs)
+    contents = list(numbers)
+    # A piece that is the only one with its mark shares windows with no other: its copies are all there is.
+    _, inverse, count = np.unique(pieces(byte_units(pa.array(contents, pa.binary())), WIDTH, SEED).mark, return_inverse=True, return_counts=True)
+    alone = np.flatnonzero(count[inverse] == 1)
+    several = np.flatnonzero(count[inverse] > 1)
+    piece, nth, least = earliest([contents[k] for k in several.tolist()], docs[several])
     new = np.ones(len(piece), bool)
     new[1:] = (piece[1:] != piece[:-1]) | (least[1:] != least[:-1])
     at = np.flatnonzero(new)
-    run_piece, run_start, run_n, run_doc = piece[at], nth[at], np.diff(np.append(at, len(piece))), least[at]
+    run_piece = np.concatenate([several[piece[at]], alone])
+    order = np.argsort(run_piece, kind="stable")
+    run_piece = run_piece[order]
+    run_start = np.concatenate([nth[at], np.zeros(len(alone), np.int64)])[order]
+    windows = np.fromiter((len(contents[k]) - WIDTH + 1 for k in alone.tolist()), np.int64, len(alone))
+    run_n = np.concatenate([np.diff(np.append(at, len(piece))), windows])[order]
+    run_doc = np.concatenate([least[at], docs[alone]])[order]
     lo, hi = np.searchsorted(run_piece, number), np.searchsorted(run_piece, number, "right")
     row = np.repeat(np.arange(len(number)), hi - lo)
     run = np.arange(len(row)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[row]
@@ -268,7 +283,7 @@ def removed(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
     A null text is empty. A null id comes after all ids; rows with equal ids are one document, none of
     which is earlier. An empty table gives an empty result. Other columns are not looked at.
     """
-    layout = Layout.of(docs, text)
+    layout = Layout.of(docs, text, BLOCK_BYTES)
     rows = dealt(docs, layout, id, text, F.col(id).isNull().alias("nameless"))
     texts = rows.groupBy("block")
     marks = shared_marks(rows, layout, byte_units, WIDTH, SEED)
