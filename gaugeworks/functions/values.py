@@ -50,29 +50,27 @@ def snap_zero(c: Column, below: float = 0.001) -> Column:
     return F.when(F.abs(c) < F.lit(below), F.lit(0.0)).otherwise(c)
 
 
-def cents(c: Column) -> Column:
-    """Two-decimal value (the precision of stored readings) as whole hundredths."""
-    return F.rint(c.cast("double") * 100).cast("bigint")
-
-
 def rounded_mean(c: Column, places: int = 2) -> Column:
-    """``round(coalesce(avg(c), 0), 2)`` with exact half-away-from-zero rounding.
+    """``round(coalesce(avg(c), 0), 2)``: the mean is rounded once, half away from zero.
 
-    Sums whole hundredths, so the result does not depend on row order. Under ANSI
-    mode a sum beyond 64 bits raises instead of wrapping.
+    Values are summed as decimals of six places, so the result does not depend on row
+    order. Under ANSI mode a sum beyond the decimal's range raises instead of wrapping.
     """
     if places != 2:
-        raise ValueError("readings carry two decimals")
-    total, n = F.sum(cents(c)), F.count(c)
-    size = F.abs(total)
+        raise ValueError("means are given with two decimals")
+    total, n = F.sum(exact(c)), F.count(c)
     # No group is empty, but a group without values has n = 0.
-    half_up = F.call_function("div", size * 2 + n, F.greatest(n, F.lit(1)) * 2)
+    half_up = F.call_function("div", F.abs(total) * 200 + n, F.greatest(n, F.lit(1)) * 2)
     value = F.when(total < 0, -half_up).otherwise(half_up) / F.lit(100.0)
     return F.coalesce(value, F.lit(0.0))
 
 
 def rounded_max(c: Column) -> Column:
-    return F.coalesce(F.max(cents(c)), F.lit(0)) / F.lit(100.0)
+    return F.coalesce(F.round(F.max(exact(c)), 2).cast("double"), F.lit(0.0))
+
+
+def exact(c: Column) -> Column:
+    return c.cast("decimal(20,6)")
 
 
 def rain_by_cutover(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from gaugeworks.functions import timecols, values
 from gaugeworks.schema import LOCAL_ZONE
@@ -31,14 +31,18 @@ def drop_auxiliary(df: DataFrame, names: list[str] | None = None) -> DataFrame:
 
 
 def coerce_numbers(df: DataFrame, metrics: list[str], station: str | None = "estacao_id") -> DataFrame:
-    """Metrics to double and the station id to a nullable integer, by case-insensitive name."""
+    """Metrics to double and the station id to a nullable integer, by case-insensitive name.
+
+    Only text is parsed; numbers are cast.
+    """
     wanted = {m.lower(): m for m in metrics}
+    text = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
     out = []
     for c in df.columns:
         if c.lower() in wanted:
-            out.append(values.to_double(F.col(c)).alias(wanted[c.lower()]))
+            out.append((values.to_double(F.col(c)) if c in text else F.col(c).cast("double")).alias(wanted[c.lower()]))
         elif station and c.lower() == station.lower():
-            out.append(values.to_long(F.col(c)).alias(station))
+            out.append((values.to_long(F.col(c)) if c in text else F.col(c).cast("bigint")).alias(station))
         else:
             out.append(F.col(c))
     return df.select(*out)

@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-MAX_PARTITIONS = 10_000
-
-
 def schema_differences(actual: StructType, expected: StructType) -> list[tuple[str, str, str]]:
     """Columns of both schemas whose types differ: (name, actual type, expected type)."""
     wanted = {f.name.lower(): f.dataType.simpleString() for f in expected.fields}
@@ -25,11 +22,11 @@ def schema_diff(spark: SparkSession, actual: StructType, expected: StructType) -
     )
 
 
-def layout_check(df: DataFrame, partition: str) -> DataFrame:
+def layout_check(df: DataFrame, partition: str, most: int | None = None) -> DataFrame:
     """One row on the partitioning of a table: partitions, granularity, verdict.
 
     Only the partition column is read. Months are accepted; days are rejected, as
-    is any layout over the partition limit.
+    is any layout of more than ``most`` partitions, if given.
     """
     p = F.col(partition).cast("string")
     grain = (
@@ -48,7 +45,7 @@ def layout_check(df: DataFrame, partition: str) -> DataFrame:
             F.count(F.when(F.col("p").rlike(r"^\d{4}$"), 1)).alias("_years"),
         )
         .withColumn("granularity", grain)
-        .withColumn("accepted", (F.col("granularity") != "day") & (F.col("partitions") <= MAX_PARTITIONS))
+        .withColumn("accepted", (F.col("granularity") != "day") & (F.lit(True) if most is None else F.col("partitions") <= most))
         .drop("_months", "_days", "_years")
     )
 

@@ -30,31 +30,13 @@ def versions(df: DataFrame, key: list[str], version: str) -> DataFrame:
     )
 
 
-def evidence(
-    df: DataFrame, key: list[str], version: str, payload: list[str], per_row: int = 1000
-) -> DataFrame:
-    """Per duplicated key the versions, newest first, with their values as arrays.
-
-    A key with more than ``per_row`` versions is spread over several ``part``s by
-    a hash of the version, so no task holds more than about ``per_row`` entries of
-    one key; together the parts hold every version. Ordinary keys have part 0 only.
+def evidence(df: DataFrame, key: list[str], version: str, payload: list[str]) -> DataFrame:
+    """One row per version of each duplicated key: how many there are, which wins, and its values.
+
+    Versions stay rows, so a key may have any number of them.
     """
-    parts = F.ceil(F.col("total") / per_row)
-    rows = versions(df, key, version).withColumn("part", F.pmod(F.xxhash64(version), parts))
-    entry = F.struct(F.col(version).alias("id"), *[F.col(c) for c in payload])
-    # Shuffled by the part as well, so that the parts of one key do not meet again.
-    grouped = (
-        rows.repartition(*key, "part")
-        .groupBy(*key, "total", "winner", "part")
-        .agg(F.sort_array(F.collect_list(entry), asc=False).alias("_e"))
-    )
-    return grouped.select(
-        *key,
-        F.col("total").alias("quantidade"),
-        F.col("winner").alias("id_vencedor"),
-        F.col("part").alias("parte"),
-        F.col("_e.id").alias("ids"),
-        *[F.col(f"_e.{c}").alias(f"valores_{c}") for c in payload],
+    return versions(df, key, version).select(
+        *key, F.col("total").alias("quantidade"), F.col("winner").alias("id_vencedor"), F.col(version).alias("id"), *payload
     )
 
 

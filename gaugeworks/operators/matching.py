@@ -7,26 +7,22 @@ own bucket or is the last (first) target of the bucket before (after); those are
 pre-aggregated to one row per bucket and offered to the next one. Work and shuffle
 grow linearly with both inputs, and a busy station is spread over its buckets.
 
-A bucket holding more than ``hot_rows`` rows is cut again into about as many slots
-as a slot has microseconds. Slots are summarized, the summaries of one bucket are
-read in order to carry the last target across empty slots, and rows are then
-compared within their slot only. With unique (station, time) rows on both sides no
-task sees more than a few times the square root of the bucket length in
-microseconds (60,000 for an hour), whatever share of the data sits there.
+A bucket longer than a second is cut into slots of a second. Slots are summarized,
+the summaries of one bucket are read in order to carry the last target across empty
+slots, and rows are compared within their slot only. With unique (station, time)
+rows, which are held in microseconds, a slot has at most a million rows of one
+station and a bucket at most as many summaries as it has seconds, whatever share of
+the data sits there. Probes without a key or time match nothing and take no part.
 """
 
 from __future__ import annotations
 
-from math import isqrt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import timecols
 
 MICROS = 1_000_000
-MIN_BUCKET_SECONDS = 3600
-HOT_ROWS = 1_000_000
 
 _PLACE = ["_key", "_bucket"]
 
@@ -47,12 +43,17 @@ def _targets(target: DataFrame, key: str, ts: str, hit: Column) -> DataFrame:
 
 
 def _probes(probe: DataFrame, key: str, at: Column) -> DataFrame:
-    return probe.select(
+    return probe.filter(F.col(key).isNotNull() & at.isNotNull()).select(
         F.col(key).alias("_key"), _micros(at).alias("_pos"), F.lit(1).alias("_side"),
         F.struct(*[F.col(c) for c in probe.columns]).alias("_row"),
     )
 
 
+def _with_placeless(matched: DataFrame, probe: DataFrame, key: str, at: Column) -> DataFrame:
+    """``matched`` and the probes without a key or time, which have no match."""
+    return matched.unionByName(probe.filter(F.col(key).isNull() | at.isNull()), allowMissingColumns=True)
+
+
 def _edge(function, only: Column | None = None) -> Column:
     entry = F.struct("_pos", "_hit")
     return function(entry if only is None else F.when(only, entry))
@@ -89,11 +90,13 @@ def _carried(rows: DataFrame) -> DataFrame:
     return _as_targets(carried, [*_PLACE, "_slot"], offers)
 
 
-def _time_line(probes: DataFrame, targets: DataFrame, tolerance: int, hot_rows: int) -> DataFrame:
-    """All rows by (_key, _bucket, _slot), with every target a probe may need in its slot."""
-    least = max(tolerance, MIN_BUCKET_SECONDS * MICROS)
-    slots = isqrt(least)
-    slot = -(-least // slots)
+def _time_line(probes: DataFrame, targets: DataFrame, tolerance: int) -> DataFrame:
+    """All rows by (_key, _bucket, _slot), with every target a probe may need in its slot.
+
+    The layout follows from the tolerance alone.
+    """
+    slot = max(1, min(tolerance, MICROS))
+    slots = max(1, -(-tolerance // slot))
     width = slot * slots
 
     def placed(rows: DataFrame) -> DataFrame:
@@ -107,17 +110,10 @@ def _time_line(probes: DataFrame, targets: DataFrame, tolerance: int, hot_rows:
     ]
     line = t.select(*_PLACE, "_pos", "_side", "_hit").unionByName(_as_targets(edges, _PLACE, offers))
     line = line.unionByName(p, allowMissingColumns=True)
-
-    # Counted on key and time only. A hot bucket takes more than hot_rows input rows,
-    # so the broadcast holds at most one (key, bucket) per hot_rows rows. While it is
-    # empty, the run time drops the branch that carries targets between slots.
-    sizes = t.select(*_PLACE).unionByName(p.select(*_PLACE)).groupBy(*_PLACE).agg(F.count(F.lit(1)).alias("_n"))
-    hot = F.broadcast(sizes.filter(F.col("_n") > hot_rows).select(*_PLACE, F.lit(True).alias("_hot")))
-    cold_or_hot = line.join(hot, _PLACE, "left").withColumn(
-        "_slot", F.when(F.col("_hot"), _slot(width, slot)).otherwise(F.lit(0).cast("bigint"))
-    )
-    only_hot = line.join(hot, _PLACE, "inner").withColumn("_slot", _slot(width, slot))
-    return cold_or_hot.unionByName(_carried(only_hot), allowMissingColumns=True)
+    if slots == 1:
+        return line.withColumn("_slot", F.lit(0).cast("bigint"))
+    line = line.withColumn("_slot", _slot(width, slot))
+    return line.unionByName(_carried(line), allowMissingColumns=True)
 
 
 def _neighbours(line: DataFrame, before: bool = True, after: bool = True) -> DataFrame:
@@ -155,7 +151,6 @@ def asof(
     direction: str = "nearest",
     match_ts: str = "match_ts",
     start: Column | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left as-of join: every probe row once, with at most one target row.
 
@@ -167,12 +162,12 @@ def asof(
     if direction not in ("backward", "forward", "nearest"):
         raise ValueError("direction must be backward, forward or nearest")
     tolerance = int(round(tolerance_seconds * MICROS))
+    at = start if start is not None else F.col(probe_ts)
     hit = F.struct(F.col(target_ts).alias(match_ts), *[F.col(c) for c in payload])
     line = _time_line(
-        _probes(probe, key, start if start is not None else F.col(probe_ts)),
+        _probes(probe, key, at),
         _targets(target, key, target_ts, hit),
         tolerance,
-        hot_rows,
     )
     found = _neighbours(line, direction != "forward", direction != "backward")
     if direction == "nearest":
@@ -180,23 +175,24 @@ def asof(
     else:
         best = F.col("_before" if direction == "backward" else "_after")
     near = F.abs(F.col("_pos") - F.col("_best.p")) <= F.lit(tolerance)
-    return found.withColumn("_best", best).withColumn("_m", F.when(near, F.col("_best.h"))).select(
+    matched = found.withColumn("_best", best).withColumn("_m", F.when(near, F.col("_best.h"))).select(
         *[F.col(f"_row.{c}").alias(c) for c in probe.columns],
         *[F.col(f"_m.{c}").alias(c) for c in [match_ts, *payload]],
     )
+    return _with_placeless(matched, probe, key, at)
 
 
 def within_seconds(
     probe: DataFrame, target: DataFrame, key: str, probe_ts: str, target_ts: str,
-    payload: list[str], seconds: float = 1.0, hot_rows: int = HOT_ROWS,
+    payload: list[str], seconds: float = 1.0,
 ) -> DataFrame:
     """One target row within ``±seconds`` (the nearest), or none."""
-    return asof(probe, target, key, probe_ts, target_ts, payload, seconds, hot_rows=hot_rows)
+    return asof(probe, target, key, probe_ts, target_ts, payload, seconds)
 
 
 def first_in_window(
     probe: DataFrame, target: DataFrame, key: str, probe_ts: str, target_ts: str,
-    payload: list[str], seconds: float = 3600.0, hot_rows: int = HOT_ROWS,
+    payload: list[str], seconds: float = 3600.0,
 ) -> DataFrame:
     """The earliest target row within ``±seconds``.
 
@@ -205,13 +201,13 @@ def first_in_window(
     """
     start = timecols.ntz(F.col(probe_ts)) - F.make_dt_interval(secs=F.lit(seconds).cast("decimal(18,6)"))
     return asof(
-        probe, target, key, probe_ts, target_ts, payload, 2 * seconds, "forward", start=start, hot_rows=hot_rows
+        probe, target, key, probe_ts, target_ts, payload, 2 * seconds, "forward", start=start
     )
 
 
 def nearest_by_minute(
     probe: DataFrame, target: DataFrame, key: str, probe_ts: str, target_ts: str,
-    payload: list[str], seconds: float = 3600.0, hot_rows: int = HOT_ROWS,
+    payload: list[str], seconds: float = 3600.0,
 ) -> DataFrame:
     """Nearest target in the probe's own minute, else the first row of the nearest minute.
 
@@ -225,7 +221,7 @@ def nearest_by_minute(
     tolerance = int(round(seconds * MICROS))
 
     # Minutes within the tolerance lie less than one minute further apart in time.
-    line = _time_line(_probes(probe, key, F.col(probe_ts)), targets, tolerance + minute, hot_rows)
+    line = _time_line(_probes(probe, key, F.col(probe_ts)), targets, tolerance + minute)
     found = _neighbours(line).withColumns({
         "_minute": _floor_div(F.col("_pos"), minute),
         "_mbefore": _floor_div(F.col("_before.p"), minute),
@@ -245,8 +241,9 @@ def nearest_by_minute(
     )
     both = decided.join(firsts, (F.col("_key") == F.col("_k")) & (F.col("_near") == F.col("_m")), "left")
     in_reach = F.abs(F.col("_near") - F.col("_minute")) * minute <= tolerance
-    return both.withColumn("_match", F.coalesce("_exact", F.when(in_reach, F.col("_first._hit")))).select(
+    matched = both.withColumn("_match", F.coalesce("_exact", F.when(in_reach, F.col("_first._hit")))).select(
         *[F.col(f"_row.{c}").alias(c) for c in probe.columns],
         *[F.col(f"_match.{c}").alias(c) for c in ["match_ts", *payload]],
         F.when(F.col("_exact").isNotNull(), F.lit(1)).when(F.col("_match").isNotNull(), F.lit(2)).alias("match_tier"),
     )
+    return _with_placeless(matched, probe, key, F.col(probe_ts))

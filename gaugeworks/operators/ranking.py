@@ -5,14 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_PAGE = 10_000
+from gaugeworks.operators.filters import moment
+
 DEFAULT_PAGE = 1_000
 
 
-def page(df: DataFrame, ts: str, ties: list[str], limit: int = DEFAULT_PAGE, offset: int = 0) -> DataFrame:
-    """Newest first, at most ``MAX_PAGE`` rows; ``ties`` make the order total."""
+def page(
+    df: DataFrame, ts: str, ties: list[str], limit: int = DEFAULT_PAGE, offset: int = 0, after: tuple | None = None
+) -> DataFrame:
+    """``limit`` rows, newest first; ``ties`` make the order total.
+
+    ``after`` holds the time and ties of the last row of the page before: rows up to it
+    are filtered while scanning, so a deep page costs no more than the first, where
+    ``offset`` has to sort all rows it skips. Times and ties must not be NULL then.
+    """
     order = [F.desc(ts), *[F.asc(t) for t in ties]]
-    return df.orderBy(*order).offset(offset).limit(min(limit, MAX_PAGE))
+    if after is not None:
+        last = [moment(after[0]), *[F.lit(v) for v in after[1:]]]
+        beyond = F.lit(False)
+        for column, value in reversed(list(zip(ties, last[1:]))):
+            beyond = (F.col(column) > value) | ((F.col(column) == value) & beyond)
+        df = df.filter((F.col(ts) < last[0]) | ((F.col(ts) == last[0]) & beyond))
+    return df.orderBy(*order).offset(offset).limit(limit)
 
 
 def total_rows(df: DataFrame) -> DataFrame:

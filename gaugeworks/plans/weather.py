@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +63,10 @@ def export_slice(
     path: str, start, end, station_ids: list | None = WEATHER_STATIONS,
     sensor_map: dict[str, str] | None = None,
 ) -> None:
-    """Replace the months of ``[start, end)``, which must start and end with a month."""
+    """Replace the months of ``[start, end)``; raises unless it starts and ends with a month."""
+    for bound in (start, end):
+        if datetime.fromisoformat(str(bound)) != datetime.fromisoformat(str(bound)[:7] + "-01"):
+            raise ValueError(f"{bound} is not the start of a month: the rest of its month would be lost")
     sink.reload_months(
         warehouse_rows(readings, values, sensors, rain, stations, start, end, station_ids, sensor_map), path
     )

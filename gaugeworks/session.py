@@ -21,8 +21,6 @@ SETTINGS = {
     # A window on (time, station) after a join on station must not inherit the
     # station-only partitioning: one busy station would become one task.
     "spark.sql.requireAllClusterKeysForDistribution": "true",
-    # Deep pages fall back to a distributed sort, not a heap per task.
-    "spark.sql.execution.topKSortFallbackThreshold": "100000",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

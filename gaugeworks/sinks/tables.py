@@ -7,18 +7,19 @@ are sorted by station, which lets scans for a station skip row groups.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from gaugeworks.functions.timecols import month_key
 from gaugeworks.operators import merge
-from gaugeworks.operators.contracts import MAX_PARTITIONS
 from gaugeworks.operators.dedupe import latest_by_id
 from gaugeworks.session import work_dir
 from gaugeworks.sources.tables import read_table
 
 MONTH = "ano_mes"
+NOTE, NOTE_NAME = "ready string, columns array<string>", "_replacing"
 
 
 def _write(df: DataFrame, path: str, mode: str, dynamic: bool, ts: str, station: str) -> None:
@@ -57,11 +58,52 @@ def _staged(spark: SparkSession, df: DataFrame, ts: str, label: str) -> DataFram
 
 
 def _months(staged: DataFrame) -> list[str]:
-    """Months of a staged batch: calendar months, bounded by the partition limit."""
-    rows = staged.select(MONTH).distinct().limit(MAX_PARTITIONS + 1).collect()
-    if len(rows) > MAX_PARTITIONS:
-        raise ValueError("batch spans more months than a table may hold")
-    return [r[0] for r in rows]
+    """Calendar months of a staged batch. Every row of a stored table needs its time."""
+    months = [r[0] for r in staged.select(MONTH).distinct().collect()]
+    if None in months or any(m.startswith("__HIVE") for m in months):
+        raise ValueError("the batch has rows without a time; drop them first (columns.require_time)")
+    return months
+
+
+def _emptied(staged: DataFrame) -> None:
+    """Removes the rows of a staged batch; an empty folder stays."""
+    (path,) = {f.rsplit(f"/{MONTH}=", 1)[0] for f in staged.inputFiles()} or {None}
+    if path:
+        none = staged.sparkSession.createDataFrame([], staged.schema)
+        none.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def _note(spark: SparkSession, path: str, entries: list[tuple[str, list[str]]]) -> None:
+    """Which staged rows are to replace their months; readers of the table skip the folder's name."""
+    spark.createDataFrame(entries, NOTE).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").json(f"{path}/{NOTE_NAME}")
+
+
+def _replace_months(spark: SparkSession, path: str, rows: DataFrame, columns: list[str], ts: str, station: str) -> None:
+    """Replace the months of ``rows``, noting it first, so that a stop in between loses nothing."""
+    ready = _staged(spark, rows, ts, "merged")
+    files = ready.inputFiles()
+    if not files:
+        return
+    _note(spark, path, [(files[0].rsplit(f"/{MONTH}=", 1)[0], columns)])
+    _write(ready.select(*columns), path, "overwrite", True, ts, station)
+    _note(spark, path, [])
+    _emptied(ready)
+
+
+def finish_open(spark: SparkSession, path: str, ts: str = "dia_utc", station: str = "estacao_id") -> bool:
+    """Finish a replacement of months that was cut short, if the table has one."""
+    try:
+        entries = spark.read.schema(NOTE).json(f"{path}/{NOTE_NAME}").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    for entry in entries:
+        ready = spark.read.parquet(entry["ready"])
+        _write(ready.select(*entry["columns"]), path, "overwrite", True, ts, station)
+        _note(spark, path, [])
+        _emptied(ready)
+    return bool(entries)
 
 
 def upsert_table(
@@ -70,12 +112,14 @@ def upsert_table(
 ) -> None:
     """Merge a batch into the table, rewriting only the months it touches.
 
-    The key must contain ``ts``, so a key never changes month. The merged months
-    are complete in the shared folder before the table is touched; should the last
-    step fail, running the same batch again, or copying those months, repairs it.
+    The key must contain ``ts``, so a key never changes month; rows without a time
+    raise. The merged months are complete in the shared folder before the table is
+    touched, and noted there: a replacement that was cut short is finished by
+    whatever changes the table next (or by ``finish_open``).
     """
     if ts not in key:
         raise ValueError("the key must contain the time column")
+    finish_open(spark, path, ts, station)
     staged = _staged(spark, batch, ts, "batch")
     months = _months(staged)
     if not months:
@@ -83,8 +127,8 @@ def upsert_table(
     table = read_table(spark, path)
     touched = table.filter(F.col(MONTH).isin(months)).drop(MONTH)
     merged = merge.upsert(touched, staged.drop(MONTH), key, version)
-    ready = _staged(spark, merged, ts, "merged")
-    _write(ready.select(*table.columns), path, "overwrite", True, ts, station)
+    _replace_months(spark, path, merged, table.columns, ts, station)
+    _emptied(staged)
 
 
 def append_absent(
@@ -97,6 +141,7 @@ def append_absent(
     without it they are merged from its files. Running it twice adds nothing the
     second time.
     """
+    finish_open(spark, path, ts, station)
     staged = _staged(spark, batch, ts, "batch")
     months = _months(staged)
     if not months:
@@ -106,6 +151,7 @@ def append_absent(
     fresh = merge.absent_from(held, staged.drop(MONTH), key)
     plain = table.drop(MONTH)
     _write(by_month(merge.aligned(fresh, plain.schema), ts), path, "append", False, ts, station)
+    _emptied(staged)
 
 
 def with_month(schema: StructType) -> StructType:
@@ -131,7 +177,7 @@ def compact(
     ts: str = "dia_utc", station: str = "estacao_id",
 ) -> None:
     """Replace the given months by their current rows."""
+    finish_open(spark, path, ts, station)
     table = read_table(spark, path)
     rows = current(table.filter(F.col(MONTH).isin(months)).drop(MONTH), key, version)
-    ready = _staged(spark, rows, ts, "compacted")
-    _write(ready.select(*table.columns), path, "overwrite", True, ts, station)
+    _replace_months(spark, path, rows, table.columns, ts, station)

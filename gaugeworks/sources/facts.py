@@ -102,6 +102,11 @@ def weather_source(
         r = r.filter(F.col("estacao_id").isin(list(station_ids)))
     r = r.select(F.col("id").alias("leitura_id"), F.col("horaLeitura").alias("dia_utc"), "estacao_id")
 
+    # Values and rain of other readings go before anything is grouped: a short range or a
+    # watermark then shuffles what belongs to it, not all history.
+    wanted = r.select("leitura_id")
+    values = values.join(wanted, "leitura_id", "left_semi")
+    rain = rain.join(wanted, "leitura_id", "left_semi")
     rain_max = rain.groupBy("leitura_id").agg(F.max("m05").alias("_m05"), F.max("m15").alias("_m15"))
     per_reading = (
         r.join(sensor_pivot(values, sensors, sensor_map), "leitura_id", "inner")

@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.schema import FIRST_YEAR
 
 
-def year_slices(first: int = FIRST_YEAR, last: int | None = None) -> list[tuple[int, str, str]]:
-    """(year, start, end) for each year, half-open; ``last`` defaults to this year."""
-    last = date.today().year if last is None else last
+def year_slices(first: int, last: int) -> list[tuple[int, str, str]]:
+    """(year, start, end) for each year, half-open."""
     return [(y, f"{y}-01-01", f"{y + 1}-01-01") for y in range(first, last + 1)]
 
 
-def month_slices(first: int = FIRST_YEAR, last: int | None = None) -> list[tuple[int, str, str]]:
+def month_slices(first: int, last: int) -> list[tuple[int, str, str]]:
     """As ``year_slices`` by month: more and smaller tasks."""
     out = []
     for y, _, _ in year_slices(first, last):
@@ -26,19 +22,30 @@ def month_slices(first: int = FIRST_YEAR, last: int | None = None) -> list[tuple
 
 
 def slice_predicates(column: str, slices: list[tuple[int, str, str]]) -> list[str]:
-    return [f"\"{column}\" >= '{lo}' AND \"{column}\" < '{hi}'" for _, lo, hi in slices]
+    """One predicate per slice, the first and last open-ended, and one for rows without a time.
+
+    Together they take every row of the table once, whatever its time.
+    """
+    if not slices:
+        raise ValueError("at least one slice is needed")
+    c = f'"{column}"'
+    bounds = [lo for _, lo, _ in slices[1:]]
+    if bounds != [hi for _, _, hi in slices[:-1]] or bounds != sorted(set(bounds)):
+        raise ValueError("slices must follow each other without a gap")
+    cuts = [None, *bounds, None]
+    ranges = [" AND ".join([*([f"{c} >= '{lo}'"] if lo else []), *([f"{c} < '{hi}'"] if hi else [])]) for lo, hi in zip(cuts, cuts[1:])]
+    return [*[r or f"{c} IS NOT NULL" for r in ranges], f"{c} IS NULL"]
 
 
 def read_sliced(
-    spark: SparkSession, url: str, table: str, column: str = "horaLeitura",
-    slices: list[tuple[int, str, str]] | None = None, fetch_size: int = 10_000,
-    properties: dict[str, str] | None = None,
+    spark: SparkSession, url: str, table: str, slices: list[tuple[int, str, str]], column: str = "horaLeitura",
+    fetch_size: int = 10_000, properties: dict[str, str] | None = None,
 ) -> DataFrame:
-    """A table over JDBC with one partition per slice; failed slices are retried by Spark."""
+    """A whole table over JDBC with one partition per slice; failed slices are retried by Spark."""
     return spark.read.jdbc(
         url,
         table,
-        predicates=slice_predicates(column, slices or year_slices()),
+        predicates=slice_predicates(column, slices),
         properties={"fetchsize": str(fetch_size), **(properties or {})},
     )
 

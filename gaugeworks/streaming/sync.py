@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from gaugeworks.functions.timecols import month_key, shift
 from gaugeworks.operators.contracts import table_exists
 from gaugeworks.operators.dedupe import latest_by_id
-from gaugeworks.operators.filters import last_hours
-from gaugeworks.sinks.tables import append_versions, reload_table, upsert_table
+from gaugeworks.operators.filters import last_hours, moment
+from gaugeworks.sinks.tables import MONTH, append_versions, reload_table, upsert_table
 from gaugeworks.sources.tables import read_table
 
 
@@ -70,5 +71,9 @@ def dedupe_feed(feed: DataFrame, key: list[str], ts: str, delay: str) -> DataFra
 
 
 def live_view(spark: SparkSession, path: str, ts: str, hours: int, as_of) -> DataFrame:
-    """Last hours of the table, newest first, read at call time."""
-    return last_hours(read_table(spark, path), ts, hours, as_of).orderBy(F.desc(ts))
+    """Last hours of the table, newest first, read at call time; only their months are opened."""
+    table, now = read_table(spark, path), moment(as_of)
+    if MONTH in table.columns:
+        # No upper bound on the time, so none on the month either.
+        table = table.filter(F.col(MONTH) >= month_key(shift(now, hours=-hours)))
+    return last_hours(table, ts, hours, as_of).orderBy(F.desc(ts))

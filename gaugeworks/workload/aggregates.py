@@ -176,20 +176,11 @@ def duplicate_versions(spark, sf):
 
 @query(
     "duplicates_evidence",
-    f"""SELECT dia, estacao_id, count(*) AS quantidade, max(id) AS id_vencedor,
-  string_agg(CAST(id AS VARCHAR), ',' ORDER BY id DESC) AS ids,
-  string_agg(CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY id DESC) AS valores
-FROM ({HOURLY}) GROUP BY dia, estacao_id HAVING count(*) > 1""",
+    f"""SELECT h.dia, h.estacao_id, d.total AS quantidade, d.winner AS id_vencedor, h.id, h.value, h.event_type
+FROM ({HOURLY}) h JOIN ({_DUPS}) d USING (dia, estacao_id)""",
 )
 def duplicates_evidence(spark, sf):
-    """The arrays are shown as text."""
-    rows = a.hourly(spark, sf).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
-    found = duplicates.evidence(rows, KEY, "id", ["cents"])
-    return found.select(
-        *KEY, "quantidade", "id_vencedor",
-        F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"),
-        F.array_join(F.col("valores_cents").cast("array<string>"), ",").alias("valores"),
-    )
+    return duplicates.evidence(a.hourly(spark, sf), KEY, "id", ["value", "event_type"])
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions import timecols
 from gaugeworks.operators import columns, dedupe, filters, ranking, rollup
-from gaugeworks.schema import RAIN_METRICS, RAIN_METRICS_FULL
+from gaugeworks.schema import RAIN_METRICS, RAIN_METRICS_FULL, WEATHER_STATIONS
 from gaugeworks.sources import facts
 from gaugeworks.sources.jdbc import year_slices
 from gaugeworks.workload import adapters as a
@@ -96,7 +96,7 @@ def _weather(spark, sf, **kw):
     )
     return facts.weather_source(
         a.event_readings(spark, sf), a.sensor_values(spark, sf), a.sensors(spark, sf), rain, a.stations(spark, sf),
-        station_ids=None, sensor_map=a.SENSOR_MAP, cutover=a.EVENT_CUTOVER, **kw,
+        **{"station_ids": None, "sensor_map": a.SENSOR_MAP, "cutover": a.EVENT_CUTOVER, **kw},
     )
 
 
@@ -119,6 +119,26 @@ def weather_fact_range(spark, sf):
     return rounded(_weather(spark, sf, start="2024-01-05 00:00:00", end="2024-01-25 00:00:00"), "ponto_orvalho")
 
 
+@query(
+    "weather_allow_list",
+    "SELECT * REPLACE (round(ponto_orvalho, 6) AS ponto_orvalho) FROM ("
+    + weather_sql(f"estacao_id IN ({', '.join(map(str, WEATHER_STATIONS))})") + ")",
+)
+def weather_allow_list(spark, sf):
+    """The stations read by default."""
+    return rounded(_weather(spark, sf, station_ids=WEATHER_STATIONS), "ponto_orvalho")
+
+
+@query(
+    "weather_single_station",
+    "SELECT * REPLACE (round(ponto_orvalho, 6) AS ponto_orvalho) FROM ("
+    + weather_sql("estacao_id = 11 AND dia_utc >= TIMESTAMP '2024-01-05' AND dia_utc < TIMESTAMP '2024-01-25'") + ")",
+)
+def weather_single_station(spark, sf):
+    kw = {"start": "2024-01-05 00:00:00", "end": "2024-01-25 00:00:00", "station_ids": [11]}
+    return rounded(_weather(spark, sf, **kw), "ponto_orvalho")
+
+
 @query(
     "yearly_slices",
     """SELECT s.ano, s.inicio, s.fim, count(o_orderkey) AS total
@@ -247,6 +267,17 @@ def filter_page(spark, sf):
     return ranking.page(rows, "dia", ["estacao_id", "id"], offset=200)
 
 
+@query(
+    "filter_page_deep",
+    f"SELECT * FROM ({_ORDER_ROWS}) WHERE dia >= TIMESTAMP '1996-01-01' ORDER BY dia DESC, estacao_id, id LIMIT 12000 OFFSET 300",
+)
+def filter_page_deep(spark, sf):
+    """The page after the 300 newest rows, found by the last of them."""
+    rows = filters.optional(order_rows(spark, sf), start="1996-01-01 00:00:00")
+    last = ranking.page(rows, "dia", ["estacao_id", "id"], limit=1, offset=299).first()
+    return ranking.page(rows, "dia", ["estacao_id", "id"], limit=12_000, after=(str(last["dia"]), last["estacao_id"], last["id"]))
+
+
 @query("filter_page_total", f"SELECT count(*) AS total FROM ({_ORDER_ROWS}) WHERE dia >= TIMESTAMP '1996-01-01'")
 def filter_page_total(spark, sf):
     return ranking.total_rows(filters.optional(order_rows(spark, sf), start="1996-01-01 00:00:00"))

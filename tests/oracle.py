@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -56,7 +57,7 @@ def main() -> int:
     args = sys.argv[1:]
     sf = args[0] if args else "/root/testdata/sf0.01"
     names = args[1:] or list(queries())
-    spark = build_session(master="local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = build_session(master="local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="oracle-")})
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = connect(sf), 0
     for name in names:

@@ -64,10 +64,16 @@ def test_histograms(fact):
     assert rollup.month_presence(fact, "dia", "2023-12").first()[0] == 0
 
 
-def test_page_is_capped_and_total_order(spark, fact):
+def test_page_takes_what_is_asked_for_in_total_order(spark, fact):
     assert [r["id"] for r in ranking.page(fact, "dia", ["estacao_id", "id"], limit=2, offset=1).collect()] == [5, 4]
     many = spark.range(20_000).select(F.col("id"), F.lit(at("2024-01-01")).cast("timestamp_ntz").alias("dia"))
-    assert ranking.page(many, "dia", ["id"], limit=50_000).count() == ranking.MAX_PAGE
+    assert ranking.page(many, "dia", ["id"], limit=12_000).count() == 12_000
+    # By the last row of the page before: the same rows as by offset.
+    rows_ = [(i, at(f"2024-01-0{1 + i % 3}")) for i in range(50)]
+    few = spark.createDataFrame(rows_, "id int, dia timestamp_ntz")
+    first = ranking.page(few, "dia", ["id"], limit=20).collect()
+    deep = ranking.page(few, "dia", ["id"], limit=20, after=(str(first[-1]["dia"]), first[-1]["id"])).collect()
+    assert deep == ranking.page(few, "dia", ["id"], limit=20, offset=20).collect()
 
 
 def test_last_readings(fact):
@@ -105,20 +111,12 @@ def test_hot_key_dedupes_and_counts(hot):
     assert rows(duplicates.winners(hot, KEY, "id", ["h96"]), "quantidade", "id_vencedor", "h96") == [(1000, 999, 99.9)]
 
 
-def test_evidence_spreads_a_hot_key_and_keeps_every_version(hot):
-    parts = duplicates.evidence(hot, KEY, "id", ["h96"], per_row=100).collect()
-    assert len(parts) == 10 and {p["quantidade"] for p in parts} == {1000}
-    assert sorted(i for p in parts for i in p["ids"]) == list(range(1000))
-    assert max(len(p["ids"]) for p in parts) < 200
-    for p in parts:
-        assert p["ids"] == sorted(p["ids"], reverse=True)
-        assert p["valores_h96"] == [i / 10 for i in p["ids"]]
-
-
-def test_evidence_keeps_null_values_aligned(spark):
-    df = spark.createDataFrame([(1, 7, None), (2, 7, 5.0)], "id int, k int, v double")
-    got = duplicates.evidence(df, ["k"], "id", ["v"]).first()
-    assert (got["ids"], got["valores_v"]) == ([2, 1], [5.0, None])
+def test_evidence_has_a_row_per_version(spark, hot):
+    got = duplicates.evidence(hot, KEY, "id", ["h96"]).collect()
+    assert {(r["quantidade"], r["id_vencedor"]) for r in got} == {(1000, 999)}
+    assert sorted((r["id"], r["h96"]) for r in got) == [(i, i / 10) for i in range(1000)]
+    many = spark.range(5000).selectExpr("id", "1 AS k", "CAST(NULL AS DOUBLE) AS v")
+    assert duplicates.evidence(many, ["k"], "id", ["v"]).count() == 5000
 
 
 def test_dedupe_is_idempotent_and_order_decides(spark):

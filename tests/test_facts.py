@@ -101,3 +101,20 @@ def test_metrics_keep_the_sentinel(spark, net):
     r, c, _, _, e = net
     assert facts.rain_source(r, c, e).filter("m10 = -99.99").count() == 1
     assert facts.rain_source(r, c, e).columns == ["dia", *RAIN_METRICS, "estacao", "estacao_id"]
+
+
+def test_a_short_range_reduces_values_and_rain_before_grouping(spark, tmp_path):
+    """The semi joins lie under the aggregates of values and rain."""
+    readings = spark.createDataFrame([(1, at("2024-01-01"), 1), (2, at("2024-02-01"), 1)], "id int, horaLeitura timestamp_ntz, estacao_id int")
+    values = spark.createDataFrame([(1, 5, 2.0), (2, 5, 3.0)], "leitura_id int, sensor_id int, valor double")
+    sensors = spark.createDataFrame([(5, "S")], "id int, nome string")
+    rain = spark.createDataFrame([(1, 1.0, 2.0), (2, 1.0, 3.0)], "leitura_id int, m05 double, m15 double")
+    stations = spark.createDataFrame([(1, "A")], "id int, nome string")
+    df = facts.weather_source(readings, values, sensors, rain, stations, "2024-02-01 00:00:00", "2024-03-01 00:00:00", [1], {"x": "S"})
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    semi = [line.index("Join LeftSemi") for line in text.splitlines() if "Join LeftSemi" in line]
+    assert len(semi) == 2
+    for at_depth in semi:
+        above = [line for line in text.splitlines() if "Aggregate [leitura_id" in line and line.index("Aggregate") < at_depth]
+        assert above
+    assert rows(df, "x", "chuva") == [(3.0, 1.0)]

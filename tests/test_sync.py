@@ -218,7 +218,20 @@ def test_table_exists(spark, old, path):
 def test_jdbc_slices():
     assert year_slices(1997, 1998) == [(1997, "1997-01-01", "1998-01-01"), (1998, "1998-01-01", "1999-01-01")]
     assert len(month_slices(1997, 1998)) == 24 and month_slices(1997, 1997)[-1] == (1997, "1997-12-01", "1998-01-01")
-    assert slice_predicates("horaLeitura", year_slices(1997, 1997)) == ["\"horaLeitura\" >= '1997-01-01' AND \"horaLeitura\" < '1998-01-01'"]
+    got = slice_predicates("t", year_slices(1997, 1999))
+    assert got == ["\"t\" < '1998-01-01'", "\"t\" >= '1998-01-01' AND \"t\" < '1999-01-01'", "\"t\" >= '1999-01-01'", '"t" IS NULL']
+    assert slice_predicates("t", year_slices(1997, 1997)) == ['"t" IS NOT NULL', '"t" IS NULL']
+    with pytest.raises(ValueError):
+        slice_predicates("t", year_slices(1990, 1991) + year_slices(1995, 1996))
+    with pytest.raises(ValueError):
+        slice_predicates("t", [])
+
+
+def test_slices_take_every_row_once(spark):
+    times = [None, "1990-05-01", "1997-01-01", "1998-12-31", "1999-01-01", "2090-01-01"]
+    df = spark.createDataFrame([(t,) for t in times], "t string")
+    parts = [df.filter(p.replace('"', "`")) for p in slice_predicates("t", year_slices(1997, 1999))]
+    assert sorted(str(r["t"]) for p in parts for r in p.collect()) == sorted(map(str, times))
 
 
 # --- streams ---
@@ -255,3 +268,45 @@ def test_work_dir_uses_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     a, b = work_dir(spark, "x"), work_dir(spark, "x")
     assert a != b and a.startswith(base) and b.startswith(base)
+
+
+def test_a_replacement_cut_short_is_finished(spark, path, monkeypatch):
+    """A stop after the old month went and before the new one came loses nothing."""
+    import shutil
+
+    schema = "id int, dia_utc timestamp_ntz, estacao_id int"
+    first = spark.createDataFrame([(1, at("2024-01-01"), 1), (2, at("2024-01-02"), 1), (3, at("2024-02-01"), 1)], schema)
+    sink.reload_table(first, path)
+    write = sink._write
+
+    def stop(df, to, *rest):
+        if to == path:
+            shutil.rmtree(f"{path}/ano_mes=2024-01")
+            raise RuntimeError("stopped")
+        write(df, to, *rest)
+
+    monkeypatch.setattr(sink, "_write", stop)
+    batch = spark.createDataFrame([(9, at("2024-01-02"), 1), (4, at("2024-01-03"), 1)], schema)
+    with pytest.raises(RuntimeError):
+        sink.upsert_table(spark, path, batch, ["dia_utc", "estacao_id"])
+    monkeypatch.setattr(sink, "_write", write)
+    sink.upsert_table(spark, path, batch, ["dia_utc", "estacao_id"])
+    assert rows(spark.read.parquet(path), "id") == [(1,), (3,), (4,), (9,)]
+    assert sink.finish_open(spark, path) is False
+
+
+def test_rows_without_a_time_raise_and_leave_the_table(spark, path):
+    schema = "id int, dia_utc timestamp_ntz, estacao_id int"
+    sink.reload_table(spark.createDataFrame([(1, at("2024-01-01"), 1)], schema), path)
+    batch = spark.createDataFrame([(2, None, 1), (3, at("2024-01-02"), 1)], schema)
+    for write in (sink.upsert_table, sink.append_absent):
+        with pytest.raises(ValueError, match="without a time"):
+            write(spark, path, batch, ["dia_utc", "estacao_id"])
+    assert rows(spark.read.parquet(path), "id") == [(1,)]
+
+
+def test_slices_that_cut_a_month_raise(spark, path):
+    from gaugeworks.plans import weather
+
+    with pytest.raises(ValueError, match="start of a month"):
+        weather.export_slice(None, None, None, None, None, path, "2024-01-10 00:00:00", "2024-01-20 00:00:00")
