@@ -204,7 +204,8 @@ def _by_bucket(marks: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]
 
 
 TOLD = "bucket int, block int, marks binary"
-ANSWER = "block int, bucket int, bits binary"
+ANSWER = "block int, bucket int, bits binary, frequent binary"
+FREQUENT = 64  # blocks that have a mark, from which its pieces may be too many for one task
 
 
 def told(marks: np.ndarray, block: int, bits: int) -> pa.Table:
@@ -222,12 +223,13 @@ def _answer(frame: pd.DataFrame) -> pd.DataFrame:
         parts.append(wide.view(np.uint64)[:, 0])
     every = np.sort(np.concatenate(parts))
     again = np.unique(every[1:][every[1:] == every[:-1]])
-    found = [np.packbits(np.isin(p, again, assume_unique=True)).tobytes() for p in parts]
-    return pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"], "bits": found})
+    often = np.unique(every[FREQUENT - 1 :][every[FREQUENT - 1 :] == every[: max(0, len(every) - FREQUENT + 1)]])
+    marked = lambda known: [np.packbits(np.isin(p, known, assume_unique=True)).tobytes() for p in parts]
+    return pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"], "bits": marked(again), "frequent": marked(often)})
 
 
 def answered(rows: DataFrame) -> DataFrame:
-    """(block, bucket, bits): which of the marks ``told`` by a block other blocks told, too."""
+    """Which of the marks ``told`` by a block other blocks told, too (bits), and which very many (frequent)."""
     return rows.groupBy("bucket").applyInPandas(_answer, ANSWER)
 
 
@@ -241,13 +243,14 @@ def shared_marks(rows: DataFrame, layout: Layout, units, width: int, seed: int)
     return answered(rows.groupBy("block").applyInArrow(tell, TOLD))
 
 
-def elsewhere(marks: np.ndarray, replies: pa.Table, layout: Layout) -> np.ndarray:
-    """Which of a block's distinct sorted marks other blocks have, by the answers it got.
+def elsewhere(marks: np.ndarray, replies: pa.Table, layout: Layout, answer: str = "bits") -> np.ndarray:
+    """Which of a block's distinct sorted marks other blocks have (or very many), by the answers it got.
 
-    Marks are compared by part of their bits, so a few more may be among them.
+    ``marks`` are all those the block told. They are compared by part of their bits, so a few more may
+    be among those found.
     """
     out = np.zeros(len(marks), bool)
-    bits = dict(zip(replies.column("bucket").to_pylist(), replies.column("bits").to_pylist()))
+    bits = dict(zip(replies.column("bucket").to_pylist(), replies.column(answer).to_pylist()))
     for bucket, a, b in _cuts(marks, layout.bits):
         if bucket in bits:
             short, where = np.unique((marks[a:b] >> U(24 - layout.bits)) & U((1 << 40) - 1), return_inverse=True)
@@ -261,6 +264,12 @@ def repeated(marks: np.ndarray, replies: pa.Table, layout: Layout) -> np.ndarray
     return ((count > 1) | elsewhere(distinct, replies, layout))[inverse]
 
 
+def frequent(marks: np.ndarray, replies: pa.Table, layout: Layout) -> np.ndarray:
+    """Which marks of a block ``FREQUENT`` blocks or more have."""
+    distinct, inverse = np.unique(marks, return_inverse=True)
+    return elsewhere(distinct, replies, layout, "frequent")[inverse]
+
+
 def candidates(own: Pieces, replies: pa.Table, layout: Layout) -> np.ndarray:
     """Which pieces of a block have a mark that another piece has too, here or elsewhere."""
     return repeated(own.mark, replies, layout)

@@ -2,7 +2,8 @@
 
 Pieces of text that cannot hold a shared string of 50 bytes are put aside first (``repeats``). The
 others are dealt over shards by their mark, equal pieces of a block once; equal strings meet in one
-shard. Each shard puts its equal pieces together; those that differ but have a mark in common are laid
+shard. A mark that very many blocks have is dealt window by window, so that no shard has to take all
+texts a common phrase stands in. Each shard puts its equal pieces together; those that differ but have a mark in common are laid
 end to end, and it
 
 * sorts the suffixes of its pieces by induced sorting: suffixes are classified as smaller or larger
@@ -28,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.repeats import LAST, Layout, byte_units, candidates, covered, dealt, pieces, shared_marks, sorted_block
+from gaugeworks.llm.repeats import LAST, Layout, byte_units, candidates, covered, dealt, frequent, mix, pieces, rolling, shared_marks, sorted_block
 
 WIDTH, SEED = 50, 18
 BLOCK_BYTES = 3 << 20
@@ -205,7 +206,16 @@ def _block_pieces(table: pa.Table, replies: pa.Table, layout: Layout):
     doc = table.column("doc").to_numpy()
     own = pieces(units, WIDTH, SEED)
     keep = candidates(own, replies, layout) if len(own.start) else np.zeros(0, bool)
+    often = frequent(own.mark, replies, layout)[keep] if len(own.start) else keep
     mark, start, n, text = own.mark[keep], own.start[keep], own.n[keep], own.text[keep]
+    if often.any():
+        # Window by window, keyed by what the window holds.
+        size = np.where(often, n, 1)
+        row = np.repeat(np.arange(len(n)), size)
+        start = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        whole = mix(rolling(units.values, WIDTH, 0xE7037ED1A0B428DB))
+        mark = np.where(often[row], whole[start], mark[row])
+        n, text = np.where(often, 1, n)[row], text[row]
     return table, texts, units, doc, mark, start, n, text
 
 
@@ -293,8 +303,8 @@ def removed(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
     found = told.groupBy("shard").applyInArrow(_shard, _FOUND)
     # Both answers come back to the block: which marks are shared, and which windows are to go.
     none = lambda kind: F.lit(None).cast(kind)
-    answers = marks.select("block", "bucket", "bits", none("int").alias("nth"), none("int").alias("start"), none("int").alias("n"), none("long").alias("doc")).union(
-        found.select("block", none("int"), none("binary"), "nth", "start", "n", "doc")
+    answers = marks.select("block", "bucket", "bits", "frequent", none("int").alias("nth"), none("int").alias("start"), none("int").alias("n"), none("long").alias("doc")).union(
+        found.select("block", none("int"), none("binary"), none("binary"), "nth", "start", "n", "doc")
     )
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:

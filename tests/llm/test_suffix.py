@@ -60,6 +60,23 @@ def test_documents(documents):
     check(documents, corpus())
 
 
+def test_frequent_marks_are_dealt_by_window(spark):
+    """A phrase in varied surroundings, in more blocks than a frequent mark needs."""
+    rng = np.random.default_rng(9)
+    word = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
+    phrase, rows = word(60), []
+    for k in range(900):
+        body = word(int(rng.integers(0, 30))) + phrase[int(rng.integers(0, 3)) : int(rng.integers(51, 61))] + word(int(rng.integers(0, 30)))
+        rows.append((k, body, "en", "s", len(body), 7, "x", "y", "z"))
+    frame = spark.createDataFrame(rows, SCHEMA)
+    layout = suffix.Layout(150, 8)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(suffix.Layout, "of", classmethod(lambda cls, *a: layout))
+        answers = suffix.shared_marks(suffix.dealt(frame, layout, "doc_id", "text"), layout, suffix.byte_units, 50, 18)
+        assert any(any(r.frequent) for r in answers.collect())
+        check(frame, [r[:5] for r in rows])
+
+
 def test_small_alphabets(spark):
     rng = np.random.default_rng(6)
     shared = bytes(rng.integers(97, 123, 300).astype(np.uint8)).decode()
