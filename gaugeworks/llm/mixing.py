@@ -78,8 +78,9 @@ def slots(plan: DataFrame, block: int = BLOCK, size: int = SLOTS, seed: int = 0)
     df = df.withColumn("drawn", at("to") - at("from"))
     before = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     df = df.withColumn("first", F.coalesce(F.sum("drawn").over(before), F.lit(0))).where("drawn > 0")
-    # Whole shards are spread before their slots are written out.
-    df = df.repartition("rank", "shard").withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("drawn") - 1)))
+    # Whole shards are spread over a set number of tasks before their slots are written out.
+    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = df.repartition(tasks, "rank", "shard").withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("drawn") - 1)))
     df = df.withColumn("nth", F.col("first") + F.col("slot")).where(F.col("nth") < MOST * F.col("blocks"))
     turn = F.floor(F.col("nth") / F.col("blocks"))
     start = F.pmod(F.xxhash64(F.lit(seed), F.col("rank"), turn), F.lit(len(PRIMES)))
@@ -117,7 +118,8 @@ def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str =
     spread = placed.where("size > 0").withColumn("block", F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")))
     words = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block)
     times = slots(plan, block, seed=seed).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
-    taken = spread.withColumn("words", words).join(times, ["rank", "block"], "left")
+    # The planner takes the slots for as few as the shards they come from; they grow with the corpus.
+    taken = spread.withColumn("words", words).join(times.hint("merge"), ["rank", "block"], "left")
     # (rank, start) is unique among texts with words.
     taken = taken.groupBy(*own).agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
     out = taken.unionByName(placed.where("size = 0").withColumn("taken", F.lit(0).cast("long")))
