@@ -120,3 +120,64 @@ def op2_debruijn(spark, sf_dir):
 def op3_suffix_array(spark, sf_dir):
     found = suffix.removed(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+SQL["op2_debruijn"] = r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+win AS (
+    SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS k
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w)
+),
+rep AS (SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j FROM rep),
+words AS (SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS j FROM w),
+kept AS (
+    SELECT words.doc_id, count(*) AS n_words, count(gone.j) AS n_removed,
+           string_agg(x, ' ' ORDER BY words.j) FILTER (gone.j IS NULL) AS t
+    FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.j = words.j GROUP BY words.doc_id
+)
+SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
+
+SQL["op3_suffix_array"] = r"""
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS k FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM b)),
+rep AS (SELECT doc_id, i FROM win QUALIFY min(doc_id) OVER (PARTITION BY k) < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM rep),
+bytes AS (SELECT doc_id, j, substr(h, 2 * j + 1, 2) AS x FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS j FROM b)),
+kept AS (
+    SELECT bytes.doc_id, count(*) AS n_bytes, count(gone.j) AS n_removed, string_agg(x, '' ORDER BY bytes.j) FILTER (gone.j IS NULL) AS t
+    FROM bytes LEFT JOIN gone ON gone.doc_id = bytes.doc_id AND gone.j = bytes.j GROUP BY bytes.doc_id
+),
+spans AS (
+    SELECT doc_id, count(*) AS n_spans
+    FROM (SELECT doc_id, j, lag(j) OVER (PARTITION BY doc_id ORDER BY j) AS p FROM gone) WHERE p IS NULL OR p < j - 1 GROUP BY doc_id
+)
+SELECT b.doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(t, ''))) AS kept_sha256
+FROM b LEFT JOIN kept ON kept.doc_id = b.doc_id LEFT JOIN spans ON spans.doc_id = b.doc_id
+"""
+
+_FOLDED = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+SQL["op6_decontaminate"] = f"""
+WITH b AS (SELECT item_id, {_FOLDED} AS ws FROM benchmark),
+bw AS (
+    SELECT DISTINCT item_id, least(13, len(ws)) AS n, array_to_string(ws[i:i + least(13, len(ws)) - 1], ' ') AS k
+    FROM (SELECT item_id, ws, unnest(range(1, greatest(1, len(ws) - 12) + 1)) AS i FROM b WHERE len(ws) > 0)
+),
+d AS (SELECT doc_id, {_FOLDED} AS ws FROM documents),
+dw AS (
+    SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS k
+    FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d CROSS JOIN (SELECT DISTINCT n FROM bw))
+),
+hits AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (n, k)),
+hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hits) GROUP BY doc_id),
+found AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(t, ',' ORDER BY t) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS t FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN found ON found.doc_id = d.doc_id
+"""
