@@ -140,25 +140,6 @@ SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_re
 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
 """
 
-SQL["op3_suffix_array"] = r"""
-WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-win AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS k FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM b)),
-rep AS (SELECT doc_id, i FROM win QUALIFY min(doc_id) OVER (PARTITION BY k) < doc_id),
-gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM rep),
-bytes AS (SELECT doc_id, j, substr(h, 2 * j + 1, 2) AS x FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS j FROM b)),
-kept AS (
-    SELECT bytes.doc_id, count(*) AS n_bytes, count(gone.j) AS n_removed, string_agg(x, '' ORDER BY bytes.j) FILTER (gone.j IS NULL) AS t
-    FROM bytes LEFT JOIN gone ON gone.doc_id = bytes.doc_id AND gone.j = bytes.j GROUP BY bytes.doc_id
-),
-spans AS (
-    SELECT doc_id, count(*) AS n_spans
-    FROM (SELECT doc_id, j, lag(j) OVER (PARTITION BY doc_id ORDER BY j) AS p FROM gone) WHERE p IS NULL OR p < j - 1 GROUP BY doc_id
-)
-SELECT b.doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-       sha256(unhex(coalesce(t, ''))) AS kept_sha256
-FROM b LEFT JOIN kept ON kept.doc_id = b.doc_id LEFT JOIN spans ON spans.doc_id = b.doc_id
-"""
-
 _FOLDED = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 SQL["op6_decontaminate"] = f"""
 WITH b AS (SELECT item_id, {_FOLDED} AS ws FROM benchmark),
