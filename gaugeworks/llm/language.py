@@ -130,8 +130,14 @@ def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "
     Rows with a null or empty text or a null language teach nothing.
     """
     rows = docs.where(F.col(lang).isNotNull() & (F.octet_length(text) > 0)).select(F.col(lang).alias("_lang"), F.col(id).alias("_id"), F.col(text).cast("binary").alias("_text"))
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), F.xxhash64("_text"))
-    chosen = rows.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= per_language).select("_lang", "_text")
+    rows = rows.withColumn("_hash", F.xxhash64("_id"))
+    nth = lambda *order: F.row_number().over(Window.partitionBy("_lang").orderBy(*order))
+    # Hashes are ranked without their texts; the last one taken bounds what texts are looked at.
+    ranked = rows.select("_lang", "_hash").withColumn("_nth", nth("_hash")).where(F.col("_nth") <= per_language)
+    bounds = ranked.groupBy(F.col("_lang").alias("_of")).agg(F.max("_hash").alias("_most"))
+    few = rows.join(bounds, (F.col("_lang") == F.col("_of")) & (F.col("_hash") <= F.col("_most")))
+    # More only where ids repeat.
+    chosen = few.withColumn("_nth", nth("_hash", F.xxhash64("_text"))).where(F.col("_nth") <= per_language).select("_lang", "_text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
