@@ -205,7 +205,7 @@ def _by_bucket(marks: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]
 
 TOLD = "bucket int, block int, marks binary"
 ANSWER = "block int, bucket int, bits binary, frequent binary"
-FREQUENT = 64  # blocks that have a mark, from which its pieces may be too many for one task
+FREQUENT = 4096  # blocks that have a mark, from which its pieces may be too many for one task
 
 
 def told(marks: np.ndarray, block: int, bits: int) -> pa.Table:
@@ -215,7 +215,7 @@ def told(marks: np.ndarray, block: int, bits: int) -> pa.Table:
     return pa.table({"bucket": pa.array(columns[0], pa.int32()), "block": pa.array(columns[1], pa.int32()), "marks": pa.array(columns[2], pa.binary())})
 
 
-def _answer(frame: pd.DataFrame) -> pd.DataFrame:
+def _answer(frame: pd.DataFrame, most: int) -> pd.DataFrame:
     parts = []
     for data in frame["marks"]:
         wide = np.zeros((len(data) // 5, 8), np.uint8)
@@ -223,24 +223,24 @@ def _answer(frame: pd.DataFrame) -> pd.DataFrame:
         parts.append(wide.view(np.uint64)[:, 0])
     every = np.sort(np.concatenate(parts))
     again = np.unique(every[1:][every[1:] == every[:-1]])
-    often = np.unique(every[FREQUENT - 1 :][every[FREQUENT - 1 :] == every[: max(0, len(every) - FREQUENT + 1)]])
+    often = np.unique(every[most - 1 :][every[most - 1 :] == every[: max(0, len(every) - most + 1)]])
     marked = lambda known: [np.packbits(np.isin(p, known, assume_unique=True)).tobytes() for p in parts]
     return pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"], "bits": marked(again), "frequent": marked(often)})
 
 
-def answered(rows: DataFrame) -> DataFrame:
+def answered(rows: DataFrame, most: int = FREQUENT) -> DataFrame:
     """Which of the marks ``told`` by a block other blocks told, too (bits), and which very many (frequent)."""
-    return rows.groupBy("bucket").applyInPandas(_answer, ANSWER)
+    return rows.groupBy("bucket").applyInPandas(lambda frame: _answer(frame, most), ANSWER)
 
 
-def shared_marks(rows: DataFrame, layout: Layout, units, width: int, seed: int) -> DataFrame:
+def shared_marks(rows: DataFrame, layout: Layout, units, width: int, seed: int, most: int = FREQUENT) -> DataFrame:
     """The answers for the marks of all pieces."""
     def tell(table: pa.Table) -> pa.Table:
         _, texts = sorted_block(table)
         marks = np.unique(pieces(units(texts), width, seed).mark)
         return told(marks, table.column("block")[0].as_py(), layout.bits)
 
-    return answered(rows.groupBy("block").applyInArrow(tell, TOLD))
+    return answered(rows.groupBy("block").applyInArrow(tell, TOLD), most)
 
 
 def elsewhere(marks: np.ndarray, replies: pa.Table, layout: Layout, answer: str = "bits") -> np.ndarray:
@@ -265,7 +265,7 @@ def repeated(marks: np.ndarray, replies: pa.Table, layout: Layout) -> np.ndarray
 
 
 def frequent(marks: np.ndarray, replies: pa.Table, layout: Layout) -> np.ndarray:
-    """Which marks of a block ``FREQUENT`` blocks or more have."""
+    """Which marks of a block very many blocks have."""
     distinct, inverse = np.unique(marks, return_inverse=True)
     return elsewhere(distinct, replies, layout, "frequent")[inverse]
 

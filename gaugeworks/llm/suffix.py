@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.repeats import LAST, Layout, byte_units, candidates, covered, dealt, frequent, mix, pieces, rolling, shared_marks, sorted_block
+from gaugeworks.llm.repeats import FREQUENT, LAST, Layout, byte_units, candidates, covered, dealt, frequent, mix, pieces, rolling, shared_marks, sorted_block
 
 WIDTH, SEED = 50, 18
 BLOCK_BYTES = 3 << 20
@@ -316,16 +316,17 @@ def _shard(table: pa.Table) -> pa.Table:
     })
 
 
-def removed(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def removed(docs: DataFrame, id: str = "doc_id", text: str = "text", frequent_from: int = FREQUENT) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row; ``kept`` are the bytes left.
 
     A null text is empty. A null id comes after all ids; rows with equal ids are one document, none of
-    which is earlier. An empty table gives an empty result. Other columns are not looked at.
+    which is earlier. An empty table gives an empty result. Other columns are not looked at. Marks that
+    ``frequent_from`` blocks have are dealt by window, which changes no result.
     """
     layout = Layout.of(docs, text, BLOCK_BYTES)
     rows = dealt(docs, layout, id, text, F.col(id).isNull().alias("nameless"))
     texts = rows.groupBy("block")
-    marks = shared_marks(rows, layout, byte_units, WIDTH, SEED)
+    marks = shared_marks(rows, layout, byte_units, WIDTH, SEED, frequent_from)
     told = texts.cogroup(marks.groupBy("block")).applyInArrow(
         lambda t, r: _told(t, r, layout), "shard int, block int, doc long, most long, nth int, piece binary"
     )

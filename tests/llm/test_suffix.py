@@ -49,8 +49,8 @@ def plain(rows):
     return Counter(out)
 
 
-def check(frame, rows):
-    got = suffix.removed(frame).collect()
+def check(frame, rows, frequent_from=suffix.FREQUENT):
+    got = suffix.removed(frame, frequent_from=frequent_from).collect()
     want = plain(rows)
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in got) == want
     assert sum(r.n_removed for r in got) > 0
@@ -72,9 +72,9 @@ def test_frequent_marks_are_dealt_by_window(spark):
     layout = suffix.Layout(150, 8)
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(suffix.Layout, "of", classmethod(lambda cls, *a: layout))
-        answers = suffix.shared_marks(suffix.dealt(frame, layout, "doc_id", "text"), layout, suffix.byte_units, 50, 18)
+        answers = suffix.shared_marks(suffix.dealt(frame, layout, "doc_id", "text"), layout, suffix.byte_units, 50, 18, 64)
         assert any(any(r.frequent) for r in answers.collect())
-        check(frame, [r[:5] for r in rows])
+        check(frame, [r[:5] for r in rows], 64)
 
 
 def test_small_alphabets(spark):
