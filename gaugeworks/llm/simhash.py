@@ -156,7 +156,8 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ones = np.concatenate([[0], np.cumsum(side)])
         middle = end - (ones[end] - ones[start])
         cross = lo[start] != hi[start]
-        spent = np.bitwise_count((lo ^ hi)[start].astype(np.uint64)).astype(np.int64)
+        # The descent starts above the levels of the cut and counts the bits that differ there itself.
+        spent = np.zeros(len(start), np.int64)
         roots = np.where(
             cross[:, None],
             np.stack([start, middle, middle, end, spent], 1),

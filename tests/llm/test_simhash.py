@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from helpers import corpus, empty, words
@@ -73,6 +74,47 @@ def test_links_connect_the_same_groups(spark, split):
     assert {f: int(parent[i]) for f, i in number.items()} == want
 
 
+def code_words():
+    """1,024 words of 15 bits, any two of which differ in four bits at least."""
+    checks = [w for w in range(1 << 15) if w.bit_count() % 2 == 0 and not w & 1]
+    out = []
+    for w in checks:
+        bits, syndrome = w, 0
+        while bits:
+            syndrome ^= (bits & -bits).bit_length()
+            bits &= bits - 1
+        if syndrome == 0:
+            out.append(w)
+    return out
+
+
+def signed(f):
+    return f - (1 << 64) if f >> 63 else f
+
+
+def test_links_of_a_cut_key_with_a_bit_in_each_other_block(spark):
+    """Only the key that is cut finds these pairs, and far more than 64 of them stand below each cut."""
+    far = 1 << 47 | 1 << 31 | 1 << 15
+    fps = [0xABCD << 48 | w for w in code_words()]
+    assert len(fps) >= 512
+    frame = spark.createDataFrame([(signed(f ^ m),) for f in fps for m in (0, far)], "fp long")
+    got = {frozenset((r.u & (1 << 64) - 1, r.v & (1 << 64) - 1)) for r in simhash.near_links(frame, 200).collect()}
+    assert got == {frozenset((f, f ^ far)) for f in fps}
+
+
+@pytest.mark.parametrize("mask", [0b0001, 0b0011, 0b1010, 0b0111, 0b1101])
+def test_roots_that_differ_within_the_cut(mask):
+    """A root four levels under the key whose sides differ there in one to three bits."""
+    rest = 3 - mask.bit_count()
+    far = mask << 44 | sum(1 << b for b in (31, 30)[:rest])
+    sides = [[w for w in code_words()], [w ^ far for w in code_words()]]
+    rows = [(0, 0, mask, side, fp) for side in (0, 1) for fp in sorted(sides[side])]
+    names = ["key", "lo", "hi", "side", "turned"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+    got = {frozenset(x.values()) for b in simhash._joined(iter([batch])) for x in b.to_pylist()}
+    assert got == {frozenset((w, w ^ far)) for w in sides[0]}
+
+
 def test_chunks_do_not_change_links(monkeypatch):
     fps = np.array(near_fingerprints(300, 2), np.uint64)
     root = np.array([[0, len(fps), 0, len(fps), 0]])
