@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.shared import fresh, saved
+from gaugeworks.llm.shared import saved
 
 BUDGET = 3  # bits; four blocks leave one of them equal
 SPLIT = 200_000  # fingerprints of one key that a task takes
@@ -227,6 +227,19 @@ def components(links: DataFrame) -> DataFrame:
         edges = saved(small.union(low.select("u", F.col("m").alias("v"))).distinct())
 
 
+def _grouped(docs: DataFrame, id: str, text: str, split: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(_id, fp) of every row, (fp, root) of every fingerprint, and (root, component_id, lead) of every group.
+
+    ``lead`` is the smallest fingerprint that the smallest id of the group has, or of a group of null ids.
+    """
+    marked = saved(fingerprints(docs.select(F.col(id).alias("_id"), F.col(text).alias("text"))))
+    distinct = marked.groupBy("fp").agg(F.min("_id").alias("first"))
+    root = components(near_links(distinct.select("fp"), split)).select(F.col("u").alias("fp"), F.col("v").alias("root"))
+    placed = distinct.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = placed.groupBy("root").agg(F.min(F.struct(F.col("first").isNull(), F.col("first"), F.col("fp"))).alias("_least"))
+    return marked, placed.select("fp", "root"), least.select("root", F.col("_least.first").alias("component_id"), F.col("_least.fp").alias("lead"))
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", split: int = SPLIT) -> DataFrame:
     """(id, fp, component_id) of every row: the smallest id reachable over fingerprints within three bits.
 
@@ -234,21 +247,25 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", spl
     part; a component of such rows only has a null component_id. Repeated rows come back repeated. An
     empty table gives an empty result. Other columns of ``docs`` are not looked at.
     """
-    marked = saved(fingerprints(docs.select(F.col(id).alias("_id"), F.col(text).alias("text"))))
-    distinct = marked.groupBy("fp").agg(F.min("_id").alias("first"))
-    root = components(near_links(distinct.select("fp"), split)).select(F.col("u").alias("fp"), F.col("v").alias("root"))
-    placed = distinct.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    groups = placed.join(smallest, "root").select("fp", "component_id")
+    marked, placed, least = _grouped(docs, id, text, split)
+    groups = placed.join(least, "root").select("fp", "component_id")
     return marked.join(groups, "fp").select(F.col("_id").alias(id), "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their near-duplicate group.
+    """The rows of ``docs`` that lead their near-duplicate group: its smallest id, with one fingerprint.
 
-    Rows that repeat an id are one document and stay together; rows with a null id stay if their
-    group has no other id. Columns are those of ``docs``.
+    Rows that repeat an id and its fingerprint are one document and stay together. Of a group of null
+    ids one row stays, the first by text and other columns. Columns are those of ``docs``.
     """
-    (key,) = fresh(docs, "_kept")
-    kept = near_duplicates(docs, id, text).where(F.col(id).eqNullSafe(F.col("component_id"))).select(F.col(id).alias(key)).distinct()
-    return docs.join(kept, docs[id].eqNullSafe(kept[key]), "left_semi")
+    leads = saved(_grouped(docs, id, text, SPLIT)[2].select(F.col("component_id").alias("_key"), F.col("lead").alias("fp")))
+
+    def marked(part):  # with the whole row beside the fingerprint
+        return fingerprints(part.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text).alias("text"))).withColumn("_key", F.col("_row")[id])
+
+    known = marked(docs.where(F.col(id).isNotNull())).join(leads.where("_key IS NOT NULL"), ["fp", "_key"], "left_semi")
+    order = [F.col("_row")[text], *[F.col("_row")[c] for c, kind in docs.dtypes if c != text and not kind.startswith(("map", "variant"))]]
+    # A rank filter: each task sends one row per fingerprint.
+    single = marked(docs.where(F.col(id).isNull())).withColumn("_nth", F.row_number().over(Window.partitionBy("fp").orderBy(*order))).where("_nth = 1")
+    nameless = single.join(leads.where("_key IS NULL").select("fp"), "fp", "left_semi")
+    return known.select("_row.*").union(nameless.select("_row.*"))

@@ -138,3 +138,11 @@ def test_one_document_of_each_group_stays(spark, documents):
     assert Counter(r.doc_id for r in kept.select("doc_id").collect()) == want
     assert simhash.near_duplicates(empty(spark)).count() == 0
     assert simhash.deduplicated(empty(spark)).count() == 0
+
+
+def test_null_and_repeated_ids_leave_one_document_of_each_group(spark):
+    a, b, c = "alpha beta gamma delta", "one two three four five", "red green blue white black"
+    data = [(None, a, "x"), (None, a, "y"), (None, b, "x"), (3, b, "x"), (None, b, "y"), (5, c, "x"), (5, b, "z"), (5, c, "x"), (9, c, "x")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, fp string")
+    got = Counter(map(tuple, simhash.deduplicated(docs).collect()))
+    assert got == Counter([(None, a, "x"), (3, b, "x"), (5, c, "x"), (5, c, "x")])
