@@ -2,8 +2,8 @@
 
 Pieces of text that cannot hold a shared string of 50 bytes are put aside first (``repeats``). The
 others are dealt over shards by their mark, equal pieces of a block once; equal strings meet in one
-shard. A mark that very many blocks have is dealt window by window, so that no shard has to take all
-texts a common phrase stands in. Each shard puts its equal pieces together; those that differ but have a mark in common are laid
+shard. A mark that 4,096 blocks or more have (about 12 GB of text at least) is dealt window by window;
+the pieces of any other mark go to one shard, whose memory grows with them. Each shard puts its equal pieces together; those that differ but have a mark in common are laid
 end to end, and it
 
 * sorts the suffixes of its pieces by induced sorting: suffixes are classified as smaller or larger
