@@ -10,8 +10,9 @@ word goes if a window over it also starts earlier, in an earlier document or bef
   edges gives the coordinates of each edge's first occurrence; the join back tells which edges of a
   path were seen before. Successive edges first seen one after the other in one text have no branch
   between them and are compacted into one span.
-* Edges are told apart by 128 bits over their words; coordinates (document, start) lead every span
-  back to its text, where the words are removed.
+* Edges are told apart by 128 bits over the 64-bit hashes of their words; coordinates (document, start)
+  lead every span back to its text, where the words are removed. The words of a span are not compared
+  with those of its first occurrence, and degrees of nodes are not computed.
 """
 
 from __future__ import annotations
