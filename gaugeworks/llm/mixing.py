@@ -4,8 +4,8 @@ The texts of a source are laid end to end in a pseudorandom order and cut into b
 number of words. Output shards have a fixed number of slots; each shard draws how many slots every
 source gets (systematic multinomial sampling: one uniform offset per shard, so that a count is its
 expectation rounded up or down). The slots of a source are numbered over all shards and mapped to its
-blocks by a pseudorandom permutation of the block indexes per pass over the source. Slots and blocks
-then meet in a join on (source, block).
+blocks by a pseudorandom permutation of the block indexes per pass over the source. Slots and the
+words of the blocks then meet in a join on (source, block), which gives the text of each slot.
 
 Positions within a source are sums over buckets of a hash of the id, then sums within a bucket, so a
 source that holds a third of all rows is not ordered in one task. Everything is derived from hashes of
@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.shared import fresh, saved
+from gaugeworks.llm.shared import saved
+from gaugeworks.session import work_dir
 
 WEIGHTS = (5, 2, 1)
 MOST = 3  # times a source may be repeated
@@ -61,7 +62,7 @@ def _uniform(*parts):
 def slots(plan: DataFrame, block: int = BLOCK, size: int = SLOTS, seed: int = 0) -> DataFrame:
     """(rank, shard, slot, block): the block of its source that each slot of each shard takes.
 
-    ``plan`` is the result of ``targets``; ``slot`` counts within (shard, rank).
+    ``plan`` is the result of ``targets``; ``slot`` counts within the shard, one source after the other.
     """
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     upto = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
@@ -75,7 +76,7 @@ def slots(plan: DataFrame, block: int = BLOCK, size: int = SLOTS, seed: int = 0)
     df = df.withColumn("room", F.least(F.lit(size), F.col("all") - F.col("shard") * size))
     offset = _uniform(F.lit(seed), F.col("shard"))
     at = lambda c: F.floor(F.col(c) * F.col("room") + offset)
-    df = df.withColumn("drawn", at("to") - at("from"))
+    df = df.withColumn("begin", at("from")).withColumn("drawn", at("to") - F.col("begin"))
     before = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     df = df.withColumn("first", F.coalesce(F.sum("drawn").over(before), F.lit(0))).where("drawn > 0")
     # Whole shards are spread over a set number of tasks before their slots are written out.
@@ -88,39 +89,100 @@ def slots(plan: DataFrame, block: int = BLOCK, size: int = SLOTS, seed: int = 0)
     several = F.array(*[F.lit(p) for p in PRIMES + PRIMES[:2]])
     prime = F.filter(F.slice(several, start.cast("int") + 1, 3), lambda p: F.col("blocks") % p != 0)
     moved = (F.get(prime, F.lit(0)).cast("decimal(20,0)") * (F.col("nth") % F.col("blocks")).cast("decimal(18,0)")) + F.pmod(F.xxhash64(F.lit(seed), F.col("rank"), turn, F.lit("shift")), F.col("blocks"))
-    return df.select("rank", "shard", "slot", (moved % F.col("blocks")).cast("long").alias("block"))
+    return df.select("rank", "shard", (F.col("begin") + F.col("slot")).alias("slot"), (moved % F.col("blocks")).cast("long").alias("block"))
 
 
-def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK, seed: int = 0) -> DataFrame:
-    """(id, source, size, source_size, target, taken) of every row: words taken, repeats counted.
+def _headed(docs: DataFrame, id: str, text: str, source: str, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Texts with their words counted, and (source, bucket, base) with the columns of ``targets``."""
+    df = docs.select(F.col(id).alias("_id"), F.col(source).alias("_source"), F.col(text).alias("_text"))
+    df = df.withColumn("size", F.coalesce(F.regexp_count("_text", F.lit(WORD)), F.lit(0)).cast("long"))
+    df = df.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "_id", "size"), F.lit(BUCKETS)))
+    buckets = saved(df.groupBy("_source", "bucket").agg(F.sum("size").alias("in_bucket")))
+    plan = saved(targets(buckets.groupBy(F.col("_source").alias("source")).agg(F.sum("in_bucket").alias("source_size"))))
+    before = Window.partitionBy("_source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.withColumn("base", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)))
+    buckets = buckets.join(plan, F.col("_source").eqNullSafe(F.col("source"))).drop("source")
+    return df, saved(buckets)
+
+
+def _placed(df: DataFrame, buckets: DataFrame, seed: int) -> DataFrame:
+    """``df`` with ``start``, its position in its source, and the columns of ``targets``.
 
-    Null and blank texts have size 0 and are never taken. Rows without a source are a source of their
-    own, last in order. Rows with equal or null ids are rows like any other. An empty table, or one
-    without words, gives targets 0.
+    A row at the head of each bucket brings them into the window, so that texts meet no join.
     """
-    k, s = "_id", "_source"
-    sizes = docs.select(F.col(id).alias(k), F.col(source).alias(s), F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    sizes = saved(sizes.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), k, "size"), F.lit(BUCKETS))))
-    buckets = sizes.groupBy(s, "bucket").agg(F.sum("size").alias("in_bucket"))
-    before = Window.partitionBy(s).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.withColumn("base", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)))
-    plan = saved(targets(buckets.groupBy(F.col(s).alias("source")).agg(F.sum("in_bucket").alias("source_size"))))
-
-    # Position of each text in its source.
-    within = Window.partitionBy(s, "bucket").orderBy(F.xxhash64(F.lit(seed + 1), k), k, "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sizes.withColumn("start", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    based = buckets.select(F.col(s).alias("_s"), F.col("bucket").alias("_b"), "base")
-    placed = placed.join(based, F.col(s).eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b"))).withColumn("start", F.col("start") + F.col("base"))
-    placed = placed.join(plan, F.col(s).eqNullSafe(F.col("source"))).select(k, s, "size", "start", "rank", "source_size", "target")
-    own = [k, s, "size", "start", "rank", "source_size", "target"]
-
-    # Blocks a text lies in, with the words it has in each.
-    spread = placed.where("size > 0").withColumn("block", F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")))
-    words = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block)
-    times = slots(plan, block, seed=seed).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
+    df = df.withColumn("_head", F.lit(0))
+    heads = buckets.select("_source", "bucket", F.col("base").alias("size"), F.lit(-1).alias("_head"), "rank", "source_size", "target")
+    order = Window.partitionBy("_source", "bucket").orderBy("_head", F.xxhash64(F.lit(seed + 1), "_id"), "_id", "size", *([F.xxhash64("_text")] if "_text" in df.columns else ["_hash"]))
+    upto = order.rowsBetween(Window.unboundedPreceding, -1)
+    both = df.unionByName(heads, allowMissingColumns=True).withColumn("start", F.sum("size").over(upto))
+    for c in ("rank", "source_size", "target"):
+        both = both.withColumn(c, F.first(c).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return both.where("_head = 0").drop("_head")
+
+
+def _blocks(placed: DataFrame, block: int) -> DataFrame:
+    """(rank, block, source, text, parts): the words of each block of a source, joined by single spaces.
+
+    ``parts`` has (start, words) of each text the block has words of, in order; (rank, start) names a text.
+    """
+    first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
+
+    def pieces(words):
+        def piece(b):
+            begin = F.greatest(F.lit(0), b * block - F.col("start"))
+            end = F.least(F.col("size"), (b + 1) * block - F.col("start"))
+            own = F.slice(words, begin.cast("int") + 1, (end - begin).cast("int"))
+            return F.struct(b.alias("block"), F.size(own).cast("long").alias("words"), F.array_join(own, " ").alias("text"))
+
+        return F.transform(F.sequence(first.cast("long"), last.cast("long")), piece)
+
+    # A list of one, so that a text is taken apart once and not for each piece.
+    cut = F.transform(F.array(F.regexp_extract_all("_text", F.lit(WORD), F.lit(0))), pieces)
+    spread = placed.where("size > 0").select("rank", F.col("_source").alias("source"), "start", F.inline(F.get(cut, F.lit(0))))
+    whole = spread.groupBy("rank", "block").agg(F.first("source").alias("source"), F.sort_array(F.collect_list(F.struct("start", "words", "text"))).alias("_pieces"))
+    return whole.select(
+        "rank", "block", "source", F.array_join("_pieces.text", " ").alias("text"),
+        F.transform("_pieces", lambda p: F.struct(p["start"].alias("start"), p["words"].alias("words"))).alias("parts"),
+    )
+
+
+def _joined(placed: DataFrame, plan: DataFrame, block: int, seed: int) -> DataFrame:
     # The planner takes the slots for as few as the shards they come from; they grow with the corpus.
-    taken = spread.withColumn("words", words).join(times.hint("merge"), ["rank", "block"], "left")
+    taken = slots(plan, block, seed=seed).hint("merge")
+    return _blocks(placed, block).join(taken, ["rank", "block"]).select("shard", "slot", "rank", "block", "source", "text", "parts")
+
+
+def _plan(buckets: DataFrame) -> DataFrame:
+    return buckets.groupBy("rank").agg(F.first("source_size").alias("source_size"), F.first("target").alias("target"))
+
+
+def mixture(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK, seed: int = 0) -> DataFrame:
+    """The mix: (shard, slot, rank, block, source, text, parts), a row for each slot of each shard.
+
+    ``text`` is the block of ``source`` that the slot takes: ``block`` words joined by single spaces, at
+    the end of a source fewer. ``parts`` tells which texts they come from (see ``_blocks``). ``slot``
+    counts within its shard over all sources. Nothing is in the mix of an empty table.
+    """
+    df, buckets = _headed(docs, id, text, source, seed)
+    return _joined(_placed(df, buckets, seed), _plan(buckets), block, seed)
+
+
+def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK, seed: int = 0, folder: str | None = None) -> DataFrame:
+    """(id, source, size, source_size, target, taken) of every row: words taken, repeats counted.
+
+    The mix itself (see ``mixture``) is written as parquet to ``folder``, by default a new one in the
+    shared folder, and ``taken`` is counted in what was written. Null and blank texts have size 0 and are
+    never taken. Rows without a source are a source of their own, last in order. Rows with equal or null
+    ids are rows like any other. An empty table, or one without words, gives targets 0.
+    """
+    df, buckets = _headed(docs, id, text, source, seed)
+    folder = folder or work_dir(docs.sparkSession, "mix")
+    made = _joined(_placed(df, buckets, seed), _plan(buckets), block, seed)
+    made.write.option("compression", "zstd").parquet(folder)
+    mix = docs.sparkSession.read.schema(made.schema).parquet(folder)
+    taken = mix.select("rank", F.inline("parts")).groupBy("rank", "start").agg(F.sum("words").alias("taken"))
+    bare = df.withColumn("_hash", F.xxhash64("_text")).drop("_text")
+    placed = _placed(bare, buckets, seed).withColumn("_has", F.col("size") > 0)
     # (rank, start) is unique among texts with words.
-    taken = taken.groupBy(*own).agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
-    out = taken.unionByName(placed.where("size = 0").withColumn("taken", F.lit(0).cast("long")))
-    return out.select(F.col(k).alias(id), F.col(s).alias(source), "size", "source_size", "target", "taken")
+    out = placed.join(taken.withColumn("_has", F.lit(True)), ["rank", "start", "_has"], "left")
+    return out.select(F.col("_id").alias(id), F.col("_source").alias(source), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))

@@ -74,7 +74,37 @@ def test_slots_take_every_block_alike(spark):
         assert max(counts) - min(counts) <= 1 and set(b for k, b in times if k == rank) <= set(range(blocks))
 
 
+def test_mix_holds_the_words_of_every_slot(spark, documents, tmp_path):
+    got = mixing.mixed(documents, folder=f"{tmp_path}/mix").collect()
+    mix = spark.read.parquet(f"{tmp_path}/mix").collect()
+    assert Counter((r.shard, r.slot, r.text) for r in mixing.mixture(documents).collect()) == Counter((r.shard, r.slot, r.text) for r in mix)
+    for shard in {r.shard for r in mix}:
+        used = sorted(r.slot for r in mix if r.shard == shard)
+        assert used == list(range(len(used)))
+    # Each block has one text; the blocks of a source, end to end, are its texts, end to end.
+    texts, parts, source = {}, {}, {}
+    for r in mix:
+        assert texts.setdefault((r.rank, r.block), r.text) == r.text and sum(p.words for p in r.parts) == len(words(r.text))
+        source[r.rank] = r.source
+        parts[r.rank, r.block] = r.parts
+    whole = 0
+    for rank, name in source.items():
+        want = Counter(tuple(words(r[1])) for r in corpus() if r[3] == name and words(r[1]))
+        size = sum(len(t) * n for t, n in want.items())
+        blocks = -(-size // mixing.BLOCK)
+        if any((rank, b) not in texts for b in range(blocks)):
+            continue
+        whole += 1
+        assert all(len(words(texts[rank, b])) == min(mixing.BLOCK, size - b * mixing.BLOCK) for b in range(blocks))
+        line = [w for b in range(blocks) for w in words(texts[rank, b])]
+        starts = sorted({p.start for b in range(blocks) for p in parts[rank, b]})
+        assert Counter(tuple(line[a:b]) for a, b in zip(starts, [*starts[1:], size])) == want
+    assert whole > 0
+    assert sum(r.taken for r in got) == sum(len(words(r.text)) for r in mix)
+
+
 def test_empty(spark):
     assert mixing.mixed(empty(spark)).count() == 0
+    assert mixing.mixture(empty(spark)).count() == 0
     only = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert sorted(map(tuple, mixing.mixed(only).collect())) == [(1, "a", 0, 0, 0.0, 0), (2, None, 0, 0, 0.0, 0)]
