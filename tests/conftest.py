@@ -1,6 +1,5 @@
 import os
 import sys
-from datetime import datetime
 
 import pytest
 
@@ -30,17 +29,3 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def path(tmp_path):
     return str(tmp_path / "table")
-
-
-def at(text: str) -> datetime:
-    return datetime.fromisoformat(text)
-
-
-def rows(df, *columns):
-    """Rows as a sorted list of tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)
-
-
-def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

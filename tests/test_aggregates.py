@@ -1,5 +1,5 @@
 import pytest
-from conftest import at, plan, rows
+from support import at, plan, rows
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import dedupe, duplicates, filters, ranking, rollup

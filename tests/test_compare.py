@@ -1,7 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import at, rows
+from support import at, rows
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import compare

@@ -1,5 +1,5 @@
 import pytest
-from conftest import at, rows
+from support import at, rows
 
 from gaugeworks.plans import diagnosis, rain as rain_plan, weather as weather_plan
 from gaugeworks.schema import REPLICA_RAIN, RAIN_METRICS, WAREHOUSE_RAIN, WAREHOUSE_WEATHER

@@ -4,7 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import at, plan
+from support import at, plan
 
 from gaugeworks.operators import matching as m
 

@@ -1,6 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
-from conftest import at, rows
+from support import at, rows
 
 from gaugeworks.sources import reports
 

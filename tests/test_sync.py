@@ -1,7 +1,7 @@
 """Watermarks, merges, stored tables, streams."""
 
 import pytest
-from conftest import at, plan, rows
+from support import at, plan, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -1,4 +1,4 @@
-from conftest import at
+from support import at
 from pyspark.sql import functions as F
 
 import pytest
