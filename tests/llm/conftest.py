@@ -1,7 +1 @@
-import os
-import sys
-
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-sys.path[:0] = [os.path.dirname(os.path.abspath(__file__))]
-
-from helpers import documents  # noqa: E402, F401
+from helpers import documents  # noqa: F401
