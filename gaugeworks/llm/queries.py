@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import chat, debruijn, decontaminate, language, mixing, ranking, rules, simhash, suffix, warc
+from gaugeworks.llm import chat, debruijn, decontaminate, divergence, language, mixing, periodic, ranking, rules, simhash, subwords, suffix, warc
 from gaugeworks.llm.shared import crc_mod, prepared, table
 from gaugeworks.session import work_dir
 
@@ -122,6 +122,94 @@ def op3_suffix_array(spark, sf_dir):
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) in which the words of every tenth document, by the crc32 of its id, repeat from a place on."""
+    crc = crc_mod("doc_id", 1 << 32)
+    g = F.floor(crc / 10)
+
+    def planted(words):
+        n = F.size(words)
+        start = (g % n).cast("int")
+        period = (F.lit(1) + F.floor((n - start) / (F.lit(3) + g % 8))).cast("int")
+        moved = F.transform(F.sequence(F.lit(0), n - start - 1), lambda k: F.get(words, start + k % period))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, F.lit(1), start), moved), " ")).otherwise(F.lit(""))
+
+    # A list of one, so that a text is taken apart once.
+    again = F.get(F.transform(F.array(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))), planted), F.lit(0))
+    return docs.select("doc_id", F.when(crc % 10 == 0, again).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("longest", F.when(F.size("runs") > 0, longest))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.col2")).alias("start"), F.col("longest.length").alias("length"),
+        (-F.col("longest.col3")).alias("period"), F.floor(1000 * F.col("longest.length") / -F.col("longest.col3")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_sentencepiece(spark, sf_dir):
+    import public_tokenizers
+
+    vocabulary = subwords.load(public_tokenizers.path("piece_bpe_32k.model"))
+    ids = subwords.encoded(table(spark, sf_dir, "documents"), vocabulary)
+    told = F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256)
+    back = subwords.decoded(ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), told.alias("ids_sha256"), "ids"), vocabulary)
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op13_divergence(spark, sf_dir):
+    return divergence.audited(table(spark, sf_dir, "documents")).select("lang", "source", "part", "item", "value", "rank")
+
+
+SQL["op13_divergence"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+    FROM documents
+),
+groups AS (SELECT DISTINCT lang, source FROM d),
+said AS (SELECT n, lang, source, t, count(*) AS c FROM (SELECT n, lang, source, unnest(ts) AS t FROM d) GROUP BY ALL),
+kept AS (SELECT lang, t FROM said GROUP BY lang, t HAVING count(*) >= 10),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+counted AS (SELECT lang, source, t, CAST(sum(c) AS HUGEINT) AS c FROM said JOIN kept USING (lang, t) GROUP BY ALL),
+whole AS (SELECT lang, t, sum(c) AS c FROM counted GROUP BY ALL),
+shares AS (
+    SELECT g.lang, g.source, k.t, coalesce(c.c, 0) AS c,
+           CAST(1 + (1000000000 * (coalesce(c.c, 0) + 2)) // (coalesce(s.n, 0) + 2 * z.v) AS HUGEINT) AS p
+    FROM groups g JOIN kept k USING (lang) JOIN sizes z USING (lang)
+    LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.t = k.t
+    LEFT JOIN (SELECT lang, source, sum(c) AS n FROM counted GROUP BY ALL) s ON s.lang = g.lang AND s.source = g.source
+),
+overall AS (
+    SELECT lang, t, CAST(1 + (1000000000 * (w.c + 2)) // (a.n + 2 * z.v) AS HUGEINT) AS q
+    FROM whole w JOIN (SELECT lang, sum(c) AS n FROM whole GROUP BY lang) a USING (lang) JOIN sizes z USING (lang)
+),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(v, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN (
+        SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS v
+        FROM shares x JOIN shares y ON x.lang = y.lang AND x.t = y.t AND x.source <> y.source GROUP BY ALL
+    ) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+),
+terms AS (
+    SELECT lang, source, t AS item, (p - q) * (p - q) // (p + q) AS value FROM shares JOIN overall USING (lang, t) WHERE c > 0 AND p > q
+),
+ranked AS (
+    SELECT lang, source, part, item, value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms)
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
 SQL["op2_debruijn"] = r"""
 WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
 win AS (
