@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gaugeworks.session import path_exists
+
+
 def schema_differences(actual: StructType, expected: StructType) -> list[tuple[str, str, str]]:
     """Columns of both schemas whose types differ: (name, actual type, expected type)."""
     wanted = {f.name.lower(): f.dataType.simpleString() for f in expected.fields}
@@ -50,9 +53,15 @@ def layout_check(df: DataFrame, partition: str, most: int | None = None) -> Data
     )
 
 
+def stored_layout(table: DataFrame, partition: str, most: int | None = None) -> DataFrame:
+    """``layout_check`` of a stored table by the names of its folders; no file is opened."""
+    names = {f.rsplit(f"/{partition}=", 1)[1].split("/", 1)[0] for f in table.inputFiles() if f"/{partition}=" in f}
+    values = table.sparkSession.createDataFrame([(n,) for n in sorted(names)], f"{partition} string")
+    return layout_check(values, partition, most)
+
+
 def table_exists(spark: SparkSession, name_or_path: str) -> bool:
     """A catalog table, or a folder that a reader can open."""
     if "/" not in name_or_path:
         return spark.catalog.tableExists(name_or_path)
-    path = spark._jvm.org.apache.hadoop.fs.Path(name_or_path)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    return path_exists(spark, name_or_path)

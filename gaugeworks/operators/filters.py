@@ -80,6 +80,10 @@ def last_hours(df: DataFrame, ts: str, hours: int, as_of) -> DataFrame:
     return df.filter(F.col(ts) >= moment(as_of) - F.make_dt_interval(hours=F.lit(hours)))
 
 
+def plausible_until(as_of, days_ahead: int = 3) -> Column:
+    return moment(as_of) + F.make_dt_interval(F.lit(days_ahead))
+
+
 def plausible(df: DataFrame, ts: str, as_of, days_ahead: int = 3) -> DataFrame:
     """Rows not dated more than ``days_ahead`` days after ``as_of``."""
-    return df.filter(F.col(ts) <= moment(as_of) + F.make_dt_interval(F.lit(days_ahead)))
+    return df.filter(F.col(ts) <= plausible_until(as_of, days_ahead))

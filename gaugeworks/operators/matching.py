@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import timecols
+from gaugeworks.operators.dedupe import latest
 
 MICROS = 1_000_000
 
@@ -151,18 +152,22 @@ def asof(
     direction: str = "nearest",
     match_ts: str = "match_ts",
     start: Column | None = None,
+    newest: list[str] | None = None,
 ) -> DataFrame:
     """Left as-of join: every probe row once, with at most one target row.
 
     ``direction`` is ``backward`` (last target at or before), ``forward`` (first at
     or after) or ``nearest`` (ties go to the earlier target). ``start`` replaces
-    the probe time as the point to search from. Both sides are unique on (key,
-    time). Adds ``match_ts`` and ``payload``, NULL without a match.
+    the probe time as the point to search from. Targets are unique on (key, time);
+    where they are not, ``newest`` names the columns whose highest values choose one
+    of each instant. Adds ``match_ts`` and ``payload``, NULL without a match.
     """
     if direction not in ("backward", "forward", "nearest"):
         raise ValueError("direction must be backward, forward or nearest")
     tolerance = int(round(tolerance_seconds * MICROS))
     at = start if start is not None else F.col(probe_ts)
+    if newest:
+        target = latest(target, [key, target_ts], *[F.desc_nulls_last(c) for c in newest])
     hit = F.struct(F.col(target_ts).alias(match_ts), *[F.col(c) for c in payload])
     line = _time_line(
         _probes(probe, key, at),
@@ -192,16 +197,16 @@ def within_seconds(
 
 def first_in_window(
     probe: DataFrame, target: DataFrame, key: str, probe_ts: str, target_ts: str,
-    payload: list[str], seconds: float = 3600.0,
+    payload: list[str], seconds: float = 3600.0, newest: list[str] | None = None,
 ) -> DataFrame:
-    """The earliest target row within ``±seconds``.
+    """The earliest target row within ``±seconds``; of one instant the highest by ``newest``.
 
     That is the first target at or after ``time - seconds``, no later than twice
     the tolerance.
     """
     start = timecols.ntz(F.col(probe_ts)) - F.make_dt_interval(secs=F.lit(seconds).cast("decimal(18,6)"))
     return asof(
-        probe, target, key, probe_ts, target_ts, payload, 2 * seconds, "forward", start=start
+        probe, target, key, probe_ts, target_ts, payload, 2 * seconds, "forward", start=start, newest=newest
     )
 
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gaugeworks.operators.columns import conform
-from gaugeworks.operators.dedupe import latest_by_id
+from gaugeworks.operators.dedupe import latest
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: list[str], version: str | None = None) -> DataFrame:
@@ -17,7 +18,9 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str], version: str | N
     """
     rows = batch.select(*target.columns)
     if version is not None:
-        return latest_by_id(target.unionByName(rows), key, version)
+        # Of equal versions the batch's stays, so that a replay changes nothing.
+        both = target.withColumn("_new", F.lit(0)).unionByName(rows.withColumn("_new", F.lit(1)))
+        return latest(both, key, F.desc_nulls_last(version), F.desc("_new")).drop("_new")
     kept = target.join(rows.select(*key), key, "left_anti").select(*target.columns)
     return kept.unionByName(rows)
 

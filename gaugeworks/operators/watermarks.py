@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.operators.filters import moment, plausible
+from gaugeworks.operators.filters import moment, plausible, plausible_until
 from gaugeworks.schema import EPOCH_UTC
 
 LOWEST = "0001-01-01 00:00:00"
@@ -98,6 +98,23 @@ def pending_readings(source: DataFrame, ts: str, station: str, after, until) ->
     )
 
 
+def rain_to_sync(readings: DataFrame, rain: DataFrame) -> DataFrame:
+    """Rain rows of the source as a sync would count them: one per reading and rain row."""
+    return readings.join(rain.select(F.col("leitura_id").alias("id")), "id").select("horaLeitura", "estacao_id")
+
+
+def weather_to_sync(readings: DataFrame, values: DataFrame, sensors: DataFrame, stations: DataFrame) -> DataFrame:
+    """Readings of known stations with a value of a known sensor; count them distinct by time and station."""
+    known = values.join(sensors.select(F.col("id").alias("sensor_id")), "sensor_id", "left_semi")
+    found = readings.join(known.select(F.col("leitura_id").alias("id")), "id", "left_semi")
+    return found.join(stations.select(F.col("id").alias("estacao_id")), "estacao_id", "left_semi").select("horaLeitura", "estacao_id")
+
+
+def newest_of(target: DataFrame, ts: str, as_of) -> DataFrame:
+    """One row: ``last_sync``, the newest time that is plausible, and ``rows`` with a time."""
+    return target.agg(F.max(F.when(F.col(ts) <= plausible_until(as_of), F.col(ts))).alias("last_sync"), F.count(ts).alias("rows"))
+
+
 def lag_report(
     target: DataFrame,
     source: DataFrame,
@@ -106,20 +123,19 @@ def lag_report(
     station: str | None = None,
     source_ts: str | None = None,
 ) -> DataFrame:
-    """One row comparing target and source.
+    """One row comparing target and source; see ``lag_since``."""
+    return lag_since(newest_of(target, ts, as_of), source, source_ts or ts, as_of, station)
+
+
+def lag_since(newest: DataFrame, source: DataFrame, ts: str, as_of, station: str | None = None) -> DataFrame:
+    """One row comparing the source with what a target holds (``newest_of``, or from its marks).
 
     ``status`` is ``empty`` (no rows), ``future`` (only implausible future rows),
     ``pending`` or ``current``. Pending rows are counted in
     ``(newest target time, as_of]``, distinct by (time, station) when ``station``
     is given. A lag over one whole day is significant.
     """
-    now = moment(as_of)
-    plausible_until = now + F.make_dt_interval(F.lit(3))
-    newest = target.agg(
-        F.max(F.when(F.col(ts) <= plausible_until, F.col(ts))).alias("last_sync"),
-        F.count(ts).alias("_rows"),
-    )
-    time = F.col(source_ts or ts)
+    now, time = moment(as_of), F.col(ts)
     counted = F.countDistinct(time, F.col(station)) if station else F.count(F.lit(1))
     # NULL last_sync (empty target) leaves nothing pending, as there is no sync to lag.
     pending = source.filter((time <= now) & (time > newest.select("last_sync").scalar())).agg(counted)
@@ -130,10 +146,10 @@ def lag_report(
         .withColumn("significant", F.coalesce(F.col("days_behind") > 1, F.lit(False)))
         .withColumn(
             "status",
-            F.when(F.col("_rows") == 0, "empty")
+            F.when(F.col("rows") == 0, "empty")
             .when(F.col("last_sync").isNull(), "future")
             .when(F.col("pending") > 0, "pending")
             .otherwise("current"),
         )
-        .drop("_rows")
+        .drop("rows")
     )

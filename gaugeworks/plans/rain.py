@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.timecols import to_utc
 from gaugeworks.operators import columns, watermarks
-from gaugeworks.operators.contracts import layout_check
+from gaugeworks.operators.contracts import stored_layout
 from gaugeworks.operators.dedupe import latest
-from gaugeworks.schema import RAIN_METRICS_FULL, REPLICA_RAIN, WAREHOUSE_RAIN
+from gaugeworks.schema import FIRST_YEAR, RAIN_METRICS_FULL, REPLICA_RAIN, WAREHOUSE_RAIN
 from gaugeworks.sinks import tables as sink
 from gaugeworks.sources.facts import rain_source, rain_source_raw
 from gaugeworks.sources.tables import read_table
 
 REPLICA_KEY = ["dia", "estacao_id"]
 WAREHOUSE_KEY = ["dia_utc", "estacao_id"]
+LAST_YEAR = 2100  # to which loads are counted by year
 
 
 def replica_rows(
@@ -39,22 +40,14 @@ def warehouse_rows(
     return columns.conform(rows, WAREHOUSE_RAIN)
 
 
-def new_for_replica(
-    replica: DataFrame, readings: DataFrame, rain: DataFrame, stations: DataFrame, as_of=None
-) -> DataFrame:
+def new_for_replica(readings: DataFrame, rain: DataFrame, stations: DataFrame, watermark: DataFrame) -> DataFrame:
     """Replica rows read after the replica's newest time."""
-    wm = watermarks.global_watermark(replica.withColumn("dia", F.col("dia").cast("timestamp_ntz")), "dia", as_of)
-    newer = watermarks.newer_than_global(readings, wm, "horaLeitura")
-    return replica_rows(newer, rain, stations)
+    return replica_rows(watermarks.newer_than_global(readings, watermark, "horaLeitura"), rain, stations)
 
 
-def new_for_warehouse(
-    warehouse: DataFrame, readings: DataFrame, rain: DataFrame, stations: DataFrame, as_of=None
-) -> DataFrame:
+def new_for_warehouse(readings: DataFrame, rain: DataFrame, stations: DataFrame, per_station: DataFrame) -> DataFrame:
     """Warehouse rows after each station's own newest time, and unseen stations."""
-    times = warehouse.select(F.col("dia_utc").cast("timestamp_ntz").alias("dia_utc"), "estacao_id")
-    wm = watermarks.measured(watermarks.station_watermarks(times, "dia_utc", "estacao_id", as_of))
-    newer = watermarks.newer_than_station(readings, wm, "horaLeitura", "estacao_id")
+    newer = watermarks.newer_than_station(readings, per_station, "horaLeitura", "estacao_id")
     return warehouse_rows(newer, rain, stations)
 
 
@@ -78,28 +71,46 @@ def copied_rows(
 # --- runs on stored tables ---
 
 
-def load_replica(readings: DataFrame, rain: DataFrame, stations: DataFrame, path: str) -> None:
-    sink.reload_table(replica_rows(readings, rain, stations), path, "dia")
+def load_replica(readings: DataFrame, rain: DataFrame, stations: DataFrame, path: str, last_year: int = LAST_YEAR) -> DataFrame:
+    """Load the replica; returns what the write counted, without another scan: see ``load_checks``."""
+    seen = Observation()
+    sink.reload_table(replica_rows(readings, rain, stations), path, "dia", marked=True, observed=(seen, _load_metrics(last_year)))
+    return load_checks(readings.sparkSession, seen.get, last_year)
+
+
+def _load_metrics(last_year: int) -> list[Column]:
+    year = F.year("dia")
+    known = [F.count(F.when(year == y, 1)).alias(f"ano_{y}") for y in range(FIRST_YEAR, last_year + 1)]
+    other = F.count(F.when(~year.between(FIRST_YEAR, last_year), 1)).alias("outros_anos")
+    return [F.count(F.lit(1)).alias("total"), F.min("dia").alias("data_minima"), F.max("dia").alias("data_maxima"), other, *known]
+
+
+def load_checks(spark: SparkSession, seen: dict, last_year: int = LAST_YEAR) -> DataFrame:
+    """One row of a load: rows, first and last time, rows by year and rows of other years."""
+    years = [(y, seen[f"ano_{y}"]) for y in range(FIRST_YEAR, last_year + 1) if seen[f"ano_{y}"]]
+    row = (seen["total"], seen["data_minima"], seen["data_maxima"], years, seen["outros_anos"])
+    return spark.createDataFrame([row], "total bigint, data_minima timestamp, data_maxima timestamp, anos array<struct<ano:bigint,total:bigint>>, outros_anos bigint")
 
 
 def sync_replica(
     spark: SparkSession, readings: DataFrame, rain: DataFrame, stations: DataFrame, path: str, as_of=None
 ) -> None:
-    replica = read_table(spark, path, schema=sink.with_month(REPLICA_RAIN))
-    watermarks.require_watermark(watermarks.global_watermark(
-        replica.select(F.col("dia").cast("timestamp_ntz").alias("dia")), "dia", as_of))
-    sink.upsert_table(spark, path, new_for_replica(replica, readings, rain, stations, as_of), REPLICA_KEY, "dia")
+    """The watermark comes from the marks beside the table, which is not scanned for it."""
+    newest = sink.stored_watermarks(spark, path, REPLICA_RAIN, as_of, "dia").agg(F.max("watermark").alias("watermark"))
+    watermarks.require_watermark(newest)
+    sink.upsert_table(spark, path, new_for_replica(readings, rain, stations, newest), REPLICA_KEY, "dia")
 
 
 def export_warehouse(readings: DataFrame, rain: DataFrame, stations: DataFrame, path: str) -> None:
-    sink.reload_table(warehouse_rows(readings, rain, stations), path)
+    sink.reload_table(warehouse_rows(readings, rain, stations), path, marked=True)
 
 
 def sync_warehouse(
     spark: SparkSession, readings: DataFrame, rain: DataFrame, stations: DataFrame, path: str, as_of=None
 ) -> None:
+    """Watermarks come from the marks beside the table, which is not scanned for them."""
     warehouse = read_table(spark, path, schema=sink.with_month(WAREHOUSE_RAIN))
-    if not layout_check(warehouse, sink.MONTH).first()["accepted"]:
+    if not stored_layout(warehouse, sink.MONTH).first()["accepted"]:
         raise ValueError("the table must be partitioned by month")
-    fresh = new_for_warehouse(warehouse, readings, rain, stations, as_of)
+    fresh = new_for_warehouse(readings, rain, stations, sink.stored_watermarks(spark, path, WAREHOUSE_RAIN, as_of))
     sink.append_absent(spark, path, fresh, WAREHOUSE_KEY, schema=WAREHOUSE_RAIN)

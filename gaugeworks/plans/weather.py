@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import columns, watermarks
-from gaugeworks.operators.contracts import layout_check
+from gaugeworks.operators.contracts import stored_layout
+from gaugeworks.plans import slices
 from gaugeworks.schema import SENSORS, WAREHOUSE_WEATHER, WEATHER_METRICS, WEATHER_STATIONS
 from gaugeworks.sinks import tables as sink
 from gaugeworks.sources.facts import weather_source
+from gaugeworks.sources.jdbc import year_slices
 from gaugeworks.sources.tables import read_table
 
 KEY = ["dia_utc", "estacao_id"]
@@ -32,14 +34,11 @@ def warehouse_rows(
 
 
 def new_for_warehouse(
-    warehouse: DataFrame, readings: DataFrame, values: DataFrame, sensors: DataFrame, rain: DataFrame,
-    stations: DataFrame, station_ids: list | None = WEATHER_STATIONS,
-    sensor_map: dict[str, str] | None = None, as_of=None,
+    readings: DataFrame, values: DataFrame, sensors: DataFrame, rain: DataFrame, stations: DataFrame, per_station: DataFrame,
+    station_ids: list | None = WEATHER_STATIONS, sensor_map: dict[str, str] | None = None,
 ) -> DataFrame:
     """Rows after each station's own newest time, and unseen stations of the list."""
-    times = warehouse.select(F.col("dia_utc").cast("timestamp_ntz").alias("dia_utc"), "estacao_id")
-    wm = watermarks.measured(watermarks.station_watermarks(times, "dia_utc", "estacao_id", as_of))
-    newer = watermarks.newer_than_station(readings, wm, "horaLeitura", "estacao_id")
+    newer = watermarks.newer_than_station(readings, per_station, "horaLeitura", "estacao_id")
     return warehouse_rows(
         newer, values, sensors, rain, stations, station_ids=station_ids, sensor_map=sensor_map
     )
@@ -55,6 +54,7 @@ def export_warehouse(
             readings, values, sensors, rain, stations, station_ids=station_ids, sensor_map=sensor_map
         ),
         path,
+        marked=True,
     )
 
 
@@ -72,15 +72,39 @@ def export_slice(
     )
 
 
+def export_years(
+    spark: SparkSession, readings: DataFrame, values: DataFrame, sensors: DataFrame, rain: DataFrame, stations: DataFrame,
+    path: str, first_year: int, last_year: int, station_ids: list | None = WEATHER_STATIONS,
+    sensor_map: dict[str, str] | None = None,
+) -> list[int]:
+    """The full export year by year; one that was cut short goes on after its last finished year.
+
+    The first year of a new run replaces the table, the others their months. Returns the years written.
+    """
+
+    def write(piece: slices.Slice, first: bool) -> None:
+        _, start, end = piece
+        if first:
+            rows = warehouse_rows(readings, values, sensors, rain, stations, start, end, station_ids, sensor_map)
+            sink.reload_table(rows, path)
+        else:
+            export_slice(readings, values, sensors, rain, stations, path, start, end, station_ids, sensor_map)
+
+    written = slices.run(spark, path, year_slices(first_year, last_year), write, close=False)
+    sink.start_marks(spark, path, sink.with_month(WAREHOUSE_WEATHER))
+    slices.run(spark, path, [], write)
+    return [y for y, _, _ in written]
+
+
 def sync_warehouse(
     spark: SparkSession, readings: DataFrame, values: DataFrame, sensors: DataFrame, rain: DataFrame,
     stations: DataFrame, path: str, station_ids: list | None = WEATHER_STATIONS,
     sensor_map: dict[str, str] | None = None, as_of=None,
 ) -> None:
+    """Watermarks come from the marks beside the table, which is not scanned for them."""
     warehouse = read_table(spark, path, schema=sink.with_month(WAREHOUSE_WEATHER))
-    if not layout_check(warehouse, sink.MONTH).first()["accepted"]:
+    if not stored_layout(warehouse, sink.MONTH).first()["accepted"]:
         raise ValueError("the table must be partitioned by month")
-    fresh = new_for_warehouse(
-        warehouse, readings, values, sensors, rain, stations, station_ids, sensor_map, as_of
-    )
+    per_station = sink.stored_watermarks(spark, path, WAREHOUSE_WEATHER, as_of)
+    fresh = new_for_warehouse(readings, values, sensors, rain, stations, per_station, station_ids, sensor_map)
     sink.append_absent(spark, path, fresh, KEY, schema=WAREHOUSE_WEATHER)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every plan relies on.
 SETTINGS = {
@@ -56,3 +57,27 @@ def work_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="gaugeworks-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """A reduced table written to the shared folder and read back.
+
+    It is computed once, survives lost executors, and a join to it is planned by the size of its files.
+    """
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a folder or file. Sessions without a JVM of their own ask a reader."""
+    if getattr(spark, "_jvm", None) is not None:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    try:
+        spark.read.schema("any int").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True

@@ -67,7 +67,7 @@ def rain_fact_raw(spark, sf):
     return facts.rain_source_raw(a.readings(spark, sf), a.rain(spark, sf), a.stations(spark, sf))
 
 
-def weather_sql(where: str = "TRUE") -> str:
+def weather_sql(where: str = "TRUE", time: str = "date_trunc('hour', ts)") -> str:
     picks = ", ".join(f"max(CASE WHEN r_name = '{name}' THEN value END) AS {c}" for c, name in a.SENSOR_MAP.items())
     cut = a.EVENT_CUTOVER
     return f"""SELECT *, CASE WHEN temperatura IS NULL OR umidade IS NULL OR umidade <= 0 THEN NULL ELSE
@@ -79,7 +79,7 @@ FROM (
              WHEN estacao ILIKE '{cut.late_names[0]}%' AND dia_utc < TIMESTAMP '{cut.late_start}' THEN l_tax
              ELSE l_quantity END) AS chuva,
     {picks}
-  FROM (SELECT event_id, date_trunc('hour', ts) AS dia_utc, user_id AS estacao_id, c_name AS estacao, value,
+  FROM (SELECT event_id, {time} AS dia_utc, user_id AS estacao_id, c_name AS estacao, value,
                list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type) - 1 AS sensor
         FROM events JOIN customer ON c_custkey = user_id)
   JOIN region ON r_regionkey = sensor

@@ -262,8 +262,12 @@ def weather_warehouse_sync(spark, sf):
     "combined_run",
     """WITH k AS (SELECT date_trunc('hour', ts) AS d, user_id AS u, event_id FROM events JOIN customer ON c_custkey = user_id)
 SELECT 'pluviometricos' AS tabela, count(DISTINCT (d, u)) AS total_registros, min(d) AS data_minima, max(d) AS data_maxima,
-  count(DISTINCT u) AS total_estacoes FROM k WHERE event_id IN (SELECT l_orderkey FROM lineitem)
-UNION ALL SELECT 'meteorologicos', count(DISTINCT (d, u)), min(d), max(d), count(DISTINCT u) FROM k""",
+  count(DISTINCT u) AS total_estacoes, NULL AS last_sync, NULL AS pending, NULL AS days_behind, NULL AS status
+FROM k WHERE event_id IN (SELECT l_orderkey FROM lineitem)
+UNION ALL SELECT 'meteorologicos', count(DISTINCT (d, u)), min(d), max(d), count(DISTINCT u), any_value(last_sync),
+  count(DISTINCT (d, u)) FILTER (d > last_sync AND d <= TIMESTAMP '2024-01-31'),
+  CAST(floor(epoch(TIMESTAMP '2024-01-31' - any_value(last_sync)) / 86400) AS BIGINT), 'pending'
+FROM k, (SELECT max(d) AS last_sync FROM k JOIN customer ON c_custkey = u WHERE c_mktsegment <> 'MACHINERY' AND d < TIMESTAMP '2024-01-20')""",
 )
 def combined_run(spark, sf):
     readings, values, sensors, rain, stations = _weather_args(spark, sf)
@@ -271,10 +275,12 @@ def combined_run(spark, sf):
     early = _before(readings, a.networks(spark, sf), "2024-01-20 00:00:00")
     rain_plan.export_warehouse(early, rain, stations, rain_path)
     weather_plan.export_warehouse(early, values, sensors, rain, stations, weather_path, None, a.SENSOR_MAP)
-    _, status = combined.run(
+    """Status of both tables after the run, and how far weather was behind before its sync."""
+    behind, status = combined.run(
         spark, readings, values, sensors, rain, stations, rain_path, weather_path, "2024-01-31 00:00:00", None, a.SENSOR_MAP
     )
-    return plain_times(status)
+    behind = behind.select(F.lit("meteorologicos").alias("tabela"), "last_sync", "pending", "days_behind", F.col("status"))
+    return plain_times(status.join(behind, "tabela", "left"))
 
 
 # --- delimited reports ---
