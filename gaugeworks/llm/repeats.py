@@ -205,7 +205,7 @@ def _by_bucket(marks: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]
 
 TOLD = "bucket int, block int, marks binary"
 ANSWER = "block int, bucket int, bits binary, frequent binary"
-FREQUENT = 4096  # blocks that have a mark, from which its pieces may be too many for one task
+FREQUENT = 64  # blocks that have a mark, from which its pieces are cut finer
 
 
 def told(marks: np.ndarray, block: int, bits: int) -> pa.Table:

@@ -1,10 +1,9 @@
 """Removal of byte strings that an earlier document has, by suffix arrays of shards.
 
-Pieces of text that cannot hold a shared string of 50 bytes are put aside first (``repeats``). The
-others are dealt over shards by their mark, equal pieces of a block once; equal strings meet in one
-shard. A mark that 4,096 blocks or more have (about 12 GB of text at least) is dealt window by window;
-the pieces of any other mark go to one shard, whose memory grows with them. Each shard puts its equal pieces together; those that differ but have a mark in common are laid
-end to end, and it
+Pieces of text that cannot hold a shared string of 50 bytes are put aside first (``repeats``). The others
+are sorted by their mark, equal pieces of a block once, so that equal strings meet; a task reads its pieces
+as a stream and treats whole marks together, about ``TOGETHER`` bytes at a time. Such a shard puts its equal
+pieces together; those that differ but have a mark in common are laid end to end, and it
 
 * sorts the suffixes of its pieces by induced sorting: suffixes are classified as smaller or larger
   than their right neighbour, substrings between leftmost-smaller positions are sorted and named, the
@@ -17,11 +16,17 @@ end to end, and it
 * takes for each group of equal windows the smallest document.
 
 Blocks get back, for each of their pieces, the runs of windows an earlier document has.
+
+A mark that ``FREQUENT`` blocks have may stand in many different surroundings: a common phrase. Its pieces
+are cut into strips of ``STRIP`` windows by where the marking seed lies in them, and a strip is dealt by the
+bytes all its windows share. Strips within the phrase are equal and are put together before they leave
+their block; those across its edge share all but three bytes with those they meet, so few differ.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +37,8 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.repeats import FREQUENT, LAST, Layout, byte_units, candidates, covered, dealt, frequent, mix, pieces, rolling, shared_marks, sorted_block
 
 WIDTH, SEED = 50, 18
+STRIP = 4  # windows
+TOGETHER = 1 << 20  # bytes of pieces treated at a time, and those of the last mark among them
 BLOCK_BYTES = 3 << 20
 SHORT = 2048  # sequences of names that are sorted directly
 U = np.uint64
@@ -199,12 +206,12 @@ def earliest(texts: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return piece, nth, found[at]
 
 
-def _competing(texts: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _competing(texts: pa.Array, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As ``earliest``, sorting only runs of windows that seem to occur twice, equal runs once.
 
     Copies that differ here and there have the same runs between the differences.
     """
-    units = byte_units(pa.array(texts, pa.binary()))
+    units = byte_units(texts)
     windows = units.count - WIDTH + 1
     piece = np.repeat(np.arange(len(texts)), windows)
     nth = np.arange(len(piece)) - np.repeat(np.cumsum(windows) - windows, windows)
@@ -217,17 +224,32 @@ def _competing(texts: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.nda
     new = twice & ((nth == 0) | ~np.concatenate([[False], twice[:-1]]))
     first, run = np.flatnonzero(new), np.cumsum(new)[twice] - 1
     size = np.bincount(run, minlength=len(first))
-    numbers: dict[bytes, int] = {}
-    spans = zip(piece[first].tolist(), nth[first].tolist(), size.tolist())
-    number = np.fromiter((numbers.setdefault(texts[p][a : a + n + WIDTH - 1], len(numbers)) for p, a, n in spans), np.int64, len(first))
-    owner = np.full(len(numbers), LAST, np.int64)
+    raw = b"".join(t.as_py() for t in texts)
+    contents, number = _numbered(raw, units.first[piece[first]] + nth[first], size)
+    owner = np.full(len(contents), LAST, np.int64)
     np.minimum.at(owner, number, docs[piece[first]])
-    _, _, found = earliest(list(numbers), owner)
-    begin = np.cumsum([0] + [len(t) - WIDTH + 1 for t in numbers])
+    _, _, found = earliest(contents, owner)
+    begin = np.cumsum([0] + [len(t) - WIDTH + 1 for t in contents])
     least[twice] = found[begin[number[run]] + np.flatnonzero(twice) - first[run]]
     return piece, nth, least
 
 
+def _strips(units, mark: np.ndarray, start: np.ndarray, n: np.ndarray, text: np.ndarray):
+    """Pieces cut where the marking seed's place in the window enters another strip, marked by what a strip's windows share."""
+    row = np.repeat(np.arange(len(n)), n)
+    at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    seeds = mix(rolling(units.values, SEED, 0xD1342543DE82EF95))
+    place = np.full(len(at), -1, np.int64)
+    for j in range(WIDTH - SEED + 1):
+        place[(place < 0) & (seeds[at + j] == mark[row])] = j
+    strip, seed = place // STRIP, at + place
+    new = np.ones(len(at), bool)
+    new[1:] = (row[1:] != row[:-1]) | (strip[1:] != strip[:-1]) | (seed[1:] != seed[:-1])
+    first = np.flatnonzero(new)
+    common = rolling(units.values, WIDTH - STRIP + 1, 0xA0761D6478BD642F)[seed[first] - STRIP * strip[first]]
+    return mix(common + strip[first].astype(np.uint64)), at[first], np.diff(np.append(first, len(at))), text[row[first]]
+
+
 def _block_pieces(table: pa.Table, replies: pa.Table, layout: Layout):
     """The sorted texts of a block and its candidate pieces."""
     table, texts = sorted_block(table)
@@ -238,17 +260,13 @@ def _block_pieces(table: pa.Table, replies: pa.Table, layout: Layout):
     often = frequent(own.mark, replies, layout)[keep] if len(own.start) else keep
     mark, start, n, text = own.mark[keep], own.start[keep], own.n[keep], own.text[keep]
     if often.any():
-        # Window by window, keyed by what the window holds.
-        size = np.where(often, n, 1)
-        row = np.repeat(np.arange(len(n)), size)
-        start = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-        whole = mix(rolling(units.values, WIDTH, 0xE7037ED1A0B428DB))
-        mark = np.where(often[row], whole[start], mark[row])
-        n, text = np.where(often, 1, n)[row], text[row]
+        cut = _strips(units, mark[often], start[often], n[often], text[often])
+        mark, start, n, text = (np.concatenate([whole[~often], part]) for whole, part in zip((mark, start, n, text), cut))
     return table, texts, units, doc, mark, start, n, text
 
 
-_NO_PIECES = pa.table({"shard": pa.array([], pa.int32()), "block": pa.array([], pa.int32()), "doc": pa.array([], pa.int64()), "most": pa.array([], pa.int64()), "nth": pa.array([], pa.int32()), "piece": pa.array([], pa.binary())})
+_PIECES = "mark int, block int, doc long, most long, nth int, piece binary"
+_NO_PIECES = pa.table({"mark": pa.array([], pa.int32()), "block": pa.array([], pa.int32()), "doc": pa.array([], pa.int64()), "most": pa.array([], pa.int64()), "nth": pa.array([], pa.int32()), "piece": pa.array([], pa.binary())})
 
 
 def _numbered(raw: bytes, start: np.ndarray, n: np.ndarray) -> tuple[list[bytes], np.ndarray]:
@@ -272,9 +290,9 @@ def _told(table: pa.Table, replies: pa.Table, layout: Layout) -> pa.Table:
     np.maximum.at(most, number, doc[text])
     first = np.full(len(contents), len(start), np.int64)
     np.minimum.at(first, number, np.arange(len(start)))
-    shard = (mark[first] >> U(64 - layout.bits)).astype(np.int64)
+    short = (mark[first] >> U(32)).astype(np.uint32).view(np.int32)  # marks that collide are treated together
     return pa.table({
-        "shard": pa.array(shard, pa.int32()), "block": pa.array(np.full(len(contents), block), pa.int32()), "doc": pa.array(least, pa.int64()),
+        "mark": pa.array(short, pa.int32()), "block": pa.array(np.full(len(contents), block), pa.int32()), "doc": pa.array(least, pa.int64()),
         "most": pa.array(most, pa.int64()), "nth": pa.array(np.arange(len(contents)), pa.int32()), "piece": pa.array(contents, pa.binary()),
     })
 
@@ -282,18 +300,23 @@ def _told(table: pa.Table, replies: pa.Table, layout: Layout) -> pa.Table:
 _FOUND = "block int, nth int, start int, n int, doc long"
 
 
-def _shard(table: pa.Table) -> pa.Table:
-    """For each piece of each block the runs of windows with the smallest document that has them."""
-    numbers: dict[bytes, int] = {}
-    number = np.fromiter((numbers.setdefault(p.as_py(), len(numbers)) for p in table.column("piece")), np.int64, table.num_rows)
-    docs = np.full(len(numbers), LAST, np.int64)
+def _shard(table: pa.Table) -> pa.RecordBatch:
+    """For each piece of each block the runs of windows with the smallest document that has them.
+
+    The pieces are all those of their marks.
+    """
+    codes = table.column("piece").combine_chunks()
+    codes = (codes.chunk(0) if isinstance(codes, pa.ChunkedArray) else codes).dictionary_encode()
+    number, contents = codes.indices.to_numpy(), codes.dictionary
+    docs = np.full(len(contents), LAST, np.int64)
     np.minimum.at(docs, number, table.column("doc").to_numpy())
-    contents = list(numbers)
+    marks = np.empty(len(contents), np.int64)
+    marks[number] = table.column("mark").to_numpy()
     # A piece that is the only one with its mark shares windows with no other: its copies are all there is.
-    _, inverse, count = np.unique(pieces(byte_units(pa.array(contents, pa.binary())), WIDTH, SEED).mark, return_inverse=True, return_counts=True)
+    _, inverse, count = np.unique(marks, return_inverse=True, return_counts=True)
     alone = np.flatnonzero(count[inverse] == 1)
     several = np.flatnonzero(count[inverse] > 1)
-    piece, nth, least = _competing([contents[k] for k in several.tolist()], docs[several])
+    piece, nth, least = _competing(contents.take(pa.array(several)), docs[several])
     new = np.ones(len(piece), bool)
     new[1:] = (piece[1:] != piece[:-1]) | (least[1:] != least[:-1])
     at = np.flatnonzero(new)
@@ -301,7 +324,7 @@ def _shard(table: pa.Table) -> pa.Table:
     order = np.argsort(run_piece, kind="stable")
     run_piece = run_piece[order]
     run_start = np.concatenate([nth[at], np.zeros(len(alone), np.int64)])[order]
-    windows = np.fromiter((len(contents[k]) - WIDTH + 1 for k in alone.tolist()), np.int64, len(alone))
+    windows = pc.binary_length(contents).to_numpy(zero_copy_only=False)[alone].astype(np.int64) - WIDTH + 1
     run_n = np.concatenate([np.diff(np.append(at, len(piece))), windows])[order]
     run_doc = np.concatenate([least[at], docs[alone]])[order]
     lo, hi = np.searchsorted(run_piece, number), np.searchsorted(run_piece, number, "right")
@@ -310,27 +333,46 @@ def _shard(table: pa.Table) -> pa.Table:
     # Nothing to say where no document of the block comes later.
     tell = run_doc[run] < table.column("most").to_numpy()[row]
     row, run = row[tell], run[tell]
-    return pa.table({
-        "block": pa.array(table.column("block").to_numpy()[row], pa.int32()), "nth": pa.array(table.column("nth").to_numpy()[row], pa.int32()),
-        "start": pa.array(run_start[run], pa.int32()), "n": pa.array(run_n[run], pa.int32()), "doc": pa.array(run_doc[run], pa.int64()),
-    })
-
-
-def removed(docs: DataFrame, id: str = "doc_id", text: str = "text", frequent_from: int = FREQUENT) -> DataFrame:
+    return pa.RecordBatch.from_arrays([
+        pa.array(table.column("block").to_numpy()[row], pa.int32()), pa.array(table.column("nth").to_numpy()[row], pa.int32()),
+        pa.array(run_start[run], pa.int32()), pa.array(run_n[run], pa.int32()), pa.array(run_doc[run], pa.int64()),
+    ], names=["block", "nth", "start", "n", "doc"])
+
+
+def _shards(batches: Iterator[pa.RecordBatch], together: int) -> Iterator[pa.RecordBatch]:
+    """Pieces in order of their marks, treated whole marks at a time."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size < together:
+            continue
+        table = pa.Table.from_batches(held)
+        marks = table.column("mark").to_numpy()
+        cut = int(np.searchsorted(marks, marks[-1]))  # the last mark may go on
+        held, size = [table.slice(cut).combine_chunks().to_batches()[0]], table.slice(cut).nbytes
+        if cut:
+            yield _shard(table.slice(0, cut))
+    if held:
+        yield _shard(pa.Table.from_batches(held))
+
+
+def removed(docs: DataFrame, id: str = "doc_id", text: str = "text", frequent_from: int = FREQUENT, together: int = TOGETHER) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row; ``kept`` are the bytes left.
 
     A null text is empty. A null id comes after all ids; rows with equal ids are one document, none of
     which is earlier. An empty table gives an empty result. Other columns are not looked at. Marks that
-    ``frequent_from`` blocks have are dealt by window, which changes no result.
+    ``frequent_from`` blocks have are dealt by strips, which changes no result.
     """
     layout = Layout.of(docs, text, BLOCK_BYTES)
     rows = dealt(docs, layout, id, text, F.col(id).isNull().alias("nameless"))
     texts = rows.groupBy("block")
     marks = shared_marks(rows, layout, byte_units, WIDTH, SEED, frequent_from)
     told = texts.cogroup(marks.groupBy("block")).applyInArrow(
-        lambda t, r: _told(t, r, layout), "shard int, block int, doc long, most long, nth int, piece binary"
+        lambda t, r: _told(t, r, layout), _PIECES
     )
-    found = told.groupBy("shard").applyInArrow(_shard, _FOUND)
+    found = told.repartition("mark").sortWithinPartitions("mark").mapInArrow(lambda batches: _shards(batches, together), _FOUND)
     # Both answers come back to the block: which marks are shared, and which windows are to go.
     none = lambda kind: F.lit(None).cast(kind)
     answers = marks.select("block", "bucket", "bits", "frequent", none("int").alias("nth"), none("int").alias("start"), none("int").alias("n"), none("long").alias("doc")).union(

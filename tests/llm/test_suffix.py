@@ -49,8 +49,8 @@ def plain(rows):
     return Counter(out)
 
 
-def check(frame, rows, frequent_from=suffix.FREQUENT):
-    got = suffix.removed(frame, frequent_from=frequent_from).collect()
+def check(frame, rows, frequent_from=suffix.FREQUENT, together=suffix.TOGETHER):
+    got = suffix.removed(frame, frequent_from=frequent_from, together=together).collect()
     want = plain(rows)
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in got) == want
     assert sum(r.n_removed for r in got) > 0
@@ -60,7 +60,7 @@ def test_documents(documents):
     check(documents, corpus())
 
 
-def test_frequent_marks_are_dealt_by_window(spark):
+def test_frequent_marks_are_dealt_by_strips(spark):
     """A phrase in varied surroundings, in more blocks than a frequent mark needs."""
     rng = np.random.default_rng(9)
     word = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
@@ -74,7 +74,16 @@ def test_frequent_marks_are_dealt_by_window(spark):
         patch.setattr(suffix.Layout, "of", classmethod(lambda cls, *a: layout))
         answers = suffix.shared_marks(suffix.dealt(frame, layout, "doc_id", "text"), layout, suffix.byte_units, 50, 18, 64)
         assert any(any(r.frequent) for r in answers.collect())
-        check(frame, [r[:5] for r in rows], 64)
+        for together in (1, 5000, suffix.TOGETHER):
+            check(frame, [r[:5] for r in rows], 64, together)
+
+
+def test_every_mark_by_strips(spark, documents):
+    """Marks that two blocks have count as frequent: whole texts go through strips."""
+    layout = suffix.Layout(12, 5)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(suffix.Layout, "of", classmethod(lambda cls, *a: layout))
+        check(documents, corpus(), 2, 20_000)
 
 
 def test_small_alphabets(spark):
