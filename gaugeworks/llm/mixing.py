@@ -1,33 +1,43 @@
 """Mixing sources to target weights.
 
-The texts of a source are laid end to end in a pseudorandom order and cut into blocks of a fixed
-number of words. Output shards have a fixed number of slots; each shard draws how many slots every
-source gets (systematic multinomial sampling: one uniform offset per shard, so that a count is its
-expectation rounded up or down). The slots of a source are numbered over all shards and mapped to its
-blocks by a pseudorandom permutation of the block indexes per pass over the source. Slots and the
-words of the blocks then meet in a join on (source, block), which gives the text of each slot.
-
-Positions within a source are sums over buckets of a hash of the id, then sums within a bucket, so a
-source that holds a third of all rows is not ordered in one task. Everything is derived from hashes of
-values: a rerun gives the same mix.
+The texts of a source are dealt over buckets by a hash of the id, laid end to end in a pseudorandom order
+within each bucket, and cut into blocks of a fixed number of words (the last block of a bucket may be
+shorter). Small sources are one bucket; a bucket has about ``BUCKET_WORDS`` words, so a source that holds
+a third of all rows is cut like any other.
+
+Output shards have a fixed number of slots, and each slot draws its source by weight: the counts of a shard
+are a multinomial draw. Over all shards a source then has some slots more or less than its target asks for;
+slots beyond it are handed to sources that lack some, so that totals equal the targets to a block. The
+slots of a source are numbered over all shards and mapped to its blocks by a pseudorandom permutation of
+the block indexes per pass over the source. Slots and words then meet in a join on (source, bucket, block),
+which gives the text of each slot.
+
+Texts are shuffled once, by (source, bucket): blocks are cut, put together and joined where their bucket
+lies, and slots, which are numbers only, come to them. Everything is derived from hashes of values: a
+rerun gives the same mix.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.shared import saved
-from gaugeworks.session import work_dir
+from gaugeworks.session import settled, work_dir
 
 WEIGHTS = (5, 2, 1)
 MOST = 3  # times a source may be repeated
 BLOCK = 64  # words
 SLOTS = 65_536  # of a shard
-BUCKETS = 4096  # of a source, for positions
+FINE = 1 << 16  # buckets a source can have at most
+BUCKET_WORDS = 1 << 18
+CELLS = 1024  # of the range that slots draw from
 WORD = r"[^\x20\x09-\x0D]+"
 # Primes that multiply slot numbers; one that does not divide the number of blocks permutes them.
 PRIMES = [2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549, 2147483543, 2147483497]
+_BUCKET = ["rank", "bucket"]
 
 
 def targets(sources: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -54,76 +64,109 @@ def targets(sources: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> D
     return df.select("source", "source_size", "rank", "weight", F.least("limit", F.coalesce(F.col("weight") * F.col("share"), F.col("limit"))).alias("target"))
 
 
-def _uniform(*parts):
-    """A number in [0, 1) from the hash of ``parts``."""
-    return F.pmod(F.xxhash64(*parts), F.lit(1 << 52)) / float(1 << 52)
+def _with_wanted(plan: DataFrame, block: int) -> DataFrame:
+    """``plan`` with the blocks of each source, as far as it has none yet, and the slots it is to get."""
+    if "blocks" not in plan.columns:
+        plan = plan.withColumn("blocks", F.ceil(F.col("source_size") / block))
+    return plan.withColumn("wanted", F.least(F.round(F.col("target") / block).cast("long"), MOST * F.col("blocks")))
+
+
+def _drawn(plan: DataFrame, total: int, size: int, seed: int) -> DataFrame:
+    """(rank, shard, slot): every slot of every shard draws a source, as likely as it has slots to get."""
+    spark = plan.sparkSession
+    width = -(-total // CELLS)
+    upto = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    spans = plan.where("wanted > 0").withColumn("to", F.sum("wanted").over(upto)).withColumn("from", F.col("to") - F.col("wanted"))
+    # Each source by the cells of the range it covers: a slot looks at those of its cell only.
+    div = lambda c, n: F.call_function("div", c, F.lit(n))
+    cells = F.sequence(div(F.col("from"), width), div(F.col("to") - 1, width))
+    spans = settled(spans.select("rank", "from", "to", F.explode(cells).alias("cell")), "spans")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total >> 20)
+    rows = spark.range(0, total, 1, tasks).select(div(F.col("id"), size).alias("shard"), (F.col("id") % size).alias("slot"))
+    rows = rows.withColumn("v", F.pmod(F.xxhash64(F.lit(seed), "shard", "slot"), F.lit(total))).withColumn("at", div(F.col("v"), width))
+    met = rows.join(spans, (F.col("at") == F.col("cell")) & (F.col("v") >= F.col("from")) & (F.col("v") < F.col("to")))
+    return met.select("rank", "shard", "slot")
 
 
 def slots(plan: DataFrame, block: int = BLOCK, size: int = SLOTS, seed: int = 0) -> DataFrame:
     """(rank, shard, slot, block): the block of its source that each slot of each shard takes.
 
-    ``plan`` is the result of ``targets``; ``slot`` counts within the shard, one source after the other.
+    ``plan`` is the result of ``targets``, perhaps with the number of ``blocks`` of each source; ``slot``
+    counts within the shard.
     """
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    upto = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    df = plan.withColumn("blocks", F.ceil(F.col("source_size") / block))
-    df = df.withColumn("total", F.sum("target").over(everything))
-    df = df.withColumn("to", F.try_divide(F.sum("target").over(upto), F.col("total"))).withColumn("to", F.when(F.col("rank") == F.max("rank").over(everything), 1.0).otherwise(F.col("to")))
-    df = df.withColumn("from", F.coalesce(F.lag("to").over(Window.orderBy("rank")), F.lit(0.0)))
-    df = df.where("total > 0 and blocks > 0").withColumn("all", F.round(F.col("total") / block).cast("long"))
-    shards = F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0), F.ceil(F.col("all") / size) - 1))
-    df = df.withColumn("shard", F.explode(shards))
-    df = df.withColumn("room", F.least(F.lit(size), F.col("all") - F.col("shard") * size))
-    offset = _uniform(F.lit(seed), F.col("shard"))
-    at = lambda c: F.floor(F.col(c) * F.col("room") + offset)
-    df = df.withColumn("begin", at("from")).withColumn("drawn", at("to") - F.col("begin"))
+    spark = plan.sparkSession
+    plan = settled(_with_wanted(plan, block).select("rank", "blocks", "wanted"), "wanted")
+    total = plan.agg(F.sum("wanted")).first()[0] or 0
+    if not total:
+        return spark.createDataFrame([], "rank int, shard long, slot long, block long")
+    drawn = _drawn(plan, total, size, seed)
+    # How many slots of a source each shard has, and those before; one row per source and shard.
     before = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    df = df.withColumn("first", F.coalesce(F.sum("drawn").over(before), F.lit(0))).where("drawn > 0")
-    # Whole shards are spread over a set number of tasks before their slots are written out.
-    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df = df.repartition(tasks, "rank", "shard").withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("drawn") - 1)))
-    df = df.withColumn("nth", F.col("first") + F.col("slot")).where(F.col("nth") < MOST * F.col("blocks"))
+    counts = drawn.groupBy("rank", "shard").agg(F.count("*").alias("n")).withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    counts = settled(counts, "counts")
+    got = plan.join(counts.groupBy("rank").agg(F.sum("n").alias("got")), "rank", "left").withColumn("got", F.coalesce("got", F.lit(0)))
+    # Slots beyond what a source is to get, and those that sources lack, are numbered alike over all sources.
+    earlier = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    base = lambda c: F.coalesce(F.sum(F.greatest(c, F.lit(0))).over(earlier), F.lit(0))
+    got = got.withColumns({"over": base(F.col("got") - F.col("wanted")), "under": base(F.col("wanted") - F.col("got"))})
+    got = settled(got, "got")
+    nth = F.row_number().over(Window.partitionBy("rank", "shard").orderBy("slot")) - 1
+    rows = drawn.withColumn("nth", nth).join(counts.select("rank", "shard", "first"), ["rank", "shard"])
+    rows = rows.withColumn("nth", F.col("first") + F.col("nth")).drop("first").join(got, "rank")
+    own = rows.where("nth < wanted").select("rank", "shard", "slot", "nth", "blocks")
+    free = rows.where("nth >= wanted").select("shard", "slot", (F.col("over") + F.col("nth") - F.col("wanted")).alias("free"))
+    lacking = got.where("got < wanted").withColumn("nth", F.explode(F.sequence("got", F.col("wanted") - 1)))
+    lacking = lacking.select("rank", "nth", "blocks", (F.col("under") + F.col("nth") - F.col("got")).alias("free"))
+    rows = own.unionByName(free.join(lacking, "free").drop("free"))
     turn = F.floor(F.col("nth") / F.col("blocks"))
     start = F.pmod(F.xxhash64(F.lit(seed), F.col("rank"), turn), F.lit(len(PRIMES)))
     # Eight primes in a row from a hashed start; a block count below 2 ** 62 cannot be divided by three of them.
     several = F.array(*[F.lit(p) for p in PRIMES + PRIMES[:2]])
     prime = F.filter(F.slice(several, start.cast("int") + 1, 3), lambda p: F.col("blocks") % p != 0)
     moved = (F.get(prime, F.lit(0)).cast("decimal(20,0)") * (F.col("nth") % F.col("blocks")).cast("decimal(18,0)")) + F.pmod(F.xxhash64(F.lit(seed), F.col("rank"), turn, F.lit("shift")), F.col("blocks"))
-    return df.select("rank", "shard", (F.col("begin") + F.col("slot")).alias("slot"), (moved % F.col("blocks")).cast("long").alias("block"))
+    return rows.select("rank", "shard", "slot", (moved % F.col("blocks")).cast("long").alias("block"))
 
 
-def _headed(docs: DataFrame, id: str, text: str, source: str, seed: int) -> tuple[DataFrame, DataFrame]:
-    """Texts with their words counted, and (source, bucket, base) with the columns of ``targets``."""
+def _counted(docs: DataFrame, id: str, text: str, source: str, seed: int) -> DataFrame:
     df = docs.select(F.col(id).alias("_id"), F.col(source).alias("_source"), F.col(text).alias("_text"))
     df = df.withColumn("size", F.coalesce(F.regexp_count("_text", F.lit(WORD)), F.lit(0)).cast("long"))
-    df = df.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "_id", "size"), F.lit(BUCKETS)))
-    buckets = saved(df.groupBy("_source", "bucket").agg(F.sum("size").alias("in_bucket")))
-    plan = saved(targets(buckets.groupBy(F.col("_source").alias("source")).agg(F.sum("in_bucket").alias("source_size"))))
-    before = Window.partitionBy("_source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.withColumn("base", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)))
-    buckets = buckets.join(plan, F.col("_source").eqNullSafe(F.col("source"))).drop("source")
-    return df, saved(buckets)
+    return df.withColumn("fine", F.pmod(F.xxhash64(F.lit(seed), "_id", "size"), F.lit(FINE)))
 
 
-def _placed(df: DataFrame, buckets: DataFrame, seed: int) -> DataFrame:
-    """``df`` with ``start``, its position in its source, and the columns of ``targets``.
+def _bucket(fine, n_buckets):
+    return F.floor(fine * n_buckets / FINE).cast("int")
 
-    A row at the head of each bucket brings them into the window, so that texts meet no join.
-    """
-    df = df.withColumn("_head", F.lit(0))
-    heads = buckets.select("_source", "bucket", F.col("base").alias("size"), F.lit(-1).alias("_head"), "rank", "source_size", "target")
-    order = Window.partitionBy("_source", "bucket").orderBy("_head", F.xxhash64(F.lit(seed + 1), "_id"), "_id", "size", *([F.xxhash64("_text")] if "_text" in df.columns else ["_hash"]))
-    upto = order.rowsBetween(Window.unboundedPreceding, -1)
-    both = df.unionByName(heads, allowMissingColumns=True).withColumn("start", F.sum("size").over(upto))
-    for c in ("rank", "source_size", "target"):
-        both = both.withColumn(c, F.first(c).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return both.where("_head = 0").drop("_head")
+
+def _plan(df: DataFrame, block: int, bucket_words: int) -> tuple[DataFrame, DataFrame]:
+    """The columns of ``targets`` with ``n_buckets`` and ``blocks``, a row per source; and (rank, bucket, first, blocks)."""
+    fine = settled(df.groupBy("_source", "fine").agg(F.sum("size").alias("size")), "sizes")
+    plan = targets(fine.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size")))
+    buckets = F.least(F.lit(FINE), F.greatest(F.lit(1), F.ceil(F.col("source_size") / bucket_words)))
+    plan = settled(plan.withColumn("n_buckets", buckets), "plan")
+    cut = fine.join(plan, F.col("_source").eqNullSafe(F.col("source"))).select("rank", _bucket(F.col("fine"), F.col("n_buckets")).alias("bucket"), "size")
+    cut = cut.groupBy(*_BUCKET).agg(F.ceil(F.sum("size") / block).alias("blocks")).where("blocks > 0")
+    before = Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    cut = settled(cut.withColumn("first", F.coalesce(F.sum("blocks").over(before), F.lit(0))), "buckets")
+    blocks = cut.groupBy(F.col("rank").alias("_rank")).agg(F.sum("blocks").alias("blocks"))
+    plan = plan.join(blocks, F.col("rank") == F.col("_rank"), "left").drop("_rank").na.fill(0, ["blocks"])
+    return settled(plan, "blocks"), cut
+
+
+def _placed(df: DataFrame, plan: DataFrame, seed: int, more: list[str]) -> DataFrame:
+    """(rank, bucket, start, size, more...): the place of each text with words among those of its bucket."""
+    few = plan.select("source", "rank", "n_buckets")
+    rows = df.where("size > 0").withColumn("_hash", F.xxhash64("_text")).join(few, F.col("_source").eqNullSafe(F.col("source")))
+    rows = rows.select("rank", _bucket(F.col("fine"), F.col("n_buckets")).alias("bucket"), "_id", "size", "_hash", *more)
+    order = Window.partitionBy(*_BUCKET).orderBy(F.xxhash64(F.lit(seed + 1), "_id"), "_id", "size", "_hash")
+    start = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.withColumn("start", start).select(*_BUCKET, "start", "size", *more)
 
 
 def _blocks(placed: DataFrame, block: int) -> DataFrame:
-    """(rank, block, source, text, parts): the words of each block of a source, joined by single spaces.
+    """(rank, bucket, nth, text, parts): the words of each block of a bucket, joined by single spaces.
 
-    ``parts`` has (start, words) of each text the block has words of, in order; (rank, start) names a text.
+    ``parts`` has (start, words) of each text the block has words of, in order; (rank, bucket, start) names
+    a text.
     """
     first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
 
@@ -132,57 +175,86 @@ def _blocks(placed: DataFrame, block: int) -> DataFrame:
             begin = F.greatest(F.lit(0), b * block - F.col("start"))
             end = F.least(F.col("size"), (b + 1) * block - F.col("start"))
             own = F.slice(words, begin.cast("int") + 1, (end - begin).cast("int"))
-            return F.struct(b.alias("block"), F.size(own).cast("long").alias("words"), F.array_join(own, " ").alias("text"))
+            return F.struct(b.alias("nth"), F.size(own).cast("long").alias("words"), F.array_join(own, " ").alias("text"))
 
         return F.transform(F.sequence(first.cast("long"), last.cast("long")), piece)
 
     # A list of one, so that a text is taken apart once and not for each piece.
     cut = F.transform(F.array(F.regexp_extract_all("_text", F.lit(WORD), F.lit(0))), pieces)
-    spread = placed.where("size > 0").select("rank", F.col("_source").alias("source"), "start", F.inline(F.get(cut, F.lit(0))))
-    whole = spread.groupBy("rank", "block").agg(F.first("source").alias("source"), F.sort_array(F.collect_list(F.struct("start", "words", "text"))).alias("_pieces"))
+    spread = placed.select(*_BUCKET, "start", F.inline(F.get(cut, F.lit(0))))
+    whole = spread.groupBy(*_BUCKET, "nth").agg(F.sort_array(F.collect_list(F.struct("start", "words", "text"))).alias("_pieces"))
     return whole.select(
-        "rank", "block", "source", F.array_join("_pieces.text", " ").alias("text"),
+        *_BUCKET, "nth", F.array_join("_pieces.text", " ").alias("text"),
         F.transform("_pieces", lambda p: F.struct(p["start"].alias("start"), p["words"].alias("words"))).alias("parts"),
     )
 
 
-def _joined(placed: DataFrame, plan: DataFrame, block: int, seed: int) -> DataFrame:
-    # The planner takes the slots for as few as the shards they come from; they grow with the corpus.
-    taken = slots(plan, block, seed=seed).hint("merge")
-    return _blocks(placed, block).join(taken, ["rank", "block"]).select("shard", "slot", "rank", "block", "source", "text", "parts")
-
-
-def _plan(buckets: DataFrame) -> DataFrame:
-    return buckets.groupBy("rank").agg(F.first("source_size").alias("source_size"), F.first("target").alias("target"))
-
-
-def mixture(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK, seed: int = 0) -> DataFrame:
+def _made(df: DataFrame, plan: DataFrame, cut: DataFrame, block: int, seed: int) -> DataFrame:
+    """(shard, slot, rank, block, bucket, text, parts) of every slot."""
+    taken = slots(plan, block, seed=seed)
+    # Where each block lies. Both sides have a row per block; the planner cannot know.
+    lies = cut.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    lies = lies.select(*_BUCKET, "nth", (F.col("first") + F.col("nth")).alias("block"))
+    wanted = taken.hint("merge").join(lies, ["rank", "block"])
+    made = _blocks(_placed(df, plan, seed, ["_text"]), block).hint("merge").join(wanted, [*_BUCKET, "nth"])
+    return made.select("shard", "slot", "rank", "block", "bucket", "text", "parts")
+
+
+@contextmanager
+def _by_bucket(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, rows that lie by (rank, bucket) are grouped and joined by more columns where they lie."""
+    keys = ["spark.sql.requireAllClusterKeysForCoPartition", "spark.sql.requireAllClusterKeysForDistribution"]
+    had = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "false")
+        yield
+    finally:
+        for k, v in had.items():
+            spark.conf.set(k, v)
+
+
+def mixture(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
+    block: int = BLOCK, seed: int = 0, bucket_words: int = BUCKET_WORDS,
+) -> DataFrame:
     """The mix: (shard, slot, rank, block, source, text, parts), a row for each slot of each shard.
 
     ``text`` is the block of ``source`` that the slot takes: ``block`` words joined by single spaces, at
-    the end of a source fewer. ``parts`` tells which texts they come from (see ``_blocks``). ``slot``
+    the end of a bucket fewer. ``parts`` tells which texts they come from (see ``_blocks``). ``slot``
     counts within its shard over all sources. Nothing is in the mix of an empty table.
     """
-    df, buckets = _headed(docs, id, text, source, seed)
-    return _joined(_placed(df, buckets, seed), _plan(buckets), block, seed)
+    df = _counted(docs, id, text, source, seed)
+    plan, cut = _plan(df, block, bucket_words)
+    return _named(_made(df, plan, cut, block, seed), plan)
+
+
+def _named(made: DataFrame, plan: DataFrame) -> DataFrame:
+    return made.join(plan.select("rank", "source"), "rank").select("shard", "slot", "rank", "block", "bucket", "source", "text", "parts")
 
 
-def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK, seed: int = 0, folder: str | None = None) -> DataFrame:
+def mixed(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
+    block: int = BLOCK, seed: int = 0, folder: str | None = None, bucket_words: int = BUCKET_WORDS,
+) -> DataFrame:
     """(id, source, size, source_size, target, taken) of every row: words taken, repeats counted.
 
-    The mix itself (see ``mixture``) is written as parquet to ``folder``, by default a new one in the
-    shared folder, and ``taken`` is counted in what was written. Null and blank texts have size 0 and are
-    never taken. Rows without a source are a source of their own, last in order. Rows with equal or null
-    ids are rows like any other. An empty table, or one without words, gives targets 0.
+    The mix itself (see ``mixture``; sources by their rank) is written as parquet to ``folder``, by default
+    a new one in the shared folder, and ``taken`` is counted in what was written. Null and blank texts have
+    size 0 and are never taken. Rows without a source are a source of their own, last in order. Rows with
+    equal or null ids are rows like any other. An empty table, or one without words, gives targets 0.
     """
-    df, buckets = _headed(docs, id, text, source, seed)
-    folder = folder or work_dir(docs.sparkSession, "mix")
-    made = _joined(_placed(df, buckets, seed), _plan(buckets), block, seed)
-    made.write.option("compression", "zstd").parquet(folder)
-    mix = docs.sparkSession.read.schema(made.schema).parquet(folder)
-    taken = mix.select("rank", F.inline("parts")).groupBy("rank", "start").agg(F.sum("words").alias("taken"))
-    bare = df.withColumn("_hash", F.xxhash64("_text")).drop("_text")
-    placed = _placed(bare, buckets, seed).withColumn("_has", F.col("size") > 0)
-    # (rank, start) is unique among texts with words.
-    out = placed.join(taken.withColumn("_has", F.lit(True)), ["rank", "start", "_has"], "left")
-    return out.select(F.col("_id").alias(id), F.col("_source").alias(source), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    spark = docs.sparkSession
+    df = _counted(docs, id, text, source, seed)
+    plan, cut = _plan(df, block, bucket_words)
+    folder = folder or work_dir(spark, "mix")
+    made = _made(df, plan, cut, block, seed)
+    with _by_bucket(spark):
+        made.write.option("compression", "zstd").parquet(folder)
+    mix = spark.read.schema(made.schema).parquet(folder)
+    taken = mix.select(*_BUCKET, F.inline("parts")).groupBy(*_BUCKET, "start").agg(F.sum("words").alias("taken"))
+    # (rank, bucket, start) is unique among texts with words.
+    said = _placed(df, plan, seed, ["_id"]).join(taken, [*_BUCKET, "start"], "left")
+    blank = df.where("size = 0").join(plan, F.col("_source").eqNullSafe(F.col("source"))).select("_id", "rank", "size", F.lit(0).cast("long").alias("taken"))
+    rows = said.select("_id", "rank", "size", "taken").union(blank).join(plan.select("rank", "source", "source_size", "target"), "rank")
+    return rows.select(F.col("_id").alias(id), F.col("source").alias(source), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))

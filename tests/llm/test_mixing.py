@@ -64,16 +64,39 @@ def test_slots_take_every_block_alike(spark):
     for r in rows:
         per_shard[r.shard, r.rank] += 1
         times[r.rank, r.block] += 1
-    total = sum(want.values())
-    for (shard, rank), n in per_shard.items():
-        if shard < max(s for s, _ in per_shard):
-            assert abs(n - 100 * want[rank] / total) <= 1
+    assert len({(r.shard, r.slot) for r in rows}) == len(rows)
+    # Shards are full but for the last, and draw: their counts vary as those of a multinomial draw do.
+    total, shards = sum(want.values()), max(s for s, _ in per_shard)
+    for shard in range(shards):
+        assert sum(per_shard[shard, k] for k in size) == 100
     for rank in size:
+        p = want[rank] / total
+        seen = [per_shard[s, rank] - 100 * p for s in range(shards)]
+        spread = sum(x * x for x in seen) / shards / (100 * p * (1 - p))
+        assert 0.2 < spread < 5
+    # Totals equal the targets to a block, and every block is taken alike.
+    for rank in size:
+        assert sum(n for (_, k), n in per_shard.items() if k == rank) == round(want[rank] / 64)
         blocks = -(-size[rank] // 64)
         counts = [times[rank, b] for b in range(blocks)]
         assert max(counts) - min(counts) <= 1 and set(b for k, b in times if k == rank) <= set(range(blocks))
 
 
+def test_small_buckets(spark, documents):
+    """Sources of many buckets: the same sums, and every block lies within its bucket."""
+    rows = mixing.mixed(documents, block=16, bucket_words=500).collect()
+    taken, target, size = defaultdict(int), {}, defaultdict(int)
+    for r in rows:
+        assert 0 <= r.taken <= 3 * r.size
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        size[r.source] += r.size
+    assert len(rows) == len(corpus()) and sum(size.values()) == sum(len(words(r[1])) for r in corpus())
+    for s, t in target.items():
+        # Blocks at the end of a bucket are shorter.
+        assert abs(taken[s] - t) <= 0.1 * t + 4 * 16
+
+
 def test_mix_holds_the_words_of_every_slot(spark, documents, tmp_path):
     got = mixing.mixed(documents, folder=f"{tmp_path}/mix").collect()
     mix = spark.read.parquet(f"{tmp_path}/mix").collect()
@@ -83,9 +106,10 @@ def test_mix_holds_the_words_of_every_slot(spark, documents, tmp_path):
         assert used == list(range(len(used)))
     # Each block has one text; the blocks of a source, end to end, are its texts, end to end.
     texts, parts, source = {}, {}, {}
+    named = {r.rank: r.source for r in mixing.mixture(documents).select("rank", "source").distinct().collect()}
     for r in mix:
         assert texts.setdefault((r.rank, r.block), r.text) == r.text and sum(p.words for p in r.parts) == len(words(r.text))
-        source[r.rank] = r.source
+        source[r.rank] = named[r.rank]
         parts[r.rank, r.block] = r.parts
     whole = 0
     for rank, name in source.items():
