@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gaugeworks.session import settled
+
 ORDER = 3
 PER_LANGUAGE = 600
 STEP = 1 << 20  # bytes scored at a time
@@ -134,7 +136,8 @@ def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "
     nth = lambda *order: F.row_number().over(Window.partitionBy("_lang").orderBy(*order))
     # Hashes are ranked without their texts; the last one taken bounds what texts are looked at.
     ranked = rows.select("_lang", "_hash").withColumn("_nth", nth("_hash")).where(F.col("_nth") <= per_language)
-    bounds = ranked.groupBy(F.col("_lang").alias("_of")).agg(F.max("_hash").alias("_most"))
+    # One row per language, settled: the planner knows how few they are and leaves the texts where they lie.
+    bounds = settled(ranked.groupBy(F.col("_lang").alias("_of")).agg(F.max("_hash").alias("_most")), "bounds")
     few = rows.join(bounds, (F.col("_lang") == F.col("_of")) & (F.col("_hash") <= F.col("_most")))
     # More only where ids repeat.
     chosen = few.withColumn("_nth", nth("_hash", F.xxhash64("_text"))).where(F.col("_nth") <= per_language).select("_lang", "_text")
