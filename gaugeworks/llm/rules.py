@@ -17,7 +17,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.shared import saved
+from gaugeworks.llm.shared import fresh, saved
+from gaugeworks.session import settled
 
 GAP = r"[\x20\x09-\x0D]+"
 TRAITS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -35,13 +36,14 @@ def traits(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     own = [*TRAITS, "n_lines", "n_distinct", "n_upper", "n_closed", "n_marked", "base_failed"]
     rest = [c for c in docs.columns if c not in own]
+    words, lines, sorted_, again_ = fresh(docs, "_words", "_lines", "_sorted", "_again")
     body = F.coalesce(F.col(text), F.lit(""))
     df = docs.select(
-        *[F.col(c) for c in rest], F.array_remove(F.split(body, GAP), "").alias("_words"),
-        F.filter(F.split(body, "\n"), lambda s: s.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"),
+        *[F.col(c) for c in rest], F.array_remove(F.split(body, GAP), "").alias(words),
+        F.filter(F.split(body, "\n"), lambda s: s.rlike(r"[^\x20\x09-\x0D]")).alias(lines),
     )
     # Three-word windows in text order of their words, equal ones side by side.
-    w = F.col("_words")
+    w = F.col(words)
     windows = F.when(
         F.size(w) >= 3,
         F.sort_array(F.transform(
@@ -49,25 +51,25 @@ def traits(docs: DataFrame, text: str = "text") -> DataFrame:
             lambda i: F.struct(F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("t"), i.alias("i")),
         )),
     )
-    df = df.withColumn("_sorted", windows)
-    s = F.col("_sorted")
+    df = df.withColumn(sorted_, windows)
+    s = F.col(sorted_)
     t = lambda j: F.get(s, j)["t"]  # noqa: E731  null beyond the ends
     again = F.transform(
         F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda j: t(j).eqNullSafe(t(j - 1)) | t(j).eqNullSafe(t(j + 1))),
         lambda j: F.get(s, j)["i"],
     )
-    df = df.withColumn("_again", F.when(s.isNotNull(), F.sort_array(again)))
+    df = df.withColumn(again_, F.when(s.isNotNull(), F.sort_array(again)))
     covered = F.aggregate(
-        "_again", F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n")),
+        again_, F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n")),
         lambda a, i: F.struct(i.alias("last"), (a["n"] + F.least(F.lit(3), i - a["last"])).alias("n")), lambda a: a["n"],
     )
-    joined, spaced = F.concat_ws("", "_words"), F.concat_ws(" ", "_words")
+    joined, spaced = F.concat_ws("", words), F.concat_ws(" ", words)
     df = df.select(
         *rest, F.size(w).cast("long").alias("n_words"), F.length(joined).cast("long").alias("word_chars"),
         F.regexp_count(joined, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-        F.size("_lines").cast("long").alias("n_lines"), F.size(F.array_distinct("_words")).cast("long").alias("n_distinct"),
+        F.size(lines).cast("long").alias("n_lines"), F.size(F.array_distinct(words)).cast("long").alias("n_distinct"),
         F.regexp_count(joined, F.lit("[A-Z]")).cast("long").alias("n_upper"),
         F.regexp_count(spaced, F.lit("[.,;:?!](?: |$)")).cast("long").alias("n_closed"),
         F.regexp_count(spaced, F.lit(r"[#*$%&|<>][^ ]*")).cast("long").alias("n_marked"),
@@ -163,10 +165,12 @@ def rated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def accepted(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns."""
+    """The rows of ``docs`` that are kept, with their own columns.
+
+    Rows are stored with their votes in the shared folder once, so that traits are computed once: the
+    estimation reads the votes, the decision votes and rows.
+    """
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_text"))
-    model = fit(votes(traits(rows.select("_text"), "_text")))
-    # A filter moves below whatever is computed from values alone and would have each trait computed
-    # again wherever a vote refers to it; it stays above a row number.
-    numbered = traits(rows, "_text").withColumn("_nth", F.monotonically_increasing_id())
-    return judged(votes(numbered), model).where("kept and _nth >= 0").select("_row.*")
+    names = [f"vote_{r}" for r in RULES]
+    voted = settled(votes(traits(rows, "_text")).select("_row", "base_failed", *names), "votes")
+    return judged(voted, fit(voted)).where("kept").select("_row.*")
