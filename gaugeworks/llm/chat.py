@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gaugeworks.llm.shared import fresh
+
 PART = "struct<type: string, text: string, ref: string, width: int, height: int, seconds: double, pages: int>"
 PATCH, AUDIO_RATE, PAGE_TOKENS = 14, 25, 512  # pixels a token is wide, tokens a second, tokens a page
 LEARNED = "assistant"
@@ -59,20 +61,21 @@ def formatted_turns(rows: DataFrame, conv: str = "conv_id", turn: str = "turn",
     """
     new = ["position", "formatted", "mask_start", "mask_length", "attachments", "attachment_tokens"]
     own = [c for c in rows.columns if c not in new]
+    content_, files_, place, earlier, seen_ = fresh(rows, "_parts", "_n", "_position", "_before", "_seen")
     content = F.coalesce(F.col(parts), F.expr(f"cast(array() as array<{PART}>)"))
-    df = rows.select(*own, content.alias("_parts"))
+    df = rows.select(*own, content.alias(content_))
     is_file = lambda p: p["type"].isin("image", "audio", "document")
-    df = df.withColumn("_n", F.size(F.filter("_parts", lambda p: F.coalesce(is_file(p), F.lit(False)))))
-    order = [F.col(turn).asc_nulls_first(), F.col(role).asc_nulls_first(), F.to_json("_parts")]
+    df = df.withColumn(files_, F.size(F.filter(content_, lambda p: F.coalesce(is_file(p), F.lit(False)))))
+    order = [F.col(turn).asc_nulls_first(), F.col(role).asc_nulls_first(), F.to_json(content_)]
     ordered = Window.partitionBy(conv).orderBy(*order)
-    before = F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    df = df.withColumns({"_position": F.row_number().over(ordered), "_before": F.coalesce(before, F.lit(0))})
+    before = F.sum(files_).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    df = df.withColumns({place: F.row_number().over(ordered), earlier: F.coalesce(before, F.lit(0))})
     # The visitor: parts in order, with the attachments seen so far.
     entry = "struct<type: string, ref: string, tokens: bigint, number: bigint>"
     start = F.struct(F.lit("").alias("out"), F.expr(f"cast(array() as array<{entry}>)").alias("files"))
 
     def visit(seen: Column, p: Column) -> Column:
-        number = F.col("_before") + F.size(seen["files"]) + 1
+        number = F.col(earlier) + F.size(seen["files"]) + 1
         mark = F.concat(F.lit("["), p["type"], F.lit(" "), number.cast("string"), F.lit("]"))
         file = F.struct(p["type"].alias("type"), p["ref"].alias("ref"), _tokens(p).alias("tokens"), number.cast("long").alias("number"))
         return F.when(F.coalesce(is_file(p), F.lit(False)), F.struct(
@@ -81,14 +84,14 @@ def formatted_turns(rows: DataFrame, conv: str = "conv_id", turn: str = "turn",
             F.concat(seen["out"], escape(F.coalesce(p["text"], F.lit("")))).alias("out"), seen["files"].alias("files"),
         ))
 
-    df = df.withColumn("_seen", F.aggregate("_parts", start, visit))
+    df = df.withColumn(seen_, F.aggregate(content_, start, visit))
     head = F.concat(F.lit("<s>[ROLE]"), F.coalesce(escape(F.col(role)), F.lit("\\0")), F.lit("[/ROLE]"))
-    body = F.col("_seen.out")
+    body = F.col(seen_)["out"]
     return df.select(
-        *own, F.col("_position").alias("position"), F.concat(head, body, F.lit("</s>")).alias("formatted"), F.length(head).alias("mask_start"),
+        *own, F.col(place).alias("position"), F.concat(head, body, F.lit("</s>")).alias("formatted"), F.length(head).alias("mask_start"),
         F.when(F.col(role) == LEARNED, F.length(body)).otherwise(0).alias("mask_length"),
-        F.col("_seen.files").alias("attachments"),
-        F.aggregate("_seen.files", F.lit(0).cast("long"), lambda n, f: n + f["tokens"]).alias("attachment_tokens"),
+        F.col(seen_)["files"].alias("attachments"),
+        F.aggregate(F.col(seen_)["files"], F.lit(0).cast("long"), lambda n, f: n + f["tokens"]).alias("attachment_tokens"),
     )
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.repeats import TOLD, Layout, Pieces, answered, candidates, covered, dealt, mix, pieces, repeated, rolling, shared_marks, sorted_block, told, word_units
+from gaugeworks.llm.shared import fresh
 
 WIDTH, SEED = 20, 8
 _ONE, _TWO = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB
@@ -201,7 +202,8 @@ def removed(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: tuple
 def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length: str = "n_chars") -> DataFrame:
     """``docs`` with the words of repeated windows removed and ``length`` made to fit, same columns."""
     rest = [c for c in docs.columns if c not in (id, text)]
-    rows = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"), F.struct(*rest, F.lit(0).alias("_none")).alias("_rest"))
+    (filler,) = fresh(docs, "_none")
+    rows = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"), F.struct(*rest, F.lit(0).alias(filler)).alias("_rest"))
     out = removed(rows, "_id", "_text", ("_rest",))
     value = {c: F.col("_rest")[c] for c in rest} | {id: F.col("_id"), text: F.col("kept_text")}
     if length in rest:

@@ -4,8 +4,10 @@ Texts are normalised to lower-case words joined by single spaces; each window of
 words is a pattern. A document is scanned once. Each hit is mapped back from the normalised text to
 words and to offsets in the original.
 
-The automaton is built from at most ``block`` bytes of patterns, so its size in a worker is bounded;
-further items make further automata, applied one after the other in the same pass over the rows.
+The automaton is built from at most ``block`` bytes of patterns, so its size in a worker is bounded. More
+patterns are dealt over blocks by their hash; each block is a pass of its own over the rows, whose running
+result is stored in the shared folder in between, so that one automaton is alive at a time. Patterns and
+the items that have them are put together by Spark; the driver holds one block of them.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeworks.llm.shared import fresh
+from gaugeworks.session import settled
+
 WIDTH = 13
 BLOCK = 16 << 20
 _WORD = np.array([48 <= c <= 57 or 97 <= c <= 122 or 65 <= c <= 90 or c >= 128 for c in range(256)])
@@ -40,36 +45,50 @@ def windows(text: bytes | None, width: int = WIDTH) -> list[bytes]:
     return [b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))] if words else []
 
 
-def _blocks(items: DataFrame, id: str, text: str, block: int) -> Iterator[dict[str, list[str]]]:
-    """Patterns (as latin-1 text) with the ids of their items, in blocks of bounded size."""
-    patterns: dict[str, list[str]] = {}
-    size = 0
-    for item, body in items.select(F.col(id).cast("string"), F.col(text).cast("binary")).orderBy(id, text).toLocalIterator():
-        for w in windows(body):
-            own = patterns.setdefault(f" {w.decode('latin-1')} ", [])
-            if item is not None and item not in own:
-                own.append(item)
-            size += len(w) + 16
-        if size >= block:
-            yield patterns
-            patterns, size = {}, 0
-    if patterns:
-        yield patterns
+def patterns(items: DataFrame, id: str, text: str) -> DataFrame:
+    """(pattern, ids, size): each window of the items once, as latin-1 text, with the ids of its items in order."""
+    rows = items.select(F.col(id).cast("string").alias("item"), F.col(text).cast("binary").alias("body"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, body in zip(batch.column(0), batch.column(1)):
+                own = sorted(set(windows(body.as_py())))
+                for at in range(0, len(own), 4096):
+                    part = [f" {w.decode('latin-1')} " for w in own[at : at + 4096]]
+                    yield pa.RecordBatch.from_arrays([pa.array([item.as_py()] * len(part), pa.string()), pa.array(part, pa.string())], names=["item", "pattern"])
+
+    found = rows.mapInArrow(cut, "item string, pattern string").groupBy("pattern").agg(F.sort_array(F.collect_set("item")).alias("ids"))
+    size = F.length("pattern") + 16 + F.aggregate("ids", F.lit(0), lambda n, i: n + F.length(i) + 8)
+    return found.withColumn("size", size.cast("long"))
+
+
+def _blocks(found: DataFrame, block: int) -> Iterator[dict[str, list[str]]]:
+    """Patterns with the ids of their items, in blocks of at most ``block`` bytes as far as one hash value allows."""
+    total = found.agg(F.sum("size")).first()[0] or 0
+    n = -(-total // block)
+    while n > 1:
+        largest = found.groupBy(F.pmod(F.xxhash64("pattern"), F.lit(n)).alias("b")).agg(F.sum("size").alias("s"), F.count("*").alias("c"))
+        if not largest.where((F.col("s") > block) & (F.col("c") > 1)).head(1):
+            break
+        n += -(-n // 4)
+    for b in range(n):
+        rows = found.where(F.pmod(F.xxhash64("pattern"), F.lit(n)) == b).select("pattern", "ids").collect()
+        if rows:
+            yield {r["pattern"]: r["ids"] for r in rows}
 
 
 _built: dict[str, object] = {}
 
 
 def _automaton(key: str, patterns: dict[str, list[str]]):
-    """One automaton at a time is kept per worker process and block."""
+    """One automaton at a time is kept per worker process."""
     if key not in _built:
         machine = ahocorasick.Automaton()
         machine.add_word("\n", (0, []))  # in no normalised text; an automaton may not be empty
         for pattern, ids in patterns.items():
             machine.add_word(pattern, (pattern.count(" ") - 1, ids))
         machine.make_automaton()
-        if len(_built) >= 2:
-            _built.clear()
+        _built.clear()
         _built[key] = machine
     return _built[key]
 
@@ -128,8 +147,9 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     spark = docs.sparkSession
     rest = [c for c in docs.columns if c not in {f.name for f in OUTPUT}]
     schema = T.StructType([f for f in docs.select(*rest).schema] + OUTPUT)
-    state = [T.StructField("_runs", T.ArrayType(T.LongType())), T.StructField("_ids", T.ArrayType(T.StringType()))]
-    rows = docs.select(*rest, F.lit(None).cast("array<long>").alias("_runs"), F.lit(None).cast("array<string>").alias("_ids"))
+    runs_, ids_ = fresh(docs, "_runs", "_ids")
+    state = [T.StructField(runs_, T.ArrayType(T.LongType())), T.StructField(ids_, T.ArrayType(T.StringType()))]
+    rows = docs.select(*rest, F.lit(None).cast("array<long>").alias(runs_), F.lit(None).cast("array<string>").alias(ids_))
 
     def step(patterns, key: str):
         shared = spark.sparkContext.broadcast(patterns)
@@ -139,7 +159,7 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
             for batch in batches:
                 texts = batch.column(text).cast(pa.binary())
                 new = {f.name: [] for f in [*OUTPUT, *state]}
-                for body, runs, ids in zip(texts, batch.column("_runs").to_pylist(), batch.column("_ids").to_pylist()):
+                for body, runs, ids in zip(texts, batch.column(runs_).to_pylist(), batch.column(ids_).to_pylist()):
                     body = body.as_py()
                     n, more, found = scan(body, machine)
                     runs = _merged(list(zip((runs or [])[::2], (runs or [])[1::2])) + more)
@@ -149,24 +169,27 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
                         "n_words": n, "n_hit": hit, "n_items": len(items),
                         "items_sha256": hashlib.sha256(",".join(items).encode()).hexdigest(),
                         "contaminated": hit > 0 and 20 * hit >= n, "item_ids": items,
-                        "hit_bytes": _spans(body, runs) if runs else [], "_runs": [x for r in runs for x in r], "_ids": items,
+                        "hit_bytes": _spans(body, runs) if runs else [], runs_: [x for r in runs for x in r], ids_: items,
                     }
                     for name, value in values.items():
                         new[name].append(value)
-                types = {**_ARROW, "_runs": pa.list_(pa.int64()), "_ids": pa.list_(pa.string())}
+                types = {**_ARROW, runs_: pa.list_(pa.int64()), ids_: pa.list_(pa.string())}
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c) for c in rest] + [pa.array(v, types[k]) for k, v in new.items()], names=[*rest, *new]
                 )
 
         return run
 
-    used = False
     token = uuid.uuid4().hex
-    for n, patterns in enumerate(_blocks(items, item_id, item_text, block)):
-        rows = rows.select(*rest, "_runs", "_ids").mapInArrow(step(patterns, f"{token}-{n}"), T.StructType([*schema, *state]))
-        used = True
-    if not used:
-        rows = rows.select(*rest, "_runs", "_ids").mapInArrow(step({}, f"{token}-none"), T.StructType([*schema, *state]))
+    found = settled(patterns(items, item_id, item_text), "patterns")
+    none: dict[str, list[str]] = {}
+    for n, block_ in enumerate(_blocks(found, block)):
+        if n:
+            rows = settled(rows, "contamination")
+        rows = rows.select(*rest, runs_, ids_).mapInArrow(step(block_, f"{token}-{n}"), T.StructType([*schema, *state]))
+        none = block_
+    if not none:
+        rows = rows.select(*rest, runs_, ids_).mapInArrow(step(none, f"{token}-none"), T.StructType([*schema, *state]))
     return rows.select(*[f.name for f in schema])
 
 

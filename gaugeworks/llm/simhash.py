@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.shared import saved
+from gaugeworks.llm.shared import fresh, saved
 
 BUDGET = 3  # bits; four blocks leave one of them equal
 SPLIT = 200_000  # fingerprints of one key that a task takes
@@ -60,15 +60,16 @@ def fingerprint(text: bytes | None, width: int = 3, seed: int = 42) -> int:
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     """All rows and columns but the text, with its ``fp`` (long). A null or wordless text has fp 0."""
     rest = [c for c in docs.columns if c not in (text, "fp")]
+    (body,) = fresh(docs, "_bytes")
     schema = docs.select(*rest).schema.add("fp", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t.as_py()) for t in batch.column("_bytes")], np.uint64).view(np.int64)
+            fps = np.array([fingerprint(t.as_py()) for t in batch.column(body)], np.uint64).view(np.int64)
             columns = [batch.column(c) for c in rest] + [pa.array(fps, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*rest, "fp"])
 
-    return docs.select(*rest, F.col(text).cast("binary").alias("_bytes")).mapInArrow(run, schema)
+    return docs.select(*rest, F.col(text).cast("binary").alias(body)).mapInArrow(run, schema)
 
 
 def node_pairs(fp: np.ndarray, roots: np.ndarray, bits: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:

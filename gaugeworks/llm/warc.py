@@ -1,7 +1,9 @@
 """A deterministic sharded WARC writer, and a reader.
 
-Records are sorted by id within shards of id ranges. A shard is a series of files of gzip members, one
-per record, rolled when a file has ``roll`` compressed bytes. Headers, record ids and digests follow
+Records are sorted by id, payload and url, and cut into shards, which are ranges of that order. A shard
+begins at each record that a hash selects, one of ``SHARD`` on average, so boundaries follow from the rows
+alone, whatever ids look like, and rows with equal or null ids are cut like others. A shard is a series of
+files of gzip members, one per record, rolled when a file has ``roll`` compressed bytes. Headers, record ids and digests follow
 from the rows alone, so a task that runs again writes the same bytes. A file is written under a
 temporary name and renamed when complete; the manifest lists the files and is renamed last, so a folder
 with a manifest is complete.
@@ -19,12 +21,17 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SHARD = 2048  # ids of a shard
+from gaugeworks.session import settled
+
+SHARD = 4096  # records of a shard, on average
+MOST_SHARDS = 100_000  # about; larger tables have larger shards
 ROLL = 64 << 20
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -41,8 +48,8 @@ def digest(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def record_id(page: int | None, nth: int) -> str:
-    return f"<urn:uuid:{uuid.uuid5(SPACE, f'record {page} {nth}')}>"
+def record_id(page: int | None, payload_digest: str, url: str | None, nth: int) -> str:
+    return f"<urn:uuid:{uuid.uuid5(SPACE, f'record {page} {payload_digest} {nth} {url}')}>"
 
 
 def _line(text: str) -> str:
@@ -50,15 +57,16 @@ def _line(text: str) -> str:
     return "".join(c if c > " " and c not in "%\x7f" else f"%{ord(c):02X}" for c in text)
 
 
-def record(page: int | None, url: str | None, payload: bytes, refers_to: int | None, nth: int = 0, date: str = DATE) -> bytes:
-    """One record, uncompressed. ``nth``: repetition of the same id."""
+def record(page: int | None, url: str | None, payload: bytes, refers_to: tuple[int, str | None] | None, nth: int = 0, date: str = DATE) -> bytes:
+    """One record, uncompressed. ``refers_to``: id and url of the first page with this payload. ``nth``: repetition of the same row."""
+    own = digest(payload)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http + payload if refers_to is None else http
     head = [
-        "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(page, nth)}", f"WARC-Date: {date}",
+        "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(page, own, url, nth)}", f"WARC-Date: {date}",
         *([] if url is None else [f"WARC-Target-URI: {_line(url)}"]), *([] if page is None else [f"X-Page-ID: {page}"]),
-        f"WARC-Payload-Digest: sha1:{digest(payload)}", f"WARC-Block-Digest: sha1:{digest(block)}",
-        *([] if refers_to is None else [f"WARC-Refers-To: {record_id(refers_to, 0)}", f"X-Refers-To-Page: {refers_to}", f"WARC-Profile: {PROFILE}"]),
+        f"WARC-Payload-Digest: sha1:{own}", f"WARC-Block-Digest: sha1:{digest(block)}",
+        *([] if refers_to is None else [f"WARC-Refers-To: {record_id(refers_to[0], own, refers_to[1], 0)}", f"X-Refers-To-Page: {refers_to[0]}", f"WARC-Profile: {PROFILE}"]),
         f"X-Payload-Length: {len(payload)}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
     ]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -93,10 +101,10 @@ def _written(folder: str, roll: int):
                     name = f"part-{shard:012d}-{seq:05d}.warc.gz"
                     state = {"records": 0, "bytes": 0, "hash": hashlib.sha256(), "try": f"tmp-{uuid.uuid4().hex}"}
                     out = files.open_output_stream(f"{base}/{name}.{state['try']}", compression=None)
-                page = row["_page"]
-                nth = nth + 1 if last == (page,) else 0
-                last = (page,)
-                data = _member(record(page, row["_url"], row["_payload"], row["_first"] if row["_first"] != page else None, nth))
+                page, refers = row["_page"], row["_first"] and (row["_first"]["_page"], row["_first"]["_url"])
+                nth = nth + 1 if last == (page, row["_url"], row["_payload"]) else 0
+                last = (page, row["_url"], row["_payload"])
+                data = _member(record(page, row["_url"], row["_payload"], refers, nth))
                 out.write(data)
                 state["hash"].update(data)
                 state["records"] += 1
@@ -107,27 +115,53 @@ def _written(folder: str, roll: int):
     return run
 
 
+def _order() -> Column:
+    """Text whose order is that of records: null ids first, then by id, payload digest and url."""
+    page = F.lpad(F.hex(F.col("_page").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    return F.concat(F.when(F.col("_page").isNull(), "0").otherwise(F.concat(F.lit("1"), page)), "_key", F.when(F.col("_url").isNull(), "0").otherwise(F.concat(F.lit("1"), "_url")))
+
+
+def _shards(rows: DataFrame, size: int):
+    """The number of the shard that a place in the order lies in, as a function of that column.
+
+    Shards begin at places a hash selects. Their beginnings are collected: about ``MOST_SHARDS`` at most.
+    """
+    spark = rows.sparkSession
+    hashed = settled(rows.select(F.col("_order"), F.xxhash64("_order").alias("_hash")).where(F.pmod("_hash", F.lit(size)) == 0).distinct(), "shards")
+    # Twice as many records a shard halves them; every second one of the selected hashes stays.
+    while hashed.where(F.pmod("_hash", F.lit(size)) == 0).count() > MOST_SHARDS:
+        size *= 2
+    begins = [r[0].encode() for r in hashed.where(F.pmod("_hash", F.lit(size)) == 0).select("_order").collect()]
+    shared = spark.sparkContext.broadcast(np.array(sorted(begins), object))
+
+    @F.pandas_udf("long")
+    def shard(order: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(shared.value, np.array([o.encode() for o in order], object), "right"), dtype="int64")
+
+    return shard
+
+
 def write(pages: DataFrame, folder: str, id: str = "page_id", url: str = "url", html: str = "html", least: int = 0, shard: int = SHARD, roll: int = ROLL) -> DataFrame:
     """Writes ``pages`` into the new ``folder`` and returns the manifest.
 
     A null html is an empty payload. Payloads of fewer than ``least`` bytes are all responses. Rows
     that repeat an id are records of their own; with equal payloads they have the same type. Rows with
-    a null id come first and are always responses. An empty table gives a manifest without files.
+    a null id come first and are always responses. ``shard`` is the mean number of records of a shard. An empty table gives a manifest without files.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col(id).cast("long").alias("_page"), F.col(url).alias("_url"), F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias("_payload"))
+    rows = rows.withColumn("_key", F.sha2("_payload", 256)).withColumn("_order", _order())
+    shard_of = _shards(rows, shard)
     # Same payload: same digest and length. A hot payload sends one row per task here.
-    keyed = rows.select("_page", F.sha2("_payload", 256).alias("_key"), F.octet_length("_payload").alias("_size"))
-    keyed = keyed.where(F.col("_page").isNotNull() & (F.col("_size") >= least)).distinct()
-    first = keyed.groupBy("_key").agg(F.min("_page").alias("_first"))
-    ids = F.floor(F.col("_page") / shard)
+    keyed = rows.where(F.col("_page").isNotNull() & (F.octet_length("_payload") >= least)).select("_page", "_key", "_url", "_order").distinct()
+    first = keyed.groupBy("_key").agg(F.min(F.struct("_page", "_url")).alias("_first"))
     # Only pages that repeat another one; ids and payload digests, no payloads.
-    again = keyed.join(first, "_key").where("_page <> _first").select(ids.alias("_shard"), "_page", "_key", "_first")
+    again = keyed.join(first, "_key").where("_page <> _first._page").select(shard_of(F.col("_order")).alias("_shard"), "_order", "_first")
     # Payloads are shuffled once, by shard; the join finds both sides so partitioned.
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.withColumns({"_shard": F.coalesce(ids, F.lit(-1).cast("long")), "_key": F.sha2("_payload", 256)}).repartition(n, "_shard")
-    joined = placed.join(again.repartition(n, "_shard"), ["_shard", "_page", "_key"], "left")
-    ordered = joined.select("_shard", "_page", "_url", "_payload", "_first").sortWithinPartitions(F.col("_shard"), F.col("_page").asc_nulls_first(), "_url", F.sha2("_payload", 256))
+    placed = rows.select(shard_of(F.col("_order")).alias("_shard"), "_order", "_page", "_url", "_payload").repartition(n, "_shard")
+    joined = placed.join(again.repartition(n, "_shard"), ["_shard", "_order"], "left")
+    ordered = joined.select("_shard", "_page", "_url", "_payload", "_first", "_order").sortWithinPartitions("_shard", "_order").drop("_order")
     files, base = place(folder)
     files.create_dir(base, recursive=True)
     manifest = ordered.mapInArrow(_written(folder, roll), MANIFEST)

@@ -45,10 +45,9 @@ def items():
 
 
 def test_against_plain_search(spark, documents):
-    its = items()
-    frame = spark.createDataFrame(its, "item_id long, text string")
-    want = sorted(((r[0],) + plain(r[1], its) for r in corpus()), key=repr)
-    for block in (decontaminate.BLOCK, 400):  # one automaton, or several in turn
+    for block, its in ((decontaminate.BLOCK, items()), (400, items()[:2] + items()[30:])):  # one automaton, or several in turn
+        frame = spark.createDataFrame(its, "item_id long, text string")
+        want = sorted(((r[0],) + plain(r[1], its) for r in corpus()), key=repr)
         got = decontaminate.contamination(documents, frame, block=block)
         assert got.columns[: len(documents.columns) - 1] == [c for c in documents.columns if c != "n_words"]
         rows = got.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()

@@ -53,6 +53,27 @@ def test_read_back(spark, tmp_path, least):
     assert files(tmp_path / "b") == own
 
 
+@pytest.mark.parametrize("ids", [[1_000_003 * i for i in range(300)], [7] * 300, [None] * 300])
+def test_shards_follow_records_not_ids(spark, tmp_path, ids):
+    """Sparse ids make no more files than dense ones; equal and null ids are cut, too."""
+    pages = spark.createDataFrame([(i, f"u{k}", f"<p>{k}</p>") for k, i in enumerate(ids)], "page_id long, url string, html string")
+    assert warc.write(pages, str(tmp_path / "one")).count() == 1
+    shards = {r.shard for r in warc.write(pages, str(tmp_path / "many"), shard=20).collect()}
+    assert 5 < len(shards) < 40
+    got = warc.read(spark, str(tmp_path / "many")).select("page_id", "url", "record_type").collect()
+    assert Counter((r.page_id, r.url) for r in got) == Counter((i, f"u{k}") for k, i in enumerate(ids))
+    found = [line for b in files(tmp_path / "many").values() for line in gzip.decompress(b).split(b"\r\n") if line.startswith(b"WARC-Record-ID")]
+    assert len(set(found)) == 300
+
+
+def test_revisits_refer_to_a_record(spark, tmp_path):
+    warc.write(spark.createDataFrame(rows(), PAGES), str(tmp_path / "a"), shard=16)
+    lines = [line for b in files(tmp_path / "a").values() for line in gzip.decompress(b).split(b"\r\n")]
+    ids = {line.partition(b": ")[2] for line in lines if line.startswith(b"WARC-Record-ID: ")}
+    refers = {line.partition(b": ")[2] for line in lines if line.startswith(b"WARC-Refers-To: ")}
+    assert refers and refers <= ids
+
+
 def test_records(tmp_path):
     one = warc.record(3, "http://x/ü a", "é".encode(), None)
     assert b"WARC-Target-URI: http://x/\xc3\xbc%20a\r\n" in one and one.endswith("\r\n\r\né\r\n\r\n".encode())
