@@ -168,6 +168,19 @@ def op13_divergence(spark, sf_dir):
     return divergence.audited(table(spark, sf_dir, "documents")).select("lang", "source", "part", "item", "value", "rank")
 
 
+# Base 32: of each five bits the two hexadecimal digits that hold them.
+_BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  ((CAST('0x' || substr(h, CAST(5 * i // 4 AS INTEGER) + 1, 2) AS INTEGER) >> CAST(3 - 5 * i % 4 AS INTEGER)) & 31) + 1, 1)), '')"""
+SQL["op8_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT t, min(page_id) AS first FROM p WHERE page_id IS NOT NULL GROUP BY t)
+SELECT page_id, CAST(strlen(p.t) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f ON f.t = p.t
+"""
+
+
 SQL["op13_divergence"] = r"""
 WITH d AS (
     SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,

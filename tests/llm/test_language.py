@@ -64,3 +64,49 @@ def test_odd_rows(spark, documents):
     assert language.learn(empty(spark)) is None
     assert {r.lang_pred for r in language.identified(documents, None).collect()} == {"und"}
     assert language.identified(empty(spark), model).count() == 0
+
+
+def test_query_against_a_direct_walk(spark):
+    """What is learned, what is held out, what is predicted and the score, from the tables alone."""
+    import re
+    import zlib
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    part = lambda r: zlib.crc32(str(r.doc_id).encode()) % 3
+    seen = defaultdict(lambda: [defaultdict(Counter) for _ in range(4)])
+    for r in docs:
+        if part(r) != 1 and r.lang is not None and r.text:
+            t = b"\n\n\n" + r.text.encode()
+            for k, own in enumerate(seen[r.lang]):
+                for i in range(3, len(t)):
+                    own[t[i - k : i]][t[i]] += 1
+
+    def bits(own, text):
+        total, t = 0.0, b"\n\n\n" + text
+        for i in range(3, len(t)):
+            for k in range(3, -1, -1):
+                counts = own[k].get(t[i - k : i])
+                if counts is None:
+                    continue
+                n, d = sums[id(counts)], len(counts)
+                if t[i] in counts:
+                    total += math.log2((n + d) / counts[t[i]])
+                    break
+                total += math.log2((n + d) / d)
+            else:
+                total += 8
+        return total
+
+    sums = {id(c): sum(c.values()) for own in seen.values() for k in own for c in k.values()}
+    got = {r.doc_id: r for r in queries.QUERIES["op4_language"](spark, SF).collect()}
+    assert set(got) == {r.doc_id for r in docs} and sum(r.held_out for r in got.values()) == sum(part(r) == 1 for r in docs)
+    for r in sorted(docs, key=lambda r: len(r.text or ""))[:140]:
+        row = got[r.doc_id]
+        assert row.held_out == (part(r) == 1)
+        if not re.search(r"[^\W\d_]", r.text or ""):
+            assert (row.lang_pred, row.score) == ("und", 0.0)
+            continue
+        length = {name: bits(own, r.text.encode()) for name, own in seen.items()}
+        best = min(length.values())
+        assert length[row.lang_pred] - best < 1e-2
+        assert row.score == pytest.approx(1 / sum(2 ** -(x - best) for x in length.values()), abs=1e-3)
