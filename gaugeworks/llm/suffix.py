@@ -38,9 +38,9 @@ from gaugeworks.llm.repeats import FREQUENT, LAST, Layout, byte_units, candidate
 
 WIDTH, SEED = 50, 18
 STRIP = 4  # windows
-TOGETHER = 1 << 20  # bytes of pieces treated at a time, and those of the last mark among them
+TOGETHER = 2 << 20  # bytes of pieces treated at a time, and those of the last mark among them
 BLOCK_BYTES = 3 << 20
-SHORT = 2048  # sequences of names that are sorted directly
+SHORT = 1 << 18  # sequences of names that are sorted directly
 U = np.uint64
 
 
@@ -124,8 +124,6 @@ def suffix_array(s: np.ndarray, sigma: int) -> np.ndarray:
     n = len(s)
     if n < 2:
         return np.arange(n, dtype=np.int32)
-    if n <= SHORT:
-        return _doubled(s)
     small = _types(s)
     at = np.flatnonzero(small[1:] & ~small[:-1]).astype(np.int32) + 1
     if not len(at):
@@ -150,7 +148,9 @@ def suffix_array(s: np.ndarray, sigma: int) -> np.ndarray:
     names = np.zeros(n, np.int64)
     names[order] = np.concatenate([[0], np.cumsum(~same)])
     count = int(names[order[-1]]) + 1
-    if count < len(at):
+    if count < len(at) <= SHORT:
+        order = at[_doubled(names[at])]
+    elif count < len(at):
         # The recursion: names as two digits each, so that buckets stay few.
         base = int(np.ceil(np.sqrt(count)))
         digits = np.empty(2 * len(at), np.int32)
