@@ -8,8 +8,8 @@ word goes if a window over it also starts earlier, in an earlier document or bef
   occurrences but the first are repeated as a whole.
 * Only the first occurrence of each path is opened into edges, from its source coordinates. Grouping
   edges gives the coordinates of each edge's first occurrence; the join back tells which edges of a
-  path were seen before. Successive edges first seen one after the other in one text have no branch
-  between them and are compacted into one span.
+  path were seen before. These go to the block of their text, where successive ones are compacted into
+  one span.
 * Edges are told apart by 128 bits over the 64-bit hashes of their words; coordinates (document, start)
   lead every span back to its text, where the words are removed. The words of a span are not compared
   with those of its first occurrence, and degrees of nodes are not computed.
@@ -22,7 +22,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.repeats import TOLD, Layout, Pieces, answered, candidates, covered, dealt, mix, pieces, repeated, rolling, shared_marks, sorted_block, told, word_units
@@ -146,12 +146,8 @@ def _spans(docs: DataFrame, rows: DataFrame, layout: Layout) -> DataFrame:
     edges = texts.cogroup(given.groupBy("block")).applyInArrow(lambda t, g: _edge_rows(t, g, layout), "e1 long, e2 long, doc long, twin long, start int, block int")
     seen = edges.groupBy("e1", "e2").agg(F.min(F.struct("doc", "twin", "start")).alias("first"))
     later = edges.join(seen, ["e1", "e2"]).where(F.struct("doc", "twin", "start") != F.col("first"))
-    # Edges that follow each other here and where they were first seen form one path without a branch.
-    chain = Window.partitionBy("block", "doc", "twin", "from_doc", "from_twin", "shift").orderBy("start")
-    later = later.select("block", "doc", "twin", "start", F.col("first.doc").alias("from_doc"), F.col("first.twin").alias("from_twin"), (F.col("start") - F.col("first.start")).alias("shift")).distinct()
-    later = later.withColumn("chain", F.col("start") - F.row_number().over(chain))
-    joined = later.groupBy("block", "doc", "twin", "from_doc", "from_twin", "shift", "chain").agg(F.min("start").alias("start"), F.count(F.lit(1)).cast("int").alias("n"))
-    return again.union(joined.select("block", "doc", "twin", "start", "n"))
+    # Runs of these are put together where their text lies.
+    return again.union(later.select("block", "doc", "twin", "start", F.lit(1).alias("n")))
 
 
 def removed(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
