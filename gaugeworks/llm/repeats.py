@@ -197,50 +197,77 @@ def _cuts(marks: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
     return list(zip(bucket[first].tolist(), first.tolist(), np.append(first[1:], len(marks)).tolist()))
 
 
-def _by_bucket(marks: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Sorted distinct marks, bucket by bucket, as 40-bit numbers."""
-    for bucket, a, b in _cuts(marks, bits):
-        yield bucket, np.unique((marks[a:b] >> U(24 - bits)) & U((1 << 40) - 1))
+def _short(marks: np.ndarray, bits: int) -> np.ndarray:
+    """Marks of one bucket as 40-bit numbers."""
+    return (marks >> U(24 - bits)) & U((1 << 40) - 1)
 
 
 TOLD = "bucket int, block int, marks binary"
 ANSWER = "block int, bucket int, bits binary, frequent binary"
-FREQUENT = 64  # blocks that have a mark, from which its pieces are cut finer
+FREQUENT = 64  # kinds of pieces that blocks tell of a mark, of 256, from which its pieces are cut finer
+
 
+def told(marks: np.ndarray, block: int, bits: int, kinds: np.ndarray | None = None) -> pa.Table:
+    """What a block says of its distinct sorted marks: one row for each bucket, five bytes a mark.
 
-def told(marks: np.ndarray, block: int, bits: int) -> pa.Table:
-    """What a block says of its distinct sorted marks: one row for each bucket."""
-    out = [(bucket, block, part.view(np.uint8).reshape(-1, 8)[:, :5].tobytes()) for bucket, part in _by_bucket(marks, bits)]
+    A sixth is what kind of pieces the block has of a mark, if ``kinds`` are given.
+    """
+    out = []
+    for bucket, a, b in _cuts(marks, bits):
+        short, first = np.unique(_short(marks[a:b], bits), return_index=True)
+        entry = np.ascontiguousarray(short).view(np.uint8).reshape(-1, 8)[:, :5]
+        if kinds is not None:
+            entry = np.column_stack([entry, kinds[a:b][first]])
+        out.append((bucket, block, entry.tobytes()))
     columns = list(zip(*out)) or [(), (), ()]
     return pa.table({"bucket": pa.array(columns[0], pa.int32()), "block": pa.array(columns[1], pa.int32()), "marks": pa.array(columns[2], pa.binary())})
 
 
-def _answer(frame: pd.DataFrame, most: int) -> pd.DataFrame:
+def _answer(frame: pd.DataFrame, most: int, width: int) -> pd.DataFrame:
     parts = []
     for data in frame["marks"]:
-        wide = np.zeros((len(data) // 5, 8), np.uint8)
-        wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+        wide = np.zeros((len(data) // width, 8), np.uint8)
+        wide[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
         parts.append(wide.view(np.uint64)[:, 0])
-    every = np.sort(np.concatenate(parts))
+    own = [p & U((1 << 40) - 1) for p in parts]
+    every = np.sort(np.concatenate(own))
     again = np.unique(every[1:][every[1:] == every[:-1]])
-    often = np.unique(every[most - 1 :][every[most - 1 :] == every[: max(0, len(every) - most + 1)]])
-    marked = lambda known: [np.packbits(np.isin(p, known, assume_unique=True)).tobytes() for p in parts]
+    # Marks of many kinds; without kinds those that many blocks told.
+    kinds = every
+    if width > 5:
+        kinds = np.sort(np.concatenate(parts))
+        kinds = np.sort(kinds[np.concatenate([[True], kinds[1:] != kinds[:-1]])] & U((1 << 40) - 1)) if len(kinds) else kinds
+    often = np.unique(kinds[most - 1 :][kinds[most - 1 :] == kinds[: max(0, len(kinds) - most + 1)]])
+    marked = lambda known: [np.packbits(np.isin(p, known, assume_unique=True)).tobytes() for p in own]
     return pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"], "bits": marked(again), "frequent": marked(often)})
 
 
-def answered(rows: DataFrame, most: int = FREQUENT) -> DataFrame:
-    """Which of the marks ``told`` by a block other blocks told, too (bits), and which very many (frequent)."""
-    return rows.groupBy("bucket").applyInPandas(lambda frame: _answer(frame, most), ANSWER)
+def answered(rows: DataFrame, most: int = FREQUENT, width: int = 5) -> DataFrame:
+    """Which of the marks ``told`` by a block other blocks told, too (bits), and which are of very many kinds (frequent)."""
+    return rows.groupBy("bucket").applyInPandas(lambda frame: _answer(frame, most, width), ANSWER)
+
+
+def _kinds(units: Units, own: Pieces, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct marks of a block's pieces, and for each a byte by what its pieces hold."""
+    whole = rolling(units.values, width, 0xE7037ED1A0B428DB)
+    held = mix(whole[own.start] + whole[own.start + own.n - 1] * U(3) + own.n.astype(np.uint64))
+    order = np.argsort(own.mark, kind="stable")
+    marks, held = own.mark[order], held[order]
+    first = np.flatnonzero(np.concatenate([[True], marks[1:] != marks[:-1]])) if len(marks) else np.zeros(0, np.int64)
+    return marks[first], (np.minimum.reduceat(held, first) & U(255)).astype(np.uint8) if len(first) else np.zeros(0, np.uint8)
 
 
-def shared_marks(rows: DataFrame, layout: Layout, units, width: int, seed: int, most: int = FREQUENT) -> DataFrame:
-    """The answers for the marks of all pieces."""
+def shared_marks(rows: DataFrame, layout: Layout, units, width: int, seed: int, most: int | None = None) -> DataFrame:
+    """The answers for the marks of all pieces; frequent ones are told given ``most``, the kinds of pieces they need."""
     def tell(table: pa.Table) -> pa.Table:
         _, texts = sorted_block(table)
-        marks = np.unique(pieces(units(texts), width, seed).mark)
-        return told(marks, table.column("block")[0].as_py(), layout.bits)
+        laid = units(texts)
+        own = pieces(laid, width, seed)
+        marks, kinds = (np.unique(own.mark), None) if most is None else _kinds(laid, own, width)
+        return told(marks, table.column("block")[0].as_py(), layout.bits, kinds)
 
-    return answered(rows.groupBy("block").applyInArrow(tell, TOLD), most)
+    told_ = rows.groupBy("block").applyInArrow(tell, TOLD)
+    return answered(told_) if most is None else answered(told_, most, 6)
 
 
 def elsewhere(marks: np.ndarray, replies: pa.Table, layout: Layout, answer: str = "bits") -> np.ndarray:
@@ -253,7 +280,7 @@ def elsewhere(marks: np.ndarray, replies: pa.Table, layout: Layout, answer: str
     bits = dict(zip(replies.column("bucket").to_pylist(), replies.column(answer).to_pylist()))
     for bucket, a, b in _cuts(marks, layout.bits):
         if bucket in bits:
-            short, where = np.unique((marks[a:b] >> U(24 - layout.bits)) & U((1 << 40) - 1), return_inverse=True)
+            short, where = np.unique(_short(marks[a:b], layout.bits), return_inverse=True)
             out[a:b] = np.unpackbits(np.frombuffer(bits[bucket], np.uint8), count=len(short)).astype(bool)[where]
     return out
 

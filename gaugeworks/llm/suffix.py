@@ -17,8 +17,8 @@ pieces together; those that differ but have a mark in common are laid end to end
 
 Blocks get back, for each of their pieces, the runs of windows an earlier document has.
 
-A mark that ``FREQUENT`` blocks have may stand in many different surroundings: a common phrase. Its pieces
-are cut into strips of ``STRIP`` windows by where the marking seed lies in them, and a strip is dealt by the
+A mark of which blocks tell ``FREQUENT`` kinds of pieces stands in many different surroundings: at the edge of
+a common phrase. Its pieces are cut into strips of ``STRIP`` windows by where the marking seed lies in them, and a strip is dealt by the
 bytes all its windows share. Strips within the phrase are equal and are put together before they leave
 their block; those across its edge share all but three bytes with those they meet, so few differ.
 """
@@ -39,7 +39,7 @@ from gaugeworks.llm.repeats import FREQUENT, LAST, Layout, byte_units, candidate
 WIDTH, SEED = 50, 18
 STRIP = 4  # windows
 TOGETHER = 2 << 20  # bytes of pieces treated at a time, and those of the last mark among them
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 4 << 20
 SHORT = 1 << 18  # sequences of names that are sorted directly
 U = np.uint64
 
@@ -362,8 +362,8 @@ def removed(docs: DataFrame, id: str = "doc_id", text: str = "text", frequent_fr
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row; ``kept`` are the bytes left.
 
     A null text is empty. A null id comes after all ids; rows with equal ids are one document, none of
-    which is earlier. An empty table gives an empty result. Other columns are not looked at. Marks that
-    ``frequent_from`` blocks have are dealt by strips, which changes no result.
+    which is earlier. An empty table gives an empty result. Other columns are not looked at. Marks of
+    ``frequent_from`` kinds of pieces are dealt by strips, which changes no result.
     """
     layout = Layout.of(docs, text, BLOCK_BYTES)
     rows = dealt(docs, layout, id, text, F.col(id).isNull().alias("nameless"))

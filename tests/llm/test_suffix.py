@@ -61,7 +61,7 @@ def test_documents(documents):
 
 
 def test_frequent_marks_are_dealt_by_strips(spark):
-    """A phrase in varied surroundings, in more blocks than a frequent mark needs."""
+    """A phrase in more kinds of surroundings than a frequent mark needs."""
     rng = np.random.default_rng(9)
     word = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
     phrase, rows = word(60), []
@@ -79,7 +79,7 @@ def test_frequent_marks_are_dealt_by_strips(spark):
 
 
 def test_every_mark_by_strips(spark, documents):
-    """Marks that two blocks have count as frequent: whole texts go through strips."""
+    """Marks of two kinds count as frequent: whole texts go through strips."""
     layout = suffix.Layout(12, 5)
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(suffix.Layout, "of", classmethod(lambda cls, *a: layout))
