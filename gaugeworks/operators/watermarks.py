@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.operators.filters import moment, plausible, plausible_until
 from gaugeworks.schema import EPOCH_UTC
+from gaugeworks.session import settled
 
 LOWEST = "0001-01-01 00:00:00"
 
@@ -28,16 +29,12 @@ def station_watermarks(target: DataFrame, ts: str, station: str, as_of=None) ->
 
 
 def measured(df: DataFrame) -> DataFrame:
-    """Compute a reduced table once and let the planner see its real size.
+    """A reduced table computed once, in the shared folder, so that the planner sees its real size.
 
-    A persisted relation reports the bytes it holds, so a join to it is broadcast
-    only when that measured size is under ``spark.sql.autoBroadcastJoinThreshold``
-    and shuffled otherwise. Lost executors recompute it from its lineage. The
-    caller may ``unpersist`` it after the action.
+    A join to it is broadcast only when that size is under ``spark.sql.autoBroadcastJoinThreshold`` and
+    shuffled otherwise. Nothing stays in the executors' memory.
     """
-    kept = df.persist()
-    kept.count()
-    return kept
+    return settled(df, "measured")
 
 
 def newer_than_global(source: DataFrame, watermark: DataFrame, ts: str, inclusive: bool = False) -> DataFrame:

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.timecols import to_utc
 from gaugeworks.operators import columns, watermarks
+from gaugeworks.operators.compare import reconcile
 from gaugeworks.operators.contracts import stored_layout
 from gaugeworks.operators.dedupe import latest
-from gaugeworks.schema import FIRST_YEAR, RAIN_METRICS_FULL, REPLICA_RAIN, WAREHOUSE_RAIN
+from gaugeworks.operators.ranking import sample
+from gaugeworks.schema import FIRST_YEAR, RAIN_METRICS, RAIN_METRICS_FULL, REPLICA_RAIN, WAREHOUSE_RAIN
 from gaugeworks.sinks import tables as sink
 from gaugeworks.sources.facts import rain_source, rain_source_raw
 from gaugeworks.sources.tables import read_table
@@ -92,6 +94,12 @@ def load_checks(spark: SparkSession, seen: dict, last_year: int = LAST_YEAR) ->
     return spark.createDataFrame([row], "total bigint, data_minima timestamp, data_maxima timestamp, anos array<struct<ano:bigint,total:bigint>>, outros_anos bigint")
 
 
+def sample_of_load(spark: SparkSession, readings: DataFrame, rain: DataFrame, stations: DataFrame, path: str, n: int = 50) -> DataFrame:
+    """``n`` rows of the stored replica, chosen by a hash of their key, looked up in the source: the spot check after a load."""
+    stored = read_table(spark, path, schema=sink.with_month(REPLICA_RAIN)).drop(sink.MONTH)
+    return reconcile(sample(stored, REPLICA_KEY, n), replica_rows(readings, rain, stations), REPLICA_KEY, RAIN_METRICS, how="left")
+
+
 def sync_replica(
     spark: SparkSession, readings: DataFrame, rain: DataFrame, stations: DataFrame, path: str, as_of=None
 ) -> None:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import timecols
-from gaugeworks.operators import contracts, dedupe, digests, matching, rollup, watermarks
+from gaugeworks.operators import compare, contracts, dedupe, digests, matching, rollup, watermarks
 from gaugeworks.operators.filters import moment
 from gaugeworks.plans import combined, rain as rain_plan, weather as weather_plan
 from gaugeworks.schema import RAIN_METRICS, WAREHOUSE_RAIN
@@ -255,6 +255,15 @@ def rain_load_checks(spark, sf):
     return whole.unionByName(years.unionByName(other), allowMissingColumns=True)
 
 
+@query("rain_load_sample", f"SELECT 'ok' AS status, least(50, count(*)) AS total FROM ({RAIN})")
+def rain_load_sample(spark, sf):
+    """Rows of the loaded copy looked up in its source."""
+    net = (a.readings(spark, sf), a.rain(spark, sf), a.stations(spark, sf))
+    path = work_dir(spark, "replica")
+    rain_plan.load_replica(*net, path)
+    return compare.status_totals(rain_plan.sample_of_load(spark, *net, path))
+
+
 # --- columns ---
 
 

@@ -46,7 +46,7 @@ def test_several_files_last_wins_and_missing_header(spark, tmp_path):
     got = reports.last_report_wins(reports.parse_report(lines).withColumn("estacao", F.lit("x")))
     assert rows(got, "ts_site", "chuva", "arquivo") == [
         (at("2026-02-01 00:00:00"), 9.0, "b.txt"), (at("2026-02-01 01:00:00"), 7.0, "b.txt")]
-    assert rows(reports.files_without_header(lines)) == [("c.txt",)]
+    assert rows(reports.files_without_header(lines), "arquivo") == [("c.txt",)]
 
 
 def delimited(sep, *lines):
@@ -71,7 +71,7 @@ def test_files_of_different_layouts_go_together(spark, tmp_path):
     lines = reports.read_lines(spark, str(tmp_path))
     assert rows(reports.parse_delimited(lines), "ts_site", "chuva", "temperatura") == [
         (at("2026-02-01 00:00:00"), 2.0, 21.0), (at("2026-02-01 01:00:00"), 2.0, 21.0)]
-    assert rows(reports.files_without_layout(lines)) == [("c.txt",)]
+    assert rows(reports.files_without_layout(lines), "arquivo") == [("c.txt",)]
 
 
 def test_header_roles(spark):

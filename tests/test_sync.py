@@ -64,7 +64,6 @@ def test_measured_watermarks_are_broadcast_by_size(spark, old, path):
         assert "SortMergeJoin" in plan(w.newer_than_station(spark.read.parquet(path), per, "dia", "estacao_id"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        per.unpersist()
 
 
 def test_future_rows_do_not_poison_the_watermark(spark, old):
