@@ -204,7 +204,7 @@ def _short(marks: np.ndarray, bits: int) -> np.ndarray:
 
 TOLD = "bucket int, block int, marks binary"
 ANSWER = "block int, bucket int, bits binary, frequent binary"
-FREQUENT = 64  # kinds of pieces that blocks tell of a mark, of 256, from which its pieces are cut finer
+FREQUENT = 128  # kinds of pieces that blocks tell of a mark, of 256, from which its pieces are cut finer
 
 
 def told(marks: np.ndarray, block: int, bits: int, kinds: np.ndarray | None = None) -> pa.Table:
