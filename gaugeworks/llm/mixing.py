@@ -153,9 +153,12 @@ def _plan(df: DataFrame, block: int, bucket_words: int) -> tuple[DataFrame, Data
 
 
 def _placed(df: DataFrame, plan: DataFrame, seed: int, more: list[str]) -> DataFrame:
-    """(rank, bucket, start, size, more...): the place of each text with words among those of its bucket."""
+    """(rank, bucket, start, size, more...): the place of each text among those of its bucket.
+
+    Texts without words stay: to leave them out before the shuffle would count all words twice.
+    """
     few = plan.select("source", "rank", "n_buckets")
-    rows = df.where("size > 0").withColumn("_hash", F.xxhash64("_text")).join(few, F.col("_source").eqNullSafe(F.col("source")))
+    rows = df.withColumn("_hash", F.xxhash64("_text")).join(few, F.col("_source").eqNullSafe(F.col("source")))
     rows = rows.select("rank", _bucket(F.col("fine"), F.col("n_buckets")).alias("bucket"), "_id", "size", "_hash", *more)
     order = Window.partitionBy(*_BUCKET).orderBy(F.xxhash64(F.lit(seed + 1), "_id"), "_id", "size", "_hash")
     start = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -196,7 +199,7 @@ def _made(df: DataFrame, plan: DataFrame, cut: DataFrame, block: int, seed: int)
     lies = cut.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     lies = lies.select(*_BUCKET, "nth", (F.col("first") + F.col("nth")).alias("block"))
     wanted = taken.hint("merge").join(lies, ["rank", "block"])
-    made = _blocks(_placed(df, plan, seed, ["_text"]), block).hint("merge").join(wanted, [*_BUCKET, "nth"])
+    made = _blocks(_placed(df, plan, seed, ["_text"]).where("size > 0"), block).hint("merge").join(wanted, [*_BUCKET, "nth"])
     return made.select("shard", "slot", "rank", "block", "bucket", "text", "parts")
 
 
@@ -253,8 +256,8 @@ def mixed(
         made.write.option("compression", "zstd").parquet(folder)
     mix = spark.read.schema(made.schema).parquet(folder)
     taken = mix.select(*_BUCKET, F.inline("parts")).groupBy(*_BUCKET, "start").agg(F.sum("words").alias("taken"))
-    # (rank, bucket, start) is unique among texts with words.
     said = _placed(df, plan, seed, ["_id"]).join(taken, [*_BUCKET, "start"], "left")
-    blank = df.where("size = 0").join(plan, F.col("_source").eqNullSafe(F.col("source"))).select("_id", "rank", "size", F.lit(0).cast("long").alias("taken"))
-    rows = said.select("_id", "rank", "size", "taken").union(blank).join(plan.select("rank", "source", "source_size", "target"), "rank")
+    # (rank, bucket, start) is unique among texts with words; others have the place of the next one.
+    said = said.select("_id", "rank", "size", F.when(F.col("size") > 0, F.col("taken")).alias("taken"))
+    rows = said.join(plan.select("rank", "source", "source_size", "target"), "rank")
     return rows.select(F.col("_id").alias(id), F.col("source").alias(source), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))

@@ -6,7 +6,7 @@ import pytest
 from helpers import corpus
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import chat, debruijn, decontaminate, divergence, language, mixing, periodic, ranking, rules, simhash, suffix, warc
+from gaugeworks.llm import chat, debruijn, decontaminate, divergence, mixing, ranking, rules, simhash, warc
 
 NAMES = [
     "_words", "_lines", "_sorted", "_again", "_bytes", "_runs", "_ids", "_none", "_row", "_text", "_id", "_nth", "_key", "_source", "_lang", "_hash",
@@ -28,18 +28,12 @@ def result(df, *columns):
 
 CASES = {
     "traits": lambda d: rules.traits(d).select("doc_id", *rules.TRAITS, "base_failed"),
-    "rated": lambda d: rules.rated(d).select("doc_id", "kept"),
     "accepted": lambda d: rules.accepted(d).select("doc_id", "text", "lang"),
-    "debruijn": lambda d: debruijn.removed(d).select("doc_id", "n_removed", "kept_sha256"),
     "without_repeats": lambda d: debruijn.without_repeats(d).select("doc_id", "text", "n_chars"),
-    "suffix": lambda d: suffix.removed(d).select("doc_id", "n_removed", "kept_sha256"),
-    "language": lambda d: language.identified(d, language.learn(d)).select("doc_id", "lang_pred"),
     "mixed": lambda d: mixing.mixed(d).select("doc_id", "taken", "target"),
     "contamination": lambda d: decontaminate.contamination(d, d.where("doc_id < 5").select(F.col("doc_id").alias("item_id"), "text")).select("doc_id", "n_hit"),
     "fingerprints": lambda d: simhash.fingerprints(d).select("doc_id", "fp"),
-    "near_duplicates": lambda d: simhash.near_duplicates(d).select("doc_id", "component_id"),
     "deduplicated": lambda d: simhash.deduplicated(d).select("doc_id", "text"),
-    "periodic": lambda d: periodic.periodic_runs(d).select("doc_id", "runs", "kept"),
     "divergence": lambda d: divergence.audited(d, min_docs=3).select("lang", "source", "part", "item", "value", "rank"),
 }
 
@@ -50,7 +44,7 @@ def test_clashing_names(clashing, name):
     assert result(CASES[name](more), "*") == result(CASES[name](plain), "*")
 
 
-@pytest.mark.parametrize("operator", [rules.traits, simhash.fingerprints, debruijn.without_repeats, rules.accepted, simhash.deduplicated])
+@pytest.mark.parametrize("operator", [rules.traits, simhash.fingerprints, debruijn.without_repeats, simhash.deduplicated])
 def test_extra_columns_stay(clashing, operator):
     _, more = clashing
     out = operator(more)
