@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType
 
 from gaugeworks.schema import CUTOVER, SENTINEL, Cutover
 
@@ -50,17 +51,24 @@ def snap_zero(c: Column, below: float = 0.001) -> Column:
     return F.when(F.abs(c) < F.lit(below), F.lit(0.0)).otherwise(c)
 
 
-def rounded_mean(c: Column, places: int = 2) -> Column:
+def rounded_mean(c: Column, places: int = 2, kind: DataType | None = None) -> Column:
     """``round(coalesce(avg(c), 0), 2)``: the mean is rounded once, half away from zero.
 
-    Values are summed as decimals of six places, so the result does not depend on row
-    order. Under ANSI mode a sum beyond the decimal's range raises instead of wrapping.
+    Values are summed as decimals of six places, so the result does not depend on row order. A column
+    whose ``kind`` is a decimal of at most 18 digits is summed as whole numbers of its last place, which
+    is faster. Under ANSI mode a sum beyond its range raises instead of wrapping.
     """
     if places != 2:
         raise ValueError("means are given with two decimals")
-    total, n = F.sum(exact(c)), F.count(c)
+    n = F.count(c)
+    if isinstance(kind, DecimalType) and kind.precision <= 18:
+        unit = 10**kind.scale
+        # As decimals again before they are multiplied: one value per group.
+        total, one = F.sum((c * F.lit(unit)).cast("bigint")).cast("decimal(19,0)"), F.lit(unit).cast("decimal(19,0)")
+    else:
+        total, one = F.sum(exact(c)), F.lit(1)
     # No group is empty, but a group without values has n = 0.
-    half_up = F.call_function("div", F.abs(total) * 200 + n, F.greatest(n, F.lit(1)) * 2)
+    half_up = F.call_function("div", F.abs(total) * 200 + n * one, F.greatest(n, F.lit(1)) * one * 2)
     value = F.when(total < 0, -half_up).otherwise(half_up) / F.lit(100.0)
     return F.coalesce(value, F.lit(0.0))
 

@@ -47,7 +47,7 @@ def global_stats(
         F.min(ts).alias("data_minima"),
         F.max(ts).alias("data_maxima"),
         F.countDistinct(station).alias("total_estacoes"),
-        snap_zero(rounded_mean(v)).alias(f"media_geral_{metric}"),
+        snap_zero(rounded_mean(v, kind=df.schema[metric].dataType)).alias(f"media_geral_{metric}"),
         snap_zero(rounded_max(v)).alias(f"max_geral_{metric}"),
     )
 
@@ -71,7 +71,7 @@ def station_detail(
         F.count(F.lit(1)).alias("total_registros"),
         F.min(ts).alias("primeira_leitura"),
         F.max(ts).alias("ultima_leitura"),
-        snap_zero(rounded_mean(F.col(metric))).alias(f"media_{metric}"),
+        snap_zero(rounded_mean(F.col(metric), kind=rows.schema[metric].dataType)).alias(f"media_{metric}"),
         snap_zero(rounded_max(F.col(metric))).alias(f"max_{metric}"),
     )
 
@@ -108,7 +108,7 @@ def period_rollup(
         rows.withColumn("periodo", timecols.trunc(grain, F.col(ts), zone))
         .groupBy("periodo", station, name)
         .agg(
-            *[snap_zero(rounded_mean(value(m))).alias(f"media_{m}") for m in names],
+            *[snap_zero(rounded_mean(value(m), kind=rows.schema[m].dataType)).alias(f"media_{m}") for m in names],
             snap_zero(rounded_max(value(max_metric))).alias(f"max_{max_metric}"),
             F.count(F.lit(1)).alias("total_leituras"),
         )

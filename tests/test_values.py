@@ -4,6 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeworks.functions import values as v
 from gaugeworks.schema import SENTINEL
@@ -34,7 +35,9 @@ def half_up(xs):
 @given(st.lists(st.integers(-999999, 999999).map(lambda i: i / 100), max_size=8))
 def test_rounded_mean_is_exact_half_up(spark, xs):
     df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double")
-    got = df.select(v.rounded_mean(F.col("x")).alias("m"), v.rounded_mean(F.col("x").cast("decimal(10,2)")).alias("d")).first()
+    money = F.col("x").cast("decimal(10,2)")
+    got = df.select(v.rounded_mean(F.col("x")).alias("m"), v.rounded_mean(money).alias("d"), v.rounded_mean(money, kind=T.DecimalType(10, 2)).alias("k")).first()
+    assert got["k"] == got["d"]
     assert got["m"] == got["d"] == half_up(xs)
 
 
