@@ -133,6 +133,11 @@ def _counted(docs: DataFrame, id: str, text: str, source: str, seed: int) -> Dat
     return df.withColumn("fine", F.pmod(F.xxhash64(F.lit(seed), "_id", "size"), F.lit(FINE)))
 
 
+def _bare(df: DataFrame) -> DataFrame:
+    """Rows with their words counted and a hash of the text in its place, settled: words are counted here once."""
+    return settled(df.withColumn("_hash", F.xxhash64("_text")).drop("_text"), "counted")
+
+
 def _bucket(fine, n_buckets):
     return F.floor(fine * n_buckets / FINE).cast("int")
 
@@ -158,7 +163,8 @@ def _placed(df: DataFrame, plan: DataFrame, seed: int, more: list[str]) -> DataF
     Texts without words stay: to leave them out before the shuffle would count all words twice.
     """
     few = plan.select("source", "rank", "n_buckets")
-    rows = df.withColumn("_hash", F.xxhash64("_text")).join(few, F.col("_source").eqNullSafe(F.col("source")))
+    rows = df.withColumn("_hash", F.xxhash64("_text")) if "_text" in df.columns else df
+    rows = rows.join(few, F.col("_source").eqNullSafe(F.col("source")))
     rows = rows.select("rank", _bucket(F.col("fine"), F.col("n_buckets")).alias("bucket"), "_id", "size", "_hash", *more)
     order = Window.partitionBy(*_BUCKET).orderBy(F.xxhash64(F.lit(seed + 1), "_id"), "_id", "size", "_hash")
     start = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -228,7 +234,7 @@ def mixture(
     counts within its shard over all sources. Nothing is in the mix of an empty table.
     """
     df = _counted(docs, id, text, source, seed)
-    plan, cut = _plan(df, block, bucket_words)
+    plan, cut = _plan(_bare(df), block, bucket_words)
     return _named(_made(df, plan, cut, block, seed), plan)
 
 
@@ -249,14 +255,15 @@ def mixed(
     """
     spark = docs.sparkSession
     df = _counted(docs, id, text, source, seed)
-    plan, cut = _plan(df, block, bucket_words)
+    bare = _bare(df)
+    plan, cut = _plan(bare, block, bucket_words)
     folder = folder or work_dir(spark, "mix")
     made = _made(df, plan, cut, block, seed)
     with _by_bucket(spark):
         made.write.option("compression", "zstd").parquet(folder)
     mix = spark.read.schema(made.schema).parquet(folder)
     taken = mix.select(*_BUCKET, F.inline("parts")).groupBy(*_BUCKET, "start").agg(F.sum("words").alias("taken"))
-    said = _placed(df, plan, seed, ["_id"]).join(taken, [*_BUCKET, "start"], "left")
+    said = _placed(bare, plan, seed, ["_id"]).join(taken, [*_BUCKET, "start"], "left")
     # (rank, bucket, start) is unique among texts with words; others have the place of the next one.
     said = said.select("_id", "rank", "size", F.when(F.col("size") > 0, F.col("taken")).alias("taken"))
     rows = said.join(plan.select("rank", "source", "source_size", "target"), "rank")
