@@ -202,7 +202,8 @@ def _made(df: DataFrame, plan: DataFrame, cut: DataFrame, block: int, seed: int)
     """(shard, slot, rank, block, bucket, text, parts) of every slot."""
     taken = slots(plan, block, seed=seed)
     # Where each block lies. Both sides have a row per block; the planner cannot know.
-    lies = cut.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lies = cut.repartition(tasks, *_BUCKET).withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     lies = lies.select(*_BUCKET, "nth", (F.col("first") + F.col("nth")).alias("block"))
     wanted = taken.hint("merge").join(lies, ["rank", "block"])
     made = _blocks(_placed(df, plan, seed, ["_text"]).where("size > 0"), block).hint("merge").join(wanted, [*_BUCKET, "nth"])
