@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gaugeworks.operators import columns, watermarks
 from gaugeworks.operators.contracts import stored_layout

@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from gaugeworks.functions import timecols
 from gaugeworks.operators import compare, contracts, dedupe, digests, matching, rollup, watermarks
 from gaugeworks.operators.filters import moment
 from gaugeworks.plans import combined, rain as rain_plan, weather as weather_plan
@@ -23,7 +22,7 @@ from gaugeworks.workload.facts import HOURLY, HOURLY_LATEST, RAIN_VERSIONS, orde
 from gaugeworks.workload.quality import FAULTY, KEY, PAYLOAD, RAIN, UNIQUE, faulty, unique_moments
 from gaugeworks.workload.registry import query
 from gaugeworks.workload.stored import _before, _weather_args, _weather_shown, plain_times, time_columns
-from gaugeworks.workload.sync import AS_OF, MOMENTS, NEW, OLD, REPLICA, _new, _old
+from gaugeworks.workload.sync import AS_OF, NEW, OLD, REPLICA, _new, _old
 
 HOUR_KEY = ["dia", "estacao_id"]
 
