@@ -6,14 +6,13 @@ Only pieces whose mark occurs in another piece can hold repeated windows; there
 many marks as words.
 
 Texts are dealt over blocks by a hash of id and text. A block tells each bucket of marks which ones it
-has, five bytes each; the bucket answers with a bit per mark: does another block have it. A mark that
+has, four bytes each; the bucket answers with a bit per mark: does another block have it. A mark that
 a third of all texts share is thus one entry per block.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -197,9 +196,12 @@ def _cuts(marks: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
     return list(zip(bucket[first].tolist(), first.tolist(), np.append(first[1:], len(marks)).tolist()))
 
 
+_SHORT = U((1 << 32) - 1)
+
+
 def _short(marks: np.ndarray, bits: int) -> np.ndarray:
-    """Marks of one bucket as 40-bit numbers."""
-    return (marks >> U(24 - bits)) & U((1 << 40) - 1)
+    """Marks of one bucket as 32-bit numbers; there are as many buckets as blocks, so few of a bucket agree by chance."""
+    return (marks >> U(32 - bits)) & _SHORT
 
 
 TOLD = "bucket int, block int, marks binary"
@@ -208,14 +210,14 @@ FREQUENT = 128  # kinds of pieces that blocks tell of a mark, of 256, from which
 
 
 def told(marks: np.ndarray, block: int, bits: int, kinds: np.ndarray | None = None) -> pa.Table:
-    """What a block says of its distinct sorted marks: one row for each bucket, five bytes a mark.
+    """What a block says of its distinct sorted marks: one row for each bucket, four bytes a mark.
 
-    A sixth is what kind of pieces the block has of a mark, if ``kinds`` are given.
+    A fifth is what kind of pieces the block has of a mark, if ``kinds`` are given.
     """
     out = []
     for bucket, a, b in _cuts(marks, bits):
         short, first = np.unique(_short(marks[a:b], bits), return_index=True)
-        entry = np.ascontiguousarray(short).view(np.uint8).reshape(-1, 8)[:, :5]
+        entry = np.ascontiguousarray(short).view(np.uint8).reshape(-1, 8)[:, :4]
         if kinds is not None:
             entry = np.column_stack([entry, kinds[a:b][first]])
         out.append((bucket, block, entry.tobytes()))
@@ -229,20 +231,20 @@ def _answer(frame: pd.DataFrame, most: int, width: int) -> pd.DataFrame:
         wide = np.zeros((len(data) // width, 8), np.uint8)
         wide[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
         parts.append(wide.view(np.uint64)[:, 0])
-    own = [p & U((1 << 40) - 1) for p in parts]
+    own = [p & _SHORT for p in parts]
     every = np.sort(np.concatenate(own))
     again = np.unique(every[1:][every[1:] == every[:-1]])
     # Marks of many kinds; without kinds those that many blocks told.
     kinds = every
-    if width > 5:
+    if width > 4:
         kinds = np.sort(np.concatenate(parts))
-        kinds = np.sort(kinds[np.concatenate([[True], kinds[1:] != kinds[:-1]])] & U((1 << 40) - 1)) if len(kinds) else kinds
+        kinds = np.sort(kinds[np.concatenate([[True], kinds[1:] != kinds[:-1]])] & _SHORT) if len(kinds) else kinds
     often = np.unique(kinds[most - 1 :][kinds[most - 1 :] == kinds[: max(0, len(kinds) - most + 1)]])
     marked = lambda known: [np.packbits(np.isin(p, known, assume_unique=True)).tobytes() for p in own]
     return pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"], "bits": marked(again), "frequent": marked(often)})
 
 
-def answered(rows: DataFrame, most: int = FREQUENT, width: int = 5) -> DataFrame:
+def answered(rows: DataFrame, most: int = FREQUENT, width: int = 4) -> DataFrame:
     """Which of the marks ``told`` by a block other blocks told, too (bits), and which are of very many kinds (frequent)."""
     return rows.groupBy("bucket").applyInPandas(lambda frame: _answer(frame, most, width), ANSWER)
 
@@ -267,7 +269,7 @@ def shared_marks(rows: DataFrame, layout: Layout, units, width: int, seed: int,
         return told(marks, table.column("block")[0].as_py(), layout.bits, kinds)
 
     told_ = rows.groupBy("block").applyInArrow(tell, TOLD)
-    return answered(told_) if most is None else answered(told_, most, 6)
+    return answered(told_) if most is None else answered(told_, most, 5)
 
 
 def elsewhere(marks: np.ndarray, replies: pa.Table, layout: Layout, answer: str = "bits") -> np.ndarray:
