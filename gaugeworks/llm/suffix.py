@@ -20,7 +20,7 @@ Blocks get back, for each of their pieces, the runs of windows an earlier docume
 A mark of which blocks tell ``FREQUENT`` kinds of pieces stands in many different surroundings: at the edge of
 a common phrase. Its pieces are cut into strips of ``STRIP`` windows by where the marking seed lies in them, and a strip is dealt by the
 bytes all its windows share. Strips within the phrase are equal and are put together before they leave
-their block; those across its edge share all but three bytes with those they meet, so few differ.
+their block; those across its edge share all but five bytes with those they meet, so few differ.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.repeats import FREQUENT, LAST, Layout, byte_units, candidates, covered, dealt, frequent, mix, pieces, rolling, shared_marks, sorted_block
 
 WIDTH, SEED = 50, 18
-STRIP = 4  # windows
+STRIP = 6  # windows
 TOGETHER = 2 << 20  # bytes of pieces treated at a time, and those of the last mark among them
 BLOCK_BYTES = 4 << 20
 SHORT = 1 << 18  # sequences of names that are sorted directly
