@@ -81,7 +81,7 @@ def _written(folder: str, roll: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = place(folder)
         out = name = None
-        shard = seq = last = nth = None
+        shard = seq = last = nth = again = first = None
         state: dict = {}
 
         def close():
@@ -92,6 +92,9 @@ def _written(folder: str, roll: int):
 
         for batch in batches:
             for row in batch.to_pylist():
+                if row["_payload"] is None:  # of the records that follow: the first one with their payload
+                    again, first = row["_order"], (row["_first"]["_page"], row["_first"]["_url"])
+                    continue
                 if out is not None and (row["_shard"] != shard or state["bytes"] >= roll):
                     yield close()
                     out, seq = None, seq + 1 if row["_shard"] == shard else 0
@@ -101,7 +104,7 @@ def _written(folder: str, roll: int):
                     name = f"part-{shard:012d}-{seq:05d}.warc.gz"
                     state = {"records": 0, "bytes": 0, "hash": hashlib.sha256(), "try": f"tmp-{uuid.uuid4().hex}"}
                     out = files.open_output_stream(f"{base}/{name}.{state['try']}", compression=None)
-                page, refers = row["_page"], row["_first"] and (row["_first"]["_page"], row["_first"]["_url"])
+                page, refers = row["_page"], first if row["_order"] == again else None
                 nth = nth + 1 if last == (page, row["_url"], row["_payload"]) else 0
                 last = (page, row["_url"], row["_payload"])
                 data = _member(record(page, row["_url"], row["_payload"], refers, nth))
@@ -157,11 +160,13 @@ def write(pages: DataFrame, folder: str, id: str = "page_id", url: str = "url",
     first = keyed.groupBy("_key").agg(F.min(F.struct("_page", "_url")).alias("_first"))
     # Only pages that repeat another one; ids and payload digests, no payloads.
     again = keyed.join(first, "_key").where("_page <> _first._page").select(shard_of(F.col("_order")).alias("_shard"), "_order", "_first")
-    # Payloads are shuffled once, by shard; the join finds both sides so partitioned.
+    # One shuffle, by shard, of payloads and of what they repeat: a join by shard and place would deal a shard
+    # to several tasks, which then write the same files.
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.select(shard_of(F.col("_order")).alias("_shard"), "_order", "_page", "_url", "_payload").repartition(n, "_shard")
-    joined = placed.join(again.repartition(n, "_shard"), ["_shard", "_order"], "left")
-    ordered = joined.select("_shard", "_page", "_url", "_payload", "_first", "_order").sortWithinPartitions("_shard", "_order").drop("_order")
+    placed = rows.select(shard_of(F.col("_order")).alias("_shard"), "_order", "_page", "_url", "_payload")
+    # Shards are dealt in turn; by hash a few of them would often meet in one task.
+    dealt = placed.unionByName(again, allowMissingColumns=True).repartitionById(n, F.pmod("_shard", F.lit(n)).cast("int"))
+    ordered = dealt.sortWithinPartitions("_shard", "_order", F.col("_payload").isNotNull())
     files, base = place(folder)
     files.create_dir(base, recursive=True)
     manifest = ordered.mapInArrow(_written(folder, roll), MANIFEST)

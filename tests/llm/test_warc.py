@@ -74,6 +74,22 @@ def test_revisits_refer_to_a_record(spark, tmp_path):
     assert refers and refers <= ids
 
 
+def test_a_shard_has_one_writer(spark, tmp_path):
+    """However the planner joins, no task writes the files of another one."""
+    plans = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in plans}
+    for key, value in plans.items():
+        spark.conf.set(key, value)
+    try:
+        manifest = warc.write(spark.createDataFrame(rows(), PAGES), str(tmp_path / "a"), shard=16)
+        got = warc.read(spark, str(tmp_path / "a")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len({r.file for r in manifest.collect()}) == manifest.count()
+    assert Counter(map(tuple, got)) == plain(0)
+
+
 def test_records(tmp_path):
     one = warc.record(3, "http://x/ü a", "é".encode(), None)
     assert b"WARC-Target-URI: http://x/\xc3\xbc%20a\r\n" in one and one.endswith("\r\n\r\né\r\n\r\n".encode())
