@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm import chat, debruijn, decontaminate, divergence, language, mixing, periodic, ranking, rules, simhash, subwords, suffix, warc
 from gaugeworks.llm.shared import crc_mod, prepared, table
-from gaugeworks.session import work_dir
+from gaugeworks.session import settled, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,8 +80,9 @@ def op8_warc(spark, sf_dir):
 @query
 def op9_quality_ranking(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = ranking.learn(docs, table(spark, sf_dir, "labels").where(crc_mod("doc_id", 4) != 2))
-    found = ranking.scored(docs, model)
+    rows = settled(ranking.featured(docs, "doc_id", "text"), "traits")  # learned from and scored
+    model = ranking.learned(rows, table(spark, sf_dir, "labels").where(crc_mod("doc_id", 4) != 2))
+    found = ranking.rated(rows, model)
     return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 

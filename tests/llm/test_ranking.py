@@ -81,3 +81,24 @@ def test_query_against_plain_features(spark):
         want = 1 / (1 + np.exp(-(z + np.log(ranking.CUT / (1 - ranking.CUT)))))
         assert abs(got[i].score - want) < 1e-6 and got[i].held_out == (part(i) == 2)
         assert got[i].predicted == (got[i].score >= ranking.CUT)
+
+
+def test_all_labelled_rows_teach(spark):
+    """Means, weights and threshold of more rows than a sample would hold, against all pairs one by one."""
+    def text(i):
+        return " ".join(["ab", "Cde.", "#x", "y,", "zz"][(i * 7 + j * j * (i % 11)) % 5] for j in range(1 + i % 13)) + ("\nzz" * (i % 3))
+
+    rows = [(i, text(i), 0 if i % 400 == 7 or i % 3001 == 11 else 1) for i in range(22_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(4).cache()
+    model = ranking.learn(table.select("doc_id", "text"), table.select("doc_id", "quality"))
+    traits = {t: plain_features(t) for t in {r[1] for r in rows}}
+    want = ranking.fit(np.array([traits[t] for _, t, _ in rows]), np.array([q for *_, q in rows]))
+    table.unpersist()
+    assert np.allclose(model.mean, want.mean, rtol=1e-9) and np.allclose(model.scale, want.scale, rtol=1e-9)
+    assert np.allclose(model.weights, want.weights, atol=1e-6) and abs(model.threshold - want.threshold) < 1e-5
+
+
+def test_ranked_values(spark):
+    values = [0.0, -3.5, 1e-9, 1e-9, 1e-9, 7.0, 7.0, -1e6, 1e6, 2.0, 2.0 + 1e-15]
+    scores = spark.createDataFrame([(v,) for v in values], "s double")
+    assert [ranking._ranked(scores, k) for k in range(len(values))] == sorted(values)
