@@ -328,8 +328,9 @@ def stream_dedupe_delay(spark, sf):
 def rain_fact_bucketed(spark, sf):
     """Readings and rain in buckets of the reading's id are joined without a shuffle."""
     tag = uuid.uuid4().hex
-    readings = buckets.write_bucketed(a.readings(spark, sf), f"leitura_{tag}", "id", path=work_dir(spark, "readings"))
-    rain = buckets.write_bucketed(a.rain(spark, sf), f"chuva_{tag}", "leitura_id", path=work_dir(spark, "rain"))
+    n = buckets.bucket_count(a.readings(spark, sf), a.rain(spark, sf))
+    readings = buckets.write_bucketed(a.readings(spark, sf), f"leitura_{tag}", "id", n, work_dir(spark, "readings"))
+    rain = buckets.write_bucketed(a.rain(spark, sf), f"chuva_{tag}", "leitura_id", n, work_dir(spark, "rain"))
     return rain_versions(readings, rain)
 
 

@@ -426,6 +426,27 @@ def test_bucketed_join_needs_no_exchange(spark, tmp_path):
         spark.sql("DROP TABLE chuva_teste")
 
 
+def test_buckets_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(buckets, "ROWS", 100)
+    readings = spark.range(2000).selectExpr("id", "TIMESTAMP_NTZ '2024-01-01' AS horaLeitura", "id % 5 AS estacao_id")
+    rain = spark.range(4000).selectExpr("id % 1500 AS leitura_id", "CAST(id AS DOUBLE) AS m05")
+    n = buckets.bucket_count(readings, rain)
+    assert n == 64 and buckets.bucket_count(readings.limit(0)) == buckets.BUCKETS
+    a = buckets.write_bucketed(readings, "leitura_larga", "id", n, str(tmp_path / "a"))
+    b = buckets.write_bucketed(rain, "chuva_larga", "leitura_id", n, str(tmp_path / "b"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = rain_versions(a, b, ["m05"])
+        assert "Exchange" not in plan(joined) and joined.rdd.getNumPartitions() == 64
+        assert rows(joined) == rows(rain_versions(readings, rain, ["m05"]))
+        buckets.write_bucketed(rain, "chuva_larga", "leitura_id", path=str(tmp_path / "b"))
+        assert "64 out of 64" in plan(spark.table("chuva_larga").filter("leitura_id >= 0").join(a, F.col("id") == F.col("leitura_id")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS leitura_larga")
+        spark.sql("DROP TABLE IF EXISTS chuva_larga")
+
+
 def test_first_in_hour_takes_the_newest_of_an_instant(spark):
     probe = spark.createDataFrame([(1, at("2024-01-01 10:00:00"))], "estacao_id int, dia timestamp_ntz")
     target = spark.createDataFrame([(1, at("2024-01-01 09:30:00"), i) for i in (5, 9, 7)] + [(1, at("2024-01-01 09:40:00"), 11)], "estacao_id int, quando timestamp_ntz, id int")
