@@ -30,13 +30,15 @@ class Transducer:
 
     def ordinals(self, words: list[bytes]) -> np.ndarray:
         """The ordinal of each word, -1 for words that are no terms."""
-        out = np.full(len(words), -1, np.int64)
-        if not words or not self.terms:
-            return out
         size = np.fromiter(map(len, words), np.int64, len(words))
-        data = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
-        at = np.cumsum(size) - size
-        row, state, total, left = np.arange(len(words)), np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), size
+        return self.places(np.frombuffer(b"".join(words), np.uint8), np.cumsum(size) - size, size)
+
+    def places(self, data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The ordinals of words that lie in ``data`` from ``at`` on, as many bytes as ``size`` says."""
+        out = np.full(len(size), -1, np.int64)
+        if not len(size) or not self.terms:
+            return out
+        row, state, total, left = np.arange(len(size)), np.zeros(len(size), np.int64), np.zeros(len(size), np.int64), size
         while True:
             ended = left == 0
             hit = ended & self.final[state]
@@ -50,6 +52,15 @@ class Transducer:
             arc, row, left, at = arc[on], row[on], left[on] - 1, at[on] + 1
             state, total = self.target[arc], total[on] + self.before[arc]
 
+    def least(self) -> bytes:
+        """The first term; no bytes without terms."""
+        found, state = [], 0
+        while self.terms and not self.final[state]:
+            arc = np.searchsorted(self.key, state * 256)
+            found.append(self.key[arc] % 256)
+            state = self.target[arc]
+        return bytes(found)
+
 
 class _State:
     __slots__ = ("arcs", "final", "count", "number")

@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SF, corpus, empty
 
@@ -86,6 +88,48 @@ def test_large_counts(spark):
     assert counts.select(share.alias("p")).first().p == 1 + 10**9 * (4 * 10**12 + 2) // (9 * 10**15 + 20)
 
 
+def test_counts_travel_in_strips(spark, documents):
+    # One row for a strip of a source, however many tasks, held texts and ranges of terms say it.
+    terms = divergence.vocabulary(documents, min_docs=5, range_terms=150, pending=500, held=3000)
+    counts = divergence.recounted(documents.repartition(7), divergence.transducers(terms), pending=500, held=3000, strip=64).collect()
+    assert len(counts) == len({(r.lang, r.source, r.strip) for r in counts})
+    names = {(r.lang, r.ordinal): r.term for r in terms.collect()}
+    said = Counter()
+    for _, text, lang, source, *_ in corpus():
+        for term in re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+            said[lang or "", source or "", term] += 1
+    known = {(lang, term) for (lang, _), term in names.items()}
+    found = {}
+    for r in counts:
+        places, times = np.frombuffer(r.places, np.int32), np.frombuffer(r.counts, np.int64)
+        assert times.sum() == r.times and places.max() < 64
+        found |= {(r.lang, r.source, names[r.lang, r.strip * 64 + k]): n for k, n in zip(places.tolist(), times.tolist(), strict=True)}
+    assert found == {k: n for k, n in said.items() if (k[0], k[2]) in known}
+
+
+def test_ranges_of_terms():
+    pick = random.Random(8)
+    terms = sorted({"".join(pick.choice("abé") for _ in range(pick.randint(1, 6))).encode() for _ in range(400)})[1:]
+    ranges = [(k, transducer.build(terms[k : k + 37])) for k in range(0, len(terms), 37)]
+    assert [made.least() for _, made in ranges] == terms[::37]
+    place = {t: k for k, t in enumerate(terms)}
+    words = list({*terms, b"", b"a", b"zz", *(t + b"x" for t in terms)})
+    pick.shuffle(words)
+    got = divergence._ordinals(pa.array([w.decode() for w in words], pa.large_string()), ranges)
+    assert got.tolist() == [place.get(w, -1) for w in words]
+
+
+def test_shares_of_any_count():
+    for counts, n, v in (([0, 1, 7], 8, 3), ([9 * 10**9 - 1, 5], 10**10, 4), ([4 * 10**12, 3, 8 * 10**15], 9 * 10**15, 10)):
+        got = divergence._shares(np.array(counts, np.int64).tobytes(), n, v)
+        assert got.tolist() == [1 + 10**9 * (c + 2) // (n + 2 * v) for c in counts]
+
+
+def test_bytes_that_are_no_text(spark):
+    texts = spark.sql("SELECT id AS doc_id, cast(if(id < 12, X'61FF2062', X'63') AS string) AS text, 'en' AS lang FROM range(30)")
+    assert {r.term for r in divergence.vocabulary(texts).collect()} == {"a\ufffd", "b", "c"}
+
+
 def test_query(spark):
     rows = [(r.doc_id, r.text, r.lang, r.source) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert result(queries.QUERIES["op13_divergence"](spark, SF)) == plain(rows)
